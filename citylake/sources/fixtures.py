@@ -135,3 +135,41 @@ def lineitem_rows(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
+
+
+def latest_lineitem(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Fixture L: the latest copy per (order, line) -- newest ship date, then lowest
+    part, supplier and price -- with its order date.
+
+    The dedup aggregate runs first (partial aggregate before its shuffle, so a hot
+    key cannot pile up in one task); the order-date join follows and is planned
+    by size (broadcast when orders are small, otherwise a shuffle join whose
+    skewed partitions AQE splits).
+    """
+    from citylake.operators.dedup import ASC_NULLS_LAST, DESC_NULLS_LAST, latest_per_key
+
+    order = [
+        ("l_shipdate", DESC_NULLS_LAST),
+        ("l_partkey", ASC_NULLS_LAST),
+        ("l_suppkey", ASC_NULLS_LAST),
+        ("l_extendedprice", ASC_NULLS_LAST),
+    ]
+    latest = latest_per_key(lineitem_rows(lineitem), ["l_orderkey", "l_linenumber"], order)
+    o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
+    return latest.join(o, latest["l_orderkey"] == o["o_orderkey"], "inner").drop("o_orderkey")
+
+
+def time_ordered(l_latest: DataFrame) -> DataFrame:
+    """Fixture L quality filter (after dedup): shipped after it was ordered."""
+    return l_latest.where(F.col("l_shipdate") > F.col("o_orderdate"))
+
+
+def lineitem_as_trips(l_rows: DataFrame) -> DataFrame:
+    """Fixture L read as day-grain trips: vendor = supplier % 4, distance = quantity,
+    fare = extended price, pickup = ship date."""
+    return l_rows.select(
+        (F.col("l_suppkey") % 4).cast("int").alias("vendor_id"),
+        F.col("l_quantity").cast("double").alias("trip_distance"),
+        F.col("l_extendedprice").cast("double").alias("fare_amount"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("pickup_datetime"),
+    )
