@@ -58,8 +58,7 @@ def _k9_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = FIXTURE_RULES
     cal = dims.dim_calendar(spark, rules, fixtures.L_CALENDAR_START, fixtures.L_CALENDAR_DAYS)
     rows = _l_clean(spark, sf_dir).withColumn("ship_date_id", C.date_key("l_shipdate"))
-    j = lookup_join(rows, cal.select("date_id", "is_holiday"), ["ship_date_id"], ["date_id"],
-                    rules.broadcast_max_rows, "calendar")
+    j = lookup_join(rows, cal, ["ship_date_id"], ["date_id"], rules.broadcast_max_rows, "calendar", ["is_holiday"])
     return reports.holiday_demand(j, day_col="ship_date_id")
 
 
@@ -67,7 +66,9 @@ def _k5_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = FIXTURE_RULES
     trips = fixtures.lineitem_as_trips(_l_clean(spark, sf_dir))
     ef = seed(spark, "seed_emission_factors")
-    j = lookup_join(trips, ef, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors")
+    j = lookup_join(
+        trips, ef, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors", ["emission_factor_g_mile"]
+    )
     with_co2 = j.withColumn(
         "co2_emission_grams", F.col("trip_distance") * C.emission_factor("emission_factor_g_mile", rules)
     )

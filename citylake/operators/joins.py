@@ -35,17 +35,21 @@ def known_bound(df: DataFrame) -> int | None:
     return getattr(df, _BOUND_ATTR, None)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int, what: str = "lookup") -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df``."""
+def checked_broadcast(df: DataFrame, max_rows: int, what: str = "lookup") -> bool:
+    """True if ``df`` provably has at most ``max_rows`` rows.
+
+    A bound recorded at construction (:func:`bounded`) is used as is; otherwise at
+    most ``max_rows + 1`` rows are counted once and the result is remembered on
+    the DataFrame object, so a dimension shared by several joins is checked once.
+    """
     bound = known_bound(df)
-    if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        out = F.broadcast(df)
-        return bounded(out, n)
-    log.warning("%s has more than %d rows; joining without broadcast", what, max_rows)
-    return df
+    if bound is None:
+        bound = df.limit(max_rows + 1).count()
+        bounded(df, bound)
+    if bound > max_rows:
+        log.warning("%s has more than %d rows; joining without broadcast", what, max_rows)
+        return False
+    return True
 
 
 def lookup_join(
@@ -55,22 +59,25 @@ def lookup_join(
     dim_keys: Sequence[str],
     max_rows: int,
     what: str = "lookup",
+    columns: Sequence | None = None,
 ) -> DataFrame:
     """fact LEFT JOIN dim ON fact_keys = dim_keys, keeping every fact row.
 
-    ``dim_keys`` columns are dropped from the output (the fact's keys stay).
-    Grain is preserved only if the dimension is unique on its key; check that
-    with :func:`citylake.operators.quality.unique` before joining (J1).
+    ``columns`` (names or aliased Columns) are the dimension columns to bring
+    along; the size check runs on ``dim`` itself, before projecting, so a
+    dimension object is checked once however many joins use it. ``dim_keys`` are
+    dropped from the output (the fact's keys stay). Grain is preserved only if the
+    dimension is unique on its key; check that with
+    :func:`citylake.operators.quality.unique` before joining (J1).
     """
-    d = checked_broadcast(dim, max_rows, what)
-    renamed = d
-    tmp = []
-    for i, k in enumerate(dim_keys):
-        t = f"__lk{i}_{k}"
-        renamed = renamed.withColumnRenamed(k, t)
-        tmp.append(t)
+    small = checked_broadcast(dim, max_rows, what)
+    tmp = [f"__lk{i}_{k}" for i, k in enumerate(dim_keys)]
+    cols = list(columns) if columns is not None else [c for c in dim.columns if c not in dim_keys]
+    d = dim.select(*[F.col(k).alias(t) for k, t in zip(dim_keys, tmp)], *cols)
+    if small:
+        d = F.broadcast(d)
     cond = None
     for fk, t in zip(fact_keys, tmp):
-        c = fact[fk] == renamed[t]
+        c = fact[fk] == d[t]
         cond = c if cond is None else cond & c
-    return fact.join(renamed, cond, "left").drop(*tmp)
+    return fact.join(d, cond, "left").drop(*tmp)

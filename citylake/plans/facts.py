@@ -40,17 +40,16 @@ def gold_fact_trips(
     """Trips LEFT JOIN weather (pickup hour) / zones (pickup location) / calendar
     (date key). Grain = one row per trip, provided each dimension is unique on its
     key (checked by J1 before the build)."""
-    w_cols = ["weather_time", "temperature_2m", "is_precipitation", "weather_category"]
+    w_cols = ["temperature_2m", "is_precipitation", "weather_category"]
     if with_weather_code:
         w_cols.append("weather_code")
-    w = weather.select(*w_cols)
-    z = zones.select("location_id", F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone"))
-    c = calendar.select("date_id", "is_holiday", "is_weekend", "holiday_name")
+    z_cols = [F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone")]
+    c_cols = ["is_holiday", "is_weekend", "holiday_name"]
     t = trips.withColumn("pickup_date_id", C.date_key("pickup_datetime"))
     m = rules.broadcast_max_rows
-    j = lookup_join(t, w, ["pickup_hour_truncated"], ["weather_time"], m, "hourly weather")
-    j = lookup_join(j, z, ["pickup_location_id"], ["location_id"], m, "zones")
-    j = lookup_join(j, c, ["pickup_date_id"], ["date_id"], m, "calendar")
+    j = lookup_join(t, weather, ["pickup_hour_truncated"], ["weather_time"], m, "hourly weather", w_cols)
+    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", z_cols)
+    j = lookup_join(j, calendar, ["pickup_date_id"], ["date_id"], m, "calendar", c_cols)
     out_cols = list(trips.columns) + list(FACT_TRIP_EXTRA)
     if with_weather_code:
         out_cols.append("weather_code")
@@ -136,23 +135,12 @@ def fact_trips_labeled(
     """E5: the trip fact with the labels of its conformed dimensions. ``fact_trips``
     must carry ``weather_code`` (``gold_fact_trips(..., with_weather_code=True)``)."""
     m = rules.broadcast_max_rows
-    j = lookup_join(fact_trips, vendors.select("vendor_id", "vendor_name"), ["vendor_id"], ["vendor_id"], m, "vendors")
-    j = lookup_join(j, rate_codes.select("rate_code_id", "rate_code_name"), ["rate_code_id"], ["rate_code_id"], m, "rate codes")
-    j = lookup_join(
-        j, payment_types.select("payment_type_id", "payment_type_name"), ["payment_type_id"], ["payment_type_id"], m,
-        "payment types",
-    )
-    dz = zones.select(
-        "location_id",
-        F.col("is_airport").alias("pickup_is_airport"),
-        F.col("borough_group").alias("pickup_borough_group"),
-    )
-    j = lookup_join(j, dz, ["pickup_location_id"], ["location_id"], m, "zones")
-    dd = zones.select(
-        "location_id",
-        F.col("borough").alias("dropoff_borough"),
-        F.col("zone").alias("dropoff_zone"),
-    )
-    j = lookup_join(j, dd, ["dropoff_location_id"], ["location_id"], m, "zones")
-    wl = weather_lookup.select("weather_code", F.col("weather_category").alias("weather_code_category"))
-    return lookup_join(j, wl, ["weather_code"], ["weather_code"], m, "weather lookup")
+    j = lookup_join(fact_trips, vendors, ["vendor_id"], ["vendor_id"], m, "vendors", ["vendor_name"])
+    j = lookup_join(j, rate_codes, ["rate_code_id"], ["rate_code_id"], m, "rate codes", ["rate_code_name"])
+    j = lookup_join(j, payment_types, ["payment_type_id"], ["payment_type_id"], m, "payment types", ["payment_type_name"])
+    pz = [F.col("is_airport").alias("pickup_is_airport"), F.col("borough_group").alias("pickup_borough_group")]
+    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", pz)
+    dz = [F.col("borough").alias("dropoff_borough"), F.col("zone").alias("dropoff_zone")]
+    j = lookup_join(j, zones, ["dropoff_location_id"], ["location_id"], m, "zones", dz)
+    wl = [F.col("weather_category").alias("weather_code_category")]
+    return lookup_join(j, weather_lookup, ["weather_code"], ["weather_code"], m, "weather lookup", wl)

@@ -201,8 +201,10 @@ def vendor_risk(financials: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def short_trip_share(sustainability: DataFrame, zones: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Share of trips under the short-trip threshold per pickup zone."""
-    z = zones.select("location_id", F.col("zone").alias("pickup_zone"))
-    j = lookup_join(sustainability, z, ["pickup_location_id"], ["location_id"], rules.broadcast_max_rows, "zones")
+    j = lookup_join(
+        sustainability, zones, ["pickup_location_id"], ["location_id"], rules.broadcast_max_rows, "zones",
+        [F.col("zone").alias("pickup_zone")],
+    )
     g = j.groupBy("pickup_location_id", "pickup_zone").agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum(F.when(F.col("is_short_efficiency_risk"), 1).otherwise(0)).cast("long").alias("short_trips"),

@@ -78,8 +78,10 @@ def stg_taxi_trips(raw: DataFrame, emission_factors: DataFrame, rules: Rules = R
         C.truncate_hour(p).alias("pickup_hour_truncated"),
         run_ts(rules).alias("dbt_updated_at"),
     )
-    ef = emission_factors.select("vendor_id", "emission_factor_g_mile")
-    j = lookup_join(enriched, ef, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors")
+    j = lookup_join(
+        enriched, emission_factors, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors",
+        ["emission_factor_g_mile"],
+    )
     factor = C.emission_factor("emission_factor_g_mile", rules)
     return j.select(
         *[F.col(c) for c in enriched.columns],

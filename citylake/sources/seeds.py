@@ -59,4 +59,16 @@ def seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     if path is not None:
         return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     rows = SEED_ROWS[name]
-    return bounded(spark.createDataFrame(rows, schema), len(rows))
+    # A literal VALUES relation is a local relation in the plan: no job, no Python
+    # workers, and its exact size is known to the planner.
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)) + ")" for r in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    return bounded(spark.sql(f"SELECT * FROM VALUES {values} AS t({names})"), len(rows))
+
+
+def _sql_literal(v, dt: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dt.simpleString()})"
+    if isinstance(dt, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS {dt.simpleString()})"
