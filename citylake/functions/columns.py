@@ -42,21 +42,32 @@ def to_int(c: ColumnOrName) -> Column:
 
 
 def repair_epoch(c: ColumnOrName, data_type: T.DataType, threshold: float = 1e11) -> Column:
-    """Timestamp whose epoch is really microseconds read as seconds -> fixed NTZ (C4).
-
-    Values with |epoch seconds| above ``threshold`` (about year 5138) are rescaled
-    by 1e-6; ordinary values are kept. The reference rescales unconditionally,
-    which sends already-correct timestamps to January 1970.
+    """Epoch values read at the wrong scale -> NTZ timestamp (C4).
+
+    An epoch count above ``threshold`` seconds (about year 5138) was written in a
+    finer unit: above ``threshold * 1000`` it is microseconds (divide by 1e6, the
+    reference's repair), otherwise milliseconds (divide by 1e3). Values below the
+    threshold are kept. The reference divides unconditionally, which sends
+    already-correct timestamps to January 1970. Numeric inputs are epoch counts;
+    timestamp inputs are checked through their epoch seconds (Spark cannot hold
+    a microsecond count read as seconds, so only the millisecond case occurs).
     """
     col = _c(c)
+    micro_th = threshold * 1000
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        secs = F.unix_seconds(col.cast("timestamp"))
-        fixed = F.timestamp_micros(secs)
-        return F.when(F.abs(secs) > F.lit(threshold), fixed).otherwise(col.cast("timestamp")).cast("timestamp_ntz")
+        ts = col.cast("timestamp")
+        secs = F.unix_seconds(ts)
+        return (
+            F.when(F.abs(secs) > F.lit(micro_th), F.timestamp_micros(secs))
+            .when(F.abs(secs) > F.lit(threshold), F.timestamp_millis(secs))
+            .otherwise(ts)
+            .cast("timestamp_ntz")
+        )
     if isinstance(data_type, T.NumericType):
         num = col.cast("double")
         return (
-            F.when(F.abs(num) > F.lit(threshold), F.timestamp_micros(col.cast("long")))
+            F.when(F.abs(num) > F.lit(micro_th), F.timestamp_micros(col.cast("long")))
+            .when(F.abs(num) > F.lit(threshold), F.timestamp_millis(col.cast("long")))
             .otherwise(F.timestamp_seconds(num))
             .cast("timestamp_ntz")
         )

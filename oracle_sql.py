@@ -22,7 +22,9 @@ CATEGORY = """CASE
 
 
 def _repair(c: str) -> str:
-    return f"CASE WHEN abs(epoch({c})) > 1e11 THEN make_timestamp(CAST(floor(epoch({c})) AS BIGINT)) ELSE {c} END"
+    e = f"CAST(floor(epoch({c})) AS BIGINT)"
+    return (f"CASE WHEN abs(epoch({c})) > 1e14 THEN make_timestamp({e}) "
+            f"WHEN abs(epoch({c})) > 1e11 THEN make_timestamp({e} * 1000) ELSE {c} END")
 
 
 def _ms(c: str) -> str:
