@@ -24,7 +24,7 @@ TRIP_ORDER = (("loaded_at", DESC_NULLS_FIRST), ("source_file", DESC_NULLS_LAST))
 def run_ts(rules: Rules) -> Column:
     if rules.run_ts is None:
         return F.localtimestamp()
-    return F.lit(rules.run_ts).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{rules.run_ts.isoformat(sep=' ')}'")
 
 
 def cast_trips(raw: DataFrame, rules: Rules) -> DataFrame:

@@ -44,38 +44,32 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     later, fare + 1) of every event with ``event_id % 10 = 0``.
 
     The copy is produced by exploding ``[0]`` or ``[0, 1]`` per row, so the events
-    table is scanned once.
+    table is scanned once. The projection is one SQL select list (parsed in the
+    JVM in one call).
     """
-    e = F.col("event_id")
-    u = F.col("user_id")
-    ev = events.select("event_id", "user_id", "ts", "value").withColumn(
-        "b", F.explode(F.sequence(F.lit(0), F.when(e % 10 == 0, 1).otherwise(0)))
+    ev = events.selectExpr(
+        "event_id", "user_id", "ts", "value",
+        "explode(sequence(0, CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)) AS b",
     )
-    rate = (e % 6 + 1).cast("int")
-    metered = (((u * 37 + e * 13) % 6000).cast("double") / 10) - 20
-    fare = F.when((rate == 2) & (e % 4 != 1), F.lit(70.0)).otherwise(metered) + F.col("b").cast("double")
-    minutes = ((e * 7) % 200 - 5).cast("int")
-    loaded = F.timestamp_add("HOUR", F.col("b"), F.lit(BASE_LOADED_AT).cast("timestamp_ntz"))
     values = {
-        "VENDORID": (u % 4).cast("int"),
-        "TPEP_PICKUP_DATETIME": F.col("ts").cast("timestamp_ntz"),
-        "TPEP_DROPOFF_DATETIME": F.timestamp_add("MINUTE", minutes, F.col("ts").cast("timestamp_ntz")),
-        "PASSENGER_COUNT": (e % 5).cast("double"),
-        "TRIP_DISTANCE": F.col("value").cast("double"),
-        "RATECODEID": rate.cast("double"),
-        "STORE_AND_FWD_FLAG": F.lit("N"),
-        "PULOCATIONID": (u % 27).cast("int"),
-        "DOLOCATIONID": (e % 27).cast("int"),
-        "PAYMENT_TYPE": (e % 7 + 1).cast("int"),
-        "FARE_AMOUNT": fare,
-        "SOURCE_FILE": F.when(F.col("b") == 0, SOURCE_FILES[0]).otherwise(SOURCE_FILES[1]),
-        "LOADED_AT": loaded,
+        "VENDORID": "user_id % 4",
+        "TPEP_PICKUP_DATETIME": "CAST(ts AS TIMESTAMP_NTZ)",
+        "TPEP_DROPOFF_DATETIME": "timestampadd(MINUTE, CAST((event_id * 7) % 200 - 5 AS INT), CAST(ts AS TIMESTAMP_NTZ))",
+        "PASSENGER_COUNT": "event_id % 5",
+        "TRIP_DISTANCE": "value",
+        "RATECODEID": "event_id % 6 + 1",
+        "STORE_AND_FWD_FLAG": "'N'",
+        "PULOCATIONID": "user_id % 27",
+        "DOLOCATIONID": "event_id % 27",
+        "PAYMENT_TYPE": "event_id % 7 + 1",
+        "FARE_AMOUNT": "CASE WHEN event_id % 6 + 1 = 2 AND event_id % 4 <> 1 THEN 70.0D "
+        "ELSE CAST((user_id * 37 + event_id * 13) % 6000 AS DOUBLE) / 10 - 20 END + CAST(b AS DOUBLE)",
+        "SOURCE_FILE": f"CASE WHEN b = 0 THEN '{SOURCE_FILES[0]}' ELSE '{SOURCE_FILES[1]}' END",
+        "LOADED_AT": f"timestampadd(HOUR, b, TIMESTAMP_NTZ '{BASE_LOADED_AT}')",
     }
-    cols = [
-        (values[f.name] if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in RAW_TRIPS_SCHEMA.fields
-    ]
-    return ev.select(*cols)
+    return ev.selectExpr(
+        *[f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW_TRIPS_SCHEMA.fields]
+    )
 
 
 # ---------------------------------------------------------------- Fixture W: hourly weather
@@ -93,28 +87,27 @@ def weather_from_events(events: DataFrame) -> DataFrame:
     ``sequence`` + ``explode``: its size is the covered period in hours, not the
     number of events.
     """
-    bounds = events.agg(
-        F.date_trunc("hour", F.min("ts")).cast("timestamp_ntz").alias("h0"),
-        F.date_trunc("hour", F.max("ts")).cast("timestamp_ntz").alias("h1"),
-    )
-    hours = bounds.select(
-        "h0", F.explode(F.sequence("h0", "h1", F.expr("INTERVAL 1 HOUR"))).alias("t")
-    ).withColumn("i", ((F.unix_micros(F.col("t").cast("timestamp")) - F.unix_micros(F.col("h0").cast("timestamp"))) / 3_600_000_000).cast("long"))
-    hours = hours.where(F.col("i") % 48 != 17)
-    code = F.element_at(F.array(*[F.lit(c) for c in WEATHER_CODE_CYCLE]), (F.col("i") % 13 + 1).cast("int")).cast("long")
-    rainy = code.between(51, 67) | code.between(80, 82)
-    snowy = code.between(71, 77) | code.isin(85, 86)
+    cycle = ", ".join(str(c) for c in WEATHER_CODE_CYCLE)
+    hours = events.selectExpr(
+        "CAST(date_trunc('hour', min(ts)) AS TIMESTAMP_NTZ) AS h0",
+        "CAST(date_trunc('hour', max(ts)) AS TIMESTAMP_NTZ) AS h1",
+    ).selectExpr("h0", "explode(sequence(h0, h1, INTERVAL 1 HOUR)) AS t")
+    idx = hours.selectExpr(
+        "t", "CAST((unix_micros(CAST(t AS TIMESTAMP)) - unix_micros(CAST(h0 AS TIMESTAMP))) / 3600000000 AS BIGINT) AS i"
+    ).where("i % 48 != 17").selectExpr("t", "i", f"CAST(element_at(array({cycle}), CAST(i % 13 + 1 AS INT)) AS BIGINT) AS code")
     values = {
-        "TIME": F.date_format("t", "yyyy-MM-dd'T'HH:mm"),
-        "TEMPERATURE_2M": (F.col("i") % 40 - 10).cast("double"),
-        "PRECIPITATION": F.when(rainy, 0.5).otherwise(0.0),
-        "SNOWFALL": F.when(snowy, 0.3).otherwise(0.0),
-        "WINDSPEED_10M": (F.col("i") % 25).cast("double"),
-        "WEATHERCODE": code,
-        "SOURCE_URL": F.lit(WEATHER_SOURCE_URL),
-        "LOADED_AT": F.lit(BASE_LOADED_AT),
+        "TIME": "date_format(t, \"yyyy-MM-dd'T'HH:mm\")",
+        "TEMPERATURE_2M": "i % 40 - 10",
+        "PRECIPITATION": "CASE WHEN code BETWEEN 51 AND 67 OR code BETWEEN 80 AND 82 THEN 0.5D ELSE 0.0D END",
+        "SNOWFALL": "CASE WHEN code BETWEEN 71 AND 77 OR code IN (85, 86) THEN 0.3D ELSE 0.0D END",
+        "WINDSPEED_10M": "i % 25",
+        "WEATHERCODE": "code",
+        "SOURCE_URL": f"'{WEATHER_SOURCE_URL}'",
+        "LOADED_AT": f"'{BASE_LOADED_AT}'",
     }
-    return hours.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in RAW_WEATHER_SCHEMA.fields])
+    return idx.selectExpr(
+        *[f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW_WEATHER_SCHEMA.fields]
+    )
 
 
 # ---------------------------------------------------------------- Fixture Z: zones
