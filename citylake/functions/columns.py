@@ -1,5 +1,10 @@
-"""Scalar column expressions. All are built-in Spark functions, so they
-stay inside whole-stage codegen; none needs a Python UDF."""
+"""Scalar column expressions.
+
+All are built-in Spark SQL functions, so they stay inside whole-stage codegen; none
+is a Python UDF. Most take column *names* and return one ``F.expr`` Column, which the
+JVM parses in a single call (plan construction from Python is then cheap even for
+long CASE chains).
+"""
 
 from __future__ import annotations
 
@@ -18,6 +23,17 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    if not isinstance(name, str):
+        raise TypeError(f"expected a column name, got {type(name).__name__}")
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _expr(template: str, *names: str) -> Column:
+    return F.expr(template.format(*[q(n) for n in names]))
+
+
 # ---------------------------------------------------------------- names
 
 def rename_upper(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
@@ -35,13 +51,13 @@ def with_audit(df: DataFrame, source_col: str, source: ColumnOrName, loaded_at:
 
 # ---------------------------------------------------------------- casts and time
 
-def to_int(c: ColumnOrName) -> Column:
+def to_int(c: str) -> Column:
     """Float -> INT rounding half away from zero, as the warehouse cast does.
     A plain Spark cast truncates (2.5 -> 2); ``round`` is HALF_UP."""
-    return F.round(_c(c)).cast("int")
+    return _expr("CAST(round({0}) AS INT)", c)
 
 
-def repair_epoch(c: ColumnOrName, data_type: T.DataType, threshold: float = 1e11) -> Column:
+def repair_epoch(c: str, data_type: T.DataType, threshold: float = 1e11) -> Column:
     """Epoch values read at the wrong scale -> NTZ timestamp (C4).
 
     An epoch count above ``threshold`` seconds (about year 5138) was written in a
@@ -52,175 +68,170 @@ def repair_epoch(c: ColumnOrName, data_type: T.DataType, threshold: float = 1e11
     timestamp inputs are checked through their epoch seconds (Spark cannot hold
     a microsecond count read as seconds, so only the millisecond case occurs).
     """
-    col = _c(c)
-    micro_th = threshold * 1000
+    lo, hi = repr(float(threshold)), repr(float(threshold) * 1000)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        ts = col.cast("timestamp")
-        secs = F.unix_seconds(ts)
-        return (
-            F.when(F.abs(secs) > F.lit(micro_th), F.timestamp_micros(secs))
-            .when(F.abs(secs) > F.lit(threshold), F.timestamp_millis(secs))
-            .otherwise(ts)
-            .cast("timestamp_ntz")
+        secs = "unix_seconds(CAST({0} AS TIMESTAMP))"
+        return _expr(
+            f"CAST(CASE WHEN abs({secs}) > {hi} THEN timestamp_micros({secs}) "
+            f"WHEN abs({secs}) > {lo} THEN timestamp_millis({secs}) "
+            "ELSE CAST({0} AS TIMESTAMP) END AS TIMESTAMP_NTZ)",
+            c,
         )
     if isinstance(data_type, T.NumericType):
-        num = col.cast("double")
-        return (
-            F.when(F.abs(num) > F.lit(micro_th), F.timestamp_micros(col.cast("long")))
-            .when(F.abs(num) > F.lit(threshold), F.timestamp_millis(col.cast("long")))
-            .otherwise(F.timestamp_seconds(num))
-            .cast("timestamp_ntz")
+        return _expr(
+            f"CAST(CASE WHEN abs(CAST({{0}} AS DOUBLE)) > {hi} THEN timestamp_micros(CAST({{0}} AS BIGINT)) "
+            f"WHEN abs(CAST({{0}} AS DOUBLE)) > {lo} THEN timestamp_millis(CAST({{0}} AS BIGINT)) "
+            "ELSE timestamp_seconds(CAST({0} AS DOUBLE)) END AS TIMESTAMP_NTZ)",
+            c,
         )
-    return col.cast("timestamp_ntz")
+    return _expr("CAST({0} AS TIMESTAMP_NTZ)", c)
 
 
-def iso_text(c: ColumnOrName) -> Column:
+def iso_text(c: str) -> Column:
     """Timestamp -> 'yyyy-MM-dd HH:mm:ss' text."""
-    return F.date_format(_c(c), "yyyy-MM-dd HH:mm:ss")
+    return _expr("date_format({0}, 'yyyy-MM-dd HH:mm:ss')", c)
 
 
-def parse_ntz(c: ColumnOrName) -> Column:
+def parse_ntz(c: str) -> Column:
     """ISO text such as '2023-01-01T00:00' -> TIMESTAMP_NTZ."""
-    return _c(c).cast("timestamp_ntz")
+    return _expr("CAST({0} AS TIMESTAMP_NTZ)", c)
 
 
-def unknown_if_null(c: ColumnOrName) -> Column:
+def unknown_if_null(c: str) -> Column:
     """Null -> 'Unknown' (C7)."""
-    return F.coalesce(_c(c), F.lit("Unknown"))
-
-
-def _minute_index(c: Column) -> Column:
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(60_000_000))
+    return _expr("coalesce({0}, 'Unknown')", c)
 
 
-def minutes_crossed(start: ColumnOrName, end: ColumnOrName) -> Column:
+def minutes_crossed(start: str, end: str) -> Column:
     """Minute boundaries crossed between two timestamps (C8), the warehouse
     DATEDIFF('minute') meaning: 00:00:59 -> 00:01:01 is 1, not 0."""
-    return (_minute_index(_c(end)) - _minute_index(_c(start))).cast("long")
+    idx = "floor(unix_micros(CAST({} AS TIMESTAMP)) / 60000000)"
+    return _expr(f"CAST({idx.format('{1}')} - {idx.format('{0}')} AS BIGINT)", start, end)
 
 
-def hour_of_day(c: ColumnOrName) -> Column:
+def hour_of_day(c: str) -> Column:
     """Hour 0-23."""
-    return F.hour(_c(c))
+    return _expr("hour({0})", c)
 
 
-def day_of_week0(c: ColumnOrName) -> Column:
+def day_of_week0(c: str) -> Column:
     """Day of week, 0 = Sunday ... 6 = Saturday."""
-    return (F.dayofweek(_c(c)) - 1).cast("int")
+    return _expr("CAST(dayofweek({0}) - 1 AS INT)", c)
 
 
-def truncate_hour(c: ColumnOrName) -> Column:
+def truncate_hour(c: str) -> Column:
     """Cut to the hour and stay NTZ (C11). Requires the UTC session zone."""
-    return F.date_trunc("hour", _c(c)).cast("timestamp_ntz")
+    return _expr("CAST(date_trunc('hour', {0}) AS TIMESTAMP_NTZ)", c)
 
 
-def date_key(c: ColumnOrName) -> Column:
+def date_key(c: str) -> Column:
     """YYYYMMDD integer key (C12). Arithmetic, not text formatting."""
-    col = _c(c)
-    return (F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)).cast("int")
+    return _expr("CAST(year({0}) * 10000 + month({0}) * 100 + dayofmonth({0}) AS INT)", c)
 
 
-def month_abbr(c: ColumnOrName) -> Column:
+def month_abbr(c: str) -> Column:
     """3-letter month name, e.g. 'Jan' (C15)."""
-    return F.date_format(_c(c), "MMM")
+    return _expr("date_format({0}, 'MMM')", c)
 
 
-def day_abbr(c: ColumnOrName) -> Column:
+def day_abbr(c: str) -> Column:
     """3-letter day name, e.g. 'Sun' (C15)."""
-    return F.date_format(_c(c), "EEE")
+    return _expr("date_format({0}, 'EEE')", c)
 
 
 # ---------------------------------------------------------------- keys
 
-def ts_key_text(c: ColumnOrName) -> Column:
+_TS_MS = "date_format({0}, 'yyyy-MM-dd HH:mm:ss.SSS')"
+
+
+def ts_key_text(c: str) -> Column:
     """Timestamp text with milliseconds, the warehouse's default rendering."""
-    return F.date_format(_c(c), "yyyy-MM-dd HH:mm:ss.SSS")
+    return _expr(_TS_MS, c)
 
 
-def trip_key(vendor: ColumnOrName, pickup: ColumnOrName, location: ColumnOrName) -> Column:
+def trip_key(vendor: str, pickup: str, location: str) -> Column:
     """MD5(vendor '-' pickup '-' location); any null part gives a null key.
     ``concat`` (not ``concat_ws``) so nulls propagate."""
-    return F.md5(
-        F.concat(
-            _c(vendor).cast("string"), F.lit("-"), ts_key_text(pickup), F.lit("-"), _c(location).cast("string")
-        )
+    return _expr(
+        "md5(concat(CAST({0} AS STRING), '-', " + _TS_MS.format("{1}") + ", '-', CAST({2} AS STRING)))",
+        vendor, pickup, location,
     )
 
 
-def null_safe_key(parts: Iterable[ColumnOrName]) -> Column:
+def null_safe_key(parts: Iterable[str], timestamps: Iterable[str] = ()) -> Column:
     """MD5 over parts joined by '-', each null rendered as '_null_' (C17).
-    Timestamps are rendered with milliseconds."""
-    rendered = []
-    for p in parts:
-        rendered.append(F.coalesce(p, F.lit("_null_")))
-    pieces: list[Column] = []
-    for i, p in enumerate(rendered):
-        if i:
-            pieces.append(F.lit("-"))
-        pieces.append(p)
-    return F.md5(F.concat(*pieces))
+    Columns named in ``timestamps`` are rendered with milliseconds."""
+    ts = set(timestamps)
+    pieces = []
+    for i, p in enumerate(parts):
+        text = _TS_MS.format("{%d}" % i) if p in ts else "CAST({%d} AS STRING)" % i
+        pieces.append(f"coalesce({text}, '_null_')")
+    return _expr("md5(concat(" + ", '-', ".join(pieces) + "))", *parts)
 
 
 # ---------------------------------------------------------------- classifications
 
-def weather_category(code: ColumnOrName) -> Column:
+def weather_category(code: str) -> Column:
     """WMO weather code -> category (C18). Nulls and unlisted codes -> 'Unknown'."""
-    c = _c(code)
     # Fixed values of the reference's weather classification.
-    return (
-        F.when(c.isin(0, 1, 2, 3), "Clear")
-        .when(c.isin(45, 48), "Fog")
-        .when(c.between(51, 67), "Rain")
-        .when(c.between(71, 77), "Snow")
-        .when(c.between(80, 82), "Showers")
-        .when(c.isin(85, 86), "Snow Showers")
-        .when(c >= 95, "Thunderstorm")
-        .otherwise("Unknown")
+    return _expr(
+        "CASE WHEN {0} IN (0, 1, 2, 3) THEN 'Clear' "
+        "WHEN {0} IN (45, 48) THEN 'Fog' "
+        "WHEN {0} BETWEEN 51 AND 67 THEN 'Rain' "
+        "WHEN {0} BETWEEN 71 AND 77 THEN 'Snow' "
+        "WHEN {0} BETWEEN 80 AND 82 THEN 'Showers' "
+        "WHEN {0} IN (85, 86) THEN 'Snow Showers' "
+        "WHEN {0} >= 95 THEN 'Thunderstorm' "
+        "ELSE 'Unknown' END",
+        code,
     )
 
 
 WEATHER_CATEGORIES = ("Clear", "Fog", "Rain", "Snow", "Showers", "Snow Showers", "Thunderstorm", "Unknown")
 
 
-def precipitation_flag(rain: ColumnOrName, snow: ColumnOrName) -> Column:
+def precipitation_flag(rain: str, snow: str) -> Column:
     """rain > 0 or snow > 0; nulls give False, never null."""
-    return F.when((_c(rain) > 0) | (_c(snow) > 0), True).otherwise(False)
+    return _expr("CASE WHEN {0} > 0 OR {1} > 0 THEN TRUE ELSE FALSE END", rain, snow)
 
 
-def airport_flag(zone: ColumnOrName) -> Column:
+def airport_flag(zone: str) -> Column:
     """Zone name contains 'airport', any case (C20)."""
-    return F.when(_c(zone).ilike("%airport%"), True).otherwise(False)
+    return _expr("CASE WHEN {0} ILIKE '%airport%' THEN TRUE ELSE FALSE END", zone)
 
 
-def borough_group(borough: ColumnOrName, core: str = "Manhattan") -> Column:
+def borough_group(borough: str, core: str = "Manhattan") -> Column:
     """core borough -> 'Core', 'Unknown' -> 'Unknown', else 'Outer Boroughs' (C21)."""
-    b = _c(borough)
-    return F.when(b == core, "Core").when(b == "Unknown", "Unknown").otherwise("Outer Boroughs")
+    core_lit = "'" + core.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return _expr(
+        f"CASE WHEN {{0}} = {core_lit} THEN 'Core' WHEN {{0}} = 'Unknown' THEN 'Unknown' ELSE 'Outer Boroughs' END",
+        borough,
+    )
 
 
-def weekend_flag(dow0: ColumnOrName) -> Column:
+def weekend_flag(dow0: str) -> Column:
     """0 (Sunday) or 6 (Saturday)."""
-    return F.when(_c(dow0).isin(0, 6), True).otherwise(False)
+    return _expr("CASE WHEN {0} IN (0, 6) THEN TRUE ELSE FALSE END", dow0)
 
 
-def holiday_name(month: ColumnOrName, day: ColumnOrName) -> Column:
+def holiday_name(month: str, day: str) -> Column:
     """Fixed-date holidays."""
-    m, d = _c(month), _c(day)
     # Fixed values of the reference's holiday list.
-    return (
-        F.when((m == 1) & (d == 1), "New Years Day")
-        .when((m == 7) & (d == 4), "Independence Day")
-        .when((m == 11) & (d == 11), "Veterans Day")
-        .when((m == 12) & (d == 25), "Christmas Day")
-        .otherwise(F.lit(None).cast("string"))
+    return _expr(
+        "CASE WHEN {0} = 1 AND {1} = 1 THEN 'New Years Day' "
+        "WHEN {0} = 7 AND {1} = 4 THEN 'Independence Day' "
+        "WHEN {0} = 11 AND {1} = 11 THEN 'Veterans Day' "
+        "WHEN {0} = 12 AND {1} = 25 THEN 'Christmas Day' "
+        "ELSE CAST(NULL AS STRING) END",
+        month, day,
     )
 
 
 # ---------------------------------------------------------------- measures and flags
 
-def emission_factor(factor: ColumnOrName, rules: Rules) -> Column:
+def emission_factor(factor: str, rules: Rules) -> Column:
     """Vendor factor with fallback."""
-    return F.coalesce(_c(factor), F.lit(rules.default_emission_g_mile))
+    return _expr(f"coalesce({{0}}, CAST({rules.default_emission_g_mile!r} AS DOUBLE))", factor)
 
 
 def flag(cond: Column) -> Column:
@@ -228,25 +239,33 @@ def flag(cond: Column) -> Column:
     return F.when(cond, True).otherwise(False)
 
 
-def expected_fare(rate_code: ColumnOrName, fare: ColumnOrName, rules: Rules) -> Column:
+def flag_sql(cond_sql: str, *names: str) -> Column:
+    """:func:`flag` for a SQL condition over quoted ``names`` ({0}, {1}, ...)."""
+    return _expr(f"CASE WHEN {cond_sql} THEN TRUE ELSE FALSE END", *names)
+
+
+def expected_fare(rate_code: str, fare: str, rules: Rules) -> Column:
     """JFK flat fare, else the metered fare."""
-    return F.when(_c(rate_code) == rules.jfk_rate_code, F.lit(rules.jfk_flat_fare)).otherwise(_c(fare).cast("double"))
+    return _expr(
+        f"CASE WHEN {{0}} = {int(rules.jfk_rate_code)} THEN CAST({rules.jfk_flat_fare!r} AS DOUBLE) "
+        "ELSE CAST({1} AS DOUBLE) END",
+        rate_code, fare,
+    )
 
 
-def co2_per_passenger_mile(co2: ColumnOrName, distance: ColumnOrName, passengers: ColumnOrName) -> Column:
+def co2_per_passenger_mile(co2: str, distance: str, passengers: str) -> Column:
     """CO2 / (distance * passengers); zero denominator -> null."""
-    denom = _c(distance) * _c(passengers)
-    return _c(co2) / F.nullif(denom, F.lit(0.0))
+    return _expr("{0} / nullif({1} * {2}, 0.0D)", co2, distance, passengers)
 
 
 # ---------------------------------------------------------------- order-independent float sums
 
-def stable_sum(c: ColumnOrName, rules: Rules) -> Column:
-    s = F.sum(_c(c))
+def stable_sum(c: str, rules: Rules) -> Column:
+    s = F.sum(c)
     return F.round(s, rules.sum_scale) if rules.sum_scale is not None else s
 
 
-def stable_avg(c: ColumnOrName, rules: Rules) -> Column:
+def stable_avg(c: str, rules: Rules) -> Column:
     if rules.sum_scale is None:
-        return F.avg(_c(c))
-    return F.round(F.sum(_c(c)), rules.sum_scale) / F.count(_c(c))
+        return F.avg(c)
+    return F.round(F.sum(c), rules.sum_scale) / F.count(c)

@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citylake.functions.columns import q
+
 DESC_NULLS_FIRST = "desc_nulls_first"
 DESC_NULLS_LAST = "desc"
 ASC_NULLS_LAST = "asc"
@@ -30,33 +32,33 @@ ASC_NULLS_FIRST = "asc_nulls_first"
 _ORDERED_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _negated(col: Column, dt: T.DataType) -> Column:
-    """A value whose descending order is the ascending order of ``col``."""
+def _negated(name: str, dt: T.DataType) -> str:
+    """SQL for a value whose descending order is the ascending order of ``name``."""
     if isinstance(dt, _ORDERED_NUMERIC):
-        return -col
+        return f"-{name}"
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(col.cast("timestamp"))
+        return f"-unix_micros(CAST({name} AS TIMESTAMP))"
     if isinstance(dt, T.DateType):
-        return -F.unix_date(col)
+        return f"-unix_date({name})"
     if isinstance(dt, T.BooleanType):
-        return ~col
+        return f"NOT {name}"
     raise TypeError(f"ascending tie-break not supported for {dt.simpleString()}")
 
 
-def ordering_fields(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[Column]:
-    """Struct fields whose struct maximum realises the requested ordering."""
+def ordering_fields(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[str]:
+    """SQL struct fields whose struct maximum realises the requested ordering."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    out: list[Column] = []
+    out: list[str] = []
     for i, (name, how) in enumerate(order):
-        c = F.col(name)
+        c = q(name)
         if how == DESC_NULLS_FIRST:
-            out += [c.isNull().alias(f"_n{i}"), c.alias(f"_o{i}")]
+            out += [f"{c} IS NULL AS _n{i}", f"{c} AS _o{i}"]
         elif how == DESC_NULLS_LAST:
-            out += [c.alias(f"_o{i}")]  # nulls compare lowest inside a struct
+            out += [f"{c} AS _o{i}"]  # nulls compare lowest inside a struct
         elif how == ASC_NULLS_LAST:
-            out += [c.isNotNull().alias(f"_n{i}"), _negated(c, types[name]).alias(f"_o{i}")]
+            out += [f"{c} IS NOT NULL AS _n{i}", f"{_negated(c, types[name])} AS _o{i}"]
         elif how == ASC_NULLS_FIRST:
-            out += [c.isNull().alias(f"_n{i}"), _negated(c, types[name]).alias(f"_o{i}")]
+            out += [f"{c} IS NULL AS _n{i}", f"{_negated(c, types[name])} AS _o{i}"]
         else:
             raise ValueError(f"unknown ordering {how!r}")
     return out
@@ -77,9 +79,10 @@ def latest_per_key(
     """
     cols = df.columns
     payload = [c for c in cols if c not in keys]  # keys come back from the grouping
-    best = F.max(F.struct(*ordering_fields(df, order), F.struct(*[F.col(c) for c in payload]).alias("_row")))
+    row = "struct(" + ", ".join(q(c) for c in payload) + ") AS _row"
+    best = F.expr("max(struct(" + ", ".join(ordering_fields(df, order) + [row]) + "))")
     grouped = df.groupBy(*keys).agg(best.alias("_best"))
-    out = grouped.select(*[F.col(c) if c in keys else F.col(f"_best._row.{c}").alias(c) for c in cols])
+    out = grouped.selectExpr(*[q(c) if c in keys else f"_best._row.{q(c)} AS {q(c)}" for c in cols])
     if row_number_col:
         out = out.withColumn(row_number_col, F.lit(1))
     return out

@@ -52,6 +52,18 @@ def checked_broadcast(df: DataFrame, max_rows: int, what: str = "lookup") -> boo
     return True
 
 
+def check_sizes(dims: Sequence[tuple[DataFrame, int, str]]) -> list[bool]:
+    """:func:`checked_broadcast` for several dimensions, running the bounded count
+    jobs of those without a known bound concurrently (one driver thread each)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [(d, m, w) for d, m, w in dims if known_bound(d) is None]
+    if len(todo) > 1:
+        with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
+            list(pool.map(lambda a: checked_broadcast(*a), todo))
+    return [checked_broadcast(d, m, w) for d, m, w in dims]
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,

@@ -21,26 +21,25 @@ def date_spine(spark: SparkSession, start: str, n_days: int) -> DataFrame:
 def dim_calendar(spark: SparkSession, rules: Rules = Rules(), start: str | None = None, n_days: int | None = None) -> DataFrame:
     """I4: one row per day with keys, names, ISO week, weekend and holiday flags."""
     n = n_days if n_days is not None else rules.calendar_days
-    d = F.col("date_day")
+    d = "date_day"
     spine = date_spine(spark, start or rules.calendar_start, n)
     base = spine.select(
         C.date_key(d).alias("date_id"),
         d,
-        F.year(d).alias("year"),
-        F.month(d).alias("month"),
+        F.expr("year(date_day)").alias("year"),
+        F.expr("month(date_day)").alias("month"),
         C.month_abbr(d).alias("month_name"),
-        F.dayofmonth(d).alias("day_of_month"),
+        F.expr("dayofmonth(date_day)").alias("day_of_month"),
         C.day_of_week0(d).alias("day_of_week"),
         C.day_abbr(d).alias("day_name"),
-        F.quarter(d).alias("quarter"),
-        F.weekofyear(d).alias("week_of_year"),
+        F.expr("quarter(date_day)").alias("quarter"),
+        F.expr("weekofyear(date_day)").alias("week_of_year"),
     )
-    hol = C.holiday_name(F.col("month"), F.col("day_of_month"))
     out = base.select(
         "*",
         C.weekend_flag("day_of_week").alias("is_weekend"),
-        hol.alias("holiday_name"),
-    ).select("*", C.flag(F.col("holiday_name").isNotNull()).alias("is_holiday"), run_ts(rules).alias("dbt_updated_at"))
+        C.holiday_name("month", "day_of_month").alias("holiday_name"),
+    ).select("*", C.flag_sql("{0} IS NOT NULL", "holiday_name").alias("is_holiday"), run_ts(rules).alias("dbt_updated_at"))
     return bounded(out, n)
 
 

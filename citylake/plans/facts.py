@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citylake.config import Rules
 from citylake.functions import columns as C
-from citylake.operators.joins import lookup_join
+from citylake.operators.joins import check_sizes, lookup_join
 from citylake.plans.silver import run_ts
 
 FACT_TRIP_EXTRA = (
@@ -47,6 +47,7 @@ def gold_fact_trips(
     c_cols = ["is_holiday", "is_weekend", "holiday_name"]
     t = trips.withColumn("pickup_date_id", C.date_key("pickup_datetime"))
     m = rules.broadcast_max_rows
+    check_sizes([(weather, m, "hourly weather"), (zones, m, "zones"), (calendar, m, "calendar")])
     j = lookup_join(t, weather, ["pickup_hour_truncated"], ["weather_time"], m, "hourly weather", w_cols)
     j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", z_cols)
     j = lookup_join(j, calendar, ["pickup_date_id"], ["date_id"], m, "calendar", c_cols)
@@ -94,7 +95,7 @@ def gold_fact_sustainability(trips: DataFrame, rules: Rules = Rules()) -> DataFr
         C.date_key("pickup_datetime").alias("pickup_date_id"),
         "co2_emission_grams",
         (co2 / 1000.0).alias("co2_emission_kg"),
-        C.co2_per_passenger_mile(co2, "trip_distance", "passenger_count").alias("co2_per_passenger_mile"),
+        C.co2_per_passenger_mile("co2_emission_grams", "trip_distance", "passenger_count").alias("co2_per_passenger_mile"),
         C.flag(F.col("trip_distance") < rules.short_trip_miles).alias("is_short_efficiency_risk"),
         run_ts(rules).alias("dbt_updated_at"),
     )
@@ -118,7 +119,7 @@ def gold_agg_demand_weather(fact_trips: DataFrame, rules: Rules = Rules()) -> Da
         C.stable_avg("trip_distance", rules).alias("avg_trip_distance"),
     )
     key = C.null_safe_key(
-        [C.ts_key_text("pickup_hour_truncated"), F.col("pickup_borough"), F.col("weather_category")]
+        ["pickup_hour_truncated", "pickup_borough", "weather_category"], timestamps=["pickup_hour_truncated"]
     )
     return agg.select(key.alias("agg_id"), *agg.columns, run_ts(rules).alias("last_aggregated_at"))
 
@@ -135,6 +136,8 @@ def fact_trips_labeled(
     """E5: the trip fact with the labels of its conformed dimensions. ``fact_trips``
     must carry ``weather_code`` (``gold_fact_trips(..., with_weather_code=True)``)."""
     m = rules.broadcast_max_rows
+    check_sizes([(vendors, m, "vendors"), (rate_codes, m, "rate codes"), (payment_types, m, "payment types"),
+                 (zones, m, "zones"), (weather_lookup, m, "weather lookup")])
     j = lookup_join(fact_trips, vendors, ["vendor_id"], ["vendor_id"], m, "vendors", ["vendor_name"])
     j = lookup_join(j, rate_codes, ["rate_code_id"], ["rate_code_id"], m, "rate codes", ["rate_code_name"])
     j = lookup_join(j, payment_types, ["payment_type_id"], ["payment_type_id"], m, "payment types", ["payment_type_name"])

@@ -16,6 +16,12 @@ from citylake.operators.dedup import DESC_NULLS_FIRST, DESC_NULLS_LAST, latest_p
 from citylake.operators.joins import lookup_join
 
 TRIP_KEY = ("vendor_id", "pickup_datetime", "pickup_location_id")
+STG_COLUMNS = (
+    "trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
+    "pickup_location_id", "dropoff_location_id", "rate_code_id", "payment_type_id", "fare_amount", "source_file",
+    "loaded_at", "row_num", "trip_duration_minutes", "pickup_hour", "pickup_day_of_week", "pickup_hour_truncated",
+    "dbt_updated_at", "emission_factor", "co2_emission_grams", "is_distance_anomaly", "is_fare_anomaly",
+)
 # Latest copy first: newest LOADED_AT (a null one counts as newest), then source file;
 # the remaining columns break any tie left (see operators.dedup).
 TRIP_ORDER = (("loaded_at", DESC_NULLS_FIRST), ("source_file", DESC_NULLS_LAST))
@@ -55,24 +61,23 @@ def latest_trips(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def quality_filter(df: DataFrame, rules: Rules) -> DataFrame:
     """D1. Applied after deduplication: a trip whose newest copy is bad is dropped
     even if an older copy was good. Null comparisons drop the row."""
-    p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
     return df.where(
         (F.col("fare_amount") > 0)
         & (F.col("trip_distance") > 0)
         & (F.col("passenger_count") > 0)
-        & (p < d)
-        & (C.minutes_crossed(p, d) <= rules.max_duration_minutes)
+        & (F.col("pickup_datetime") < F.col("dropoff_datetime"))
+        & (C.minutes_crossed("pickup_datetime", "dropoff_datetime") <= rules.max_duration_minutes)
     )
 
 
 def stg_taxi_trips(raw: DataFrame, emission_factors: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Bronze trips -> cleaned, deduplicated, enriched trips (23 columns)."""
     kept = quality_filter(latest_trips(raw, rules), rules)
-    p = F.col("pickup_datetime")
+    p = "pickup_datetime"
     enriched = kept.select(
         C.trip_key("vendor_id", "pickup_datetime", "pickup_location_id").alias("trip_id"),
-        *[F.col(c) for c in kept.columns],
-        C.minutes_crossed(p, F.col("dropoff_datetime")).alias("trip_duration_minutes"),
+        "*",
+        C.minutes_crossed(p, "dropoff_datetime").alias("trip_duration_minutes"),
         C.hour_of_day(p).alias("pickup_hour"),
         C.day_of_week0(p).alias("pickup_day_of_week"),
         C.truncate_hour(p).alias("pickup_hour_truncated"),
@@ -82,13 +87,15 @@ def stg_taxi_trips(raw: DataFrame, emission_factors: DataFrame, rules: Rules = R
         enriched, emission_factors, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors",
         ["emission_factor_g_mile"],
     )
-    factor = C.emission_factor("emission_factor_g_mile", rules)
     return j.select(
-        *[F.col(c) for c in enriched.columns],
-        factor.alias("emission_factor"),
-        (F.col("trip_distance") * factor).alias("co2_emission_grams"),
-        C.flag(F.col("trip_distance") > rules.max_distance_miles).alias("is_distance_anomaly"),
-        C.flag(F.col("fare_amount") > rules.max_fare).alias("is_fare_anomaly"),
+        "*",
+        C.emission_factor("emission_factor_g_mile", rules).alias("emission_factor"),
+        C.flag_sql(f"{{0}} > {rules.max_distance_miles!r}", "trip_distance").alias("is_distance_anomaly"),
+        C.flag_sql(f"{{0}} > {rules.max_fare!r}", "fare_amount").alias("is_fare_anomaly"),
+    ).select(
+        *STG_COLUMNS[:20],
+        (F.col("trip_distance") * F.col("emission_factor")).alias("co2_emission_grams"),
+        *STG_COLUMNS[21:],
     )
 
 

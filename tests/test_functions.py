@@ -51,9 +51,9 @@ def test_calendar_parts(spark):
     df = spark.createDataFrame([(d,)], "d date")
     r = df.select(
         C.day_of_week0("d"), C.date_key("d"), C.month_abbr("d"), C.day_abbr("d"), F.weekofyear("d"),
-        C.weekend_flag(C.day_of_week0("d")),
     ).first()
-    assert tuple(r) == (0, 20240107, "Jan", "Sun", 1, True)
+    assert df.select(C.day_of_week0("d").alias("w")).select(C.weekend_flag("w")).first()[0] is True
+    assert tuple(r) == (0, 20240107, "Jan", "Sun", 1)
 
 
 def test_truncate_hour_stays_ntz(spark):
@@ -77,7 +77,7 @@ def test_null_safe_key(spark):
     df = spark.createDataFrame([("a", None)], "x string, y string")
     import hashlib
 
-    got = df.select(C.null_safe_key([F.col("x"), F.col("y")])).first()[0]
+    got = df.select(C.null_safe_key(["x", "y"])).first()[0]
     assert got == hashlib.md5(b"a-_null_").hexdigest()
 
 

@@ -146,3 +146,25 @@ def test_weather_gaps_and_duplicates(spark):
 def test_raw_trips_table_ddl(spark, tmp_root):
     sinks.create_raw_trips_table(spark, "raw_taxi_trips_t", os.path.join(tmp_root, "rt"))
     assert len(spark.table("raw_taxi_trips_t").columns) == 21
+
+
+def test_table_lookup_by_layer_and_view(spark, tmp_root):
+    root = os.path.join(tmp_root, "lake")
+    sinks.write_version(spark, spark.range(5), f"{root}/silver/stg_zone_lookup")
+    assert files.table(spark, "silver", "stg_zone_lookup", root=root).count() == 5
+    with pytest.raises(ValueError):
+        files.table(spark, "platinum", "x", root=root)
+    sinks.as_view(spark.range(3), "v_three")
+    assert spark.table("v_three").count() == 3
+
+
+def test_run_ingest_composes_and_propagates_errors(spark, tmp_root):
+    out = os.path.join(tmp_root, "ingest")
+    r = sinks.run_ingest(lambda: spark.range(10), lambda df: df.where("id % 2 = 0"), lambda df: sinks.load(df, out))
+    assert r.rows == 5
+
+    def boom():
+        raise RuntimeError("source down")
+
+    with pytest.raises(RuntimeError):
+        sinks.run_ingest(boom, lambda df: df, lambda df: sinks.load(df, out))
