@@ -119,8 +119,12 @@ FIXTURE_CORE_BOROUGH = "AMERICA"
 def zones_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Bronze zone rows: one per nation; borough = region name (null for key 24),
     zone = nation name (+ ' Airport' when key % 8 = 0), service zone null."""
+    from citylake.operators.joins import checked_broadcast
+
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     r = region.select("r_regionkey", "r_name")
+    if checked_broadcast(region, 10_000, "regions"):
+        r = F.broadcast(r)
     j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
     k = F.col("n_nationkey")
     return j.select(
