@@ -168,3 +168,34 @@ def test_run_ingest_composes_and_propagates_errors(spark, tmp_root):
 
     with pytest.raises(RuntimeError):
         sinks.run_ingest(boom, lambda df: df, lambda df: sinks.load(df, out))
+
+
+def test_pipeline_job_from_landed_files(spark, tmp_root):
+    """The spark-submit entry point on landed trip, weather and zone files."""
+    from citylake.__main__ import main
+
+    land = os.path.join(tmp_root, "landing")
+    os.makedirs(land)
+    write_tlc(os.path.join(land, "yellow_tripdata_2023-01.parquet"), [tlc_row(i) for i in range(8)])
+    with open(os.path.join(land, "weather.json"), "w") as f:
+        hours = [f"2023-01-01T{h:02d}:00" for h in range(3)]
+        json.dump({"hourly": {"time": hours, "temperature_2m": [1.0] * 3, "precipitation": [0.0] * 3,
+                              "snowfall": [0.0] * 3, "windspeed_10m": [2.0] * 3, "weathercode": [0, 61, 71]}}, f)
+    with open(os.path.join(land, "zones.csv"), "w") as f:
+        f.write("LocationID,Borough,Zone,service_zone\n100,Manhattan,Midtown,Yellow Zone\n101,Queens,JFK Airport,Airports\n")
+    out = os.path.join(tmp_root, "wh")
+    assert main(["pipeline", "--trips", os.path.join(land, "yellow_tripdata_2023-01.parquet"),
+                 "--weather", os.path.join(land, "weather.json"), "--zones", os.path.join(land, "zones.csv"),
+                 "--out", out]) == 0
+    fact = spark.read.parquet(os.path.join(out, "gold", "gold_fact_trips"))
+    assert fact.count() == 8
+    assert fact.where("pickup_borough = 'Manhattan'").count() == 3
+    assert fact.where("weather_category = 'Clear'").count() == 8
+
+
+def test_text_time_functions(spark):
+    from citylake.functions import columns as C
+
+    df = spark.createDataFrame([("2023-01-01T05:30",)], "t string")
+    r = df.select(C.parse_ntz("t").alias("ts")).select("ts", C.iso_text("ts").alias("txt")).first()
+    assert r.ts == dt.datetime(2023, 1, 1, 5, 30) and r.txt == "2023-01-01 05:30:00"
