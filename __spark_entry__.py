@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -96,6 +97,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "f3_trip_profile": lambda s, d: P.trip_profile(_wh(s, d).raw_trips),
         "f4_duplicate_candidates": lambda s, d: P.duplicate_candidates(_wh(s, d).raw_trips, trip_key),
         "f5_duplicate_trip_keys": lambda s, d: P.duplicate_keys(_wh(s, d).raw_trips, trip_key),
+        "f5_duplicate_weather_hours": lambda s, d: P.duplicate_keys(_wh(s, d).raw_weather, ["TIME"]),
+        "f7_raw_trip_count": lambda s, d: P.row_count(_wh(s, d).raw_trips),
+        "h2_repaired_pickup_preview": lambda s, d: P.preview(
+            _wh(s, d).raw_trips.select(
+                C.repair_epoch("TPEP_PICKUP_DATETIME", T.TimestampNTZType()).alias("pickup_datetime")
+            ),
+            ["pickup_datetime"],
+            100,
+        ),
+        "j1_unique_location_id": lambda s, d: Q.unique(_wh(s, d).zones, "location_id"),
+        "j2_not_null_agg_columns": lambda s, d: Q.not_null(
+            _wh(s, d).agg_demand_weather, ["agg_id", "total_trips"], keep=["agg_id"]
+        ),
         "f6_weather_code_histogram": lambda s, d: P.value_histogram(
             _wh(s, d).raw_weather, "WEATHERCODE", "weather_code", "hours"
         ),

@@ -372,6 +372,18 @@ FROM raw_trips""",
     "f5_duplicate_trip_keys": """
 SELECT VENDORID, TPEP_PICKUP_DATETIME, PULOCATIONID, COUNT(*) AS copies
 FROM raw_trips GROUP BY VENDORID, TPEP_PICKUP_DATETIME, PULOCATIONID HAVING COUNT(*) > 1""",
+    "f5_duplicate_weather_hours": """
+SELECT TIME, COUNT(*) AS copies FROM raw_weather GROUP BY TIME HAVING COUNT(*) > 1""",
+    "f7_raw_trip_count": "SELECT COUNT(*) AS row_count FROM raw_trips",
+    "h2_repaired_pickup_preview": f"""
+SELECT {_repair('TPEP_PICKUP_DATETIME')} AS pickup_datetime FROM raw_trips
+ORDER BY pickup_datetime ASC NULLS LAST LIMIT 100""",
+    "j1_unique_location_id": """
+SELECT location_id, COUNT(*) AS copies FROM stg_zones WHERE location_id IS NOT NULL
+GROUP BY location_id HAVING COUNT(*) > 1""",
+    "j2_not_null_agg_columns": """
+SELECT agg_id, agg_id IS NULL AS agg_id_is_null, total_trips IS NULL AS total_trips_is_null
+FROM agg_demand WHERE agg_id IS NULL OR total_trips IS NULL""",
     "f6_weather_code_histogram": "SELECT WEATHERCODE AS weather_code, COUNT(*) AS hours FROM raw_weather GROUP BY WEATHERCODE",
     "f7_fact_row_count": "SELECT COUNT(*) AS row_count FROM fact_trips",
     "d3_weather_null_rows": """
