@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from citylake.functions.columns import rename_upper
 from citylake.sources.schemas import (
     RAW_TRIPS_SCHEMA,
+    TLC_FILE_SCHEMA,
     TRIP_SOURCE_COLUMNS,
     WEATHER_JSON_SCHEMA,
     ZONE_CSV_SCHEMA,
@@ -36,21 +37,12 @@ def read_trips(spark: SparkSession, paths: str | Sequence[str], loaded_at=None)
     load, as in the reference).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.parquet(*paths)
+    raw = spark.read.schema(TLC_FILE_SCHEMA).parquet(*paths)
     df = rename_upper(raw, TRIP_SOURCE_COLUMNS)
     src = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
     ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.localtimestamp()
     df = df.withColumn("SOURCE_FILE", src).withColumn("LOADED_AT", ts)
-    cols = []
-    for f in RAW_TRIPS_SCHEMA.fields:
-        if f.name in df.columns:
-            src_type = df.schema[f.name].dataType
-            # Epoch numbers are kept as they are (the silver model repairs their scale).
-            keep = f.name.startswith("TPEP_") and isinstance(src_type, T.NumericType)
-            cols.append(F.col(f.name) if keep else F.col(f.name).cast(f.dataType))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TRIPS_SCHEMA.fields])
 
 
 def read_weather(spark: SparkSession, path: str, source_url: str = "", loaded_at: str | None = None) -> DataFrame:

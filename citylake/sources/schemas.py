@@ -33,6 +33,18 @@ RAW_TRIPS_SCHEMA = T.StructType(
     ]
 )
 
+# Landed TLC file columns (audit columns are added on load). Integer ids are read
+# as BIGINT, the widest type the monthly files use (INT32 columns widen on read), so
+# months written with different integer widths scan together; parquet column names
+# are matched case-insensitively (VendorID, Airport_fee, airport_fee).
+TLC_FILE_SCHEMA = T.StructType(
+    [
+        T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType)
+        for f in RAW_TRIPS_SCHEMA.fields
+        if f.name not in ("SOURCE_FILE", "LOADED_AT")
+    ]
+)
+
 # TLC file names map to the bronze names by upper-casing (VendorID -> VENDORID,
 # Airport_fee / airport_fee -> AIRPORT_FEE), so no explicit rename table is needed.
 TRIP_SOURCE_COLUMNS: dict[str, str] = {}

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from citylake.config import Rules
 from citylake.functions.columns import rename_upper
@@ -30,19 +29,9 @@ from citylake.operators.joins import checked_broadcast
 from citylake.plans.silver import TRIP_KEY, cast_trips, stg_taxi_trips
 from citylake.session import ensure_checkpoint_dir
 from citylake.sinks import incremental_upsert
-from citylake.sources.schemas import RAW_TRIPS_SCHEMA
+from citylake.sources.schemas import RAW_TRIPS_SCHEMA, TLC_FILE_SCHEMA
 from citylake.sources.seeds import seed
 
-# Landed TLC file columns (audit columns are added on load). Integer ids are read
-# as BIGINT, the widest type the monthly files use (INT32 columns widen on read);
-# to_bronze then casts to the bronze contract.
-TLC_FILE_SCHEMA = T.StructType(
-    [
-        T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType)
-        for f in RAW_TRIPS_SCHEMA.fields
-        if f.name not in ("SOURCE_FILE", "LOADED_AT")
-    ]
-)
 
 
 def to_bronze(batch: DataFrame, loaded_at) -> DataFrame:

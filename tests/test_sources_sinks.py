@@ -199,3 +199,20 @@ def test_text_time_functions(spark):
     df = spark.createDataFrame([("2023-01-01T05:30",)], "t string")
     r = df.select(C.parse_ntz("t").alias("ts")).select("ts", C.iso_text("ts").alias("txt")).first()
     assert r.ts == dt.datetime(2023, 1, 1, 5, 30) and r.txt == "2023-01-01 05:30:00"
+
+
+def test_read_trips_mixed_integer_widths_and_missing_column(spark, tmp_root):
+    a = os.path.join(tmp_root, "m1.parquet")
+    write_tlc(a, [tlc_row(i) for i in range(3)])  # VendorID int32, payment_type int64
+    b = os.path.join(tmp_root, "m2.parquet")
+    pdf = pd.DataFrame({"VendorID": pd.Series([2], dtype="int64"),
+                        "tpep_pickup_datetime": [pd.Timestamp("2023-02-01 10:00")],
+                        "tpep_dropoff_datetime": [pd.Timestamp("2023-02-01 10:05")],
+                        "passenger_count": [1.0], "trip_distance": [3.0], "RatecodeID": [1.0],
+                        "PULocationID": pd.Series([7], dtype="int64"), "DOLocationID": pd.Series([8], dtype="int64"),
+                        "payment_type": pd.Series([2], dtype="int32"), "fare_amount": [9.0]})  # no airport fee
+    pdf.to_parquet(b, index=False, coerce_timestamps="us")
+    df = files.read_trips(spark, [a, b], loaded_at="2024-02-01 00:00:00")
+    assert df.count() == 4
+    r = df.where("SOURCE_FILE = 'm2.parquet'").first()
+    assert r.VENDORID == 2 and r.PAYMENT_TYPE == 2 and r.AIRPORT_FEE is None
