@@ -1,6 +1,6 @@
 """Job entry point for spark-submit.
 
-    spark-submit -m citylake pipeline --trips 's3://lake/landing/trips/*.parquet' \
+    spark-submit -m citylake build --trips 's3://lake/landing/trips/*.parquet' \
         --weather 's3://lake/landing/weather/*.json' --zones s3://lake/landing/zones.csv \
         --out s3://lake/warehouse [--full-refresh] [--partition-facts-by pickup_date_id]
 
@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="citylake")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("pipeline", help="bronze files -> silver -> quality gate -> gold")
+    p = sub.add_parser("build", help="bronze files -> silver -> quality gate -> gold")
     p.add_argument("--trips", required=True, nargs="+")
     p.add_argument("--weather", required=True)
     p.add_argument("--zones", required=True)
@@ -41,11 +41,11 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = configure(SparkSession.builder.appName(f"citylake-{args.cmd}").getOrCreate())
     ensure_checkpoint_dir(spark)
-    if args.cmd == "pipeline":
-        from citylake.plans.pipeline import run_pipeline
+    if args.cmd == "build":
+        from citylake.plans.materialize import build_warehouse
         from citylake.sources import files
 
-        out = run_pipeline(
+        out = build_warehouse(
             spark,
             files.read_trips(spark, args.trips),
             files.read_weather(spark, args.weather),

@@ -51,7 +51,7 @@ def gold_checks(trips: DataFrame, fact: DataFrame, agg: DataFrame, calendar: Dat
     }
 
 
-def run_pipeline(
+def build_warehouse(
     spark: SparkSession,
     raw_trips: DataFrame,
     raw_weather: DataFrame,

@@ -5,15 +5,15 @@ import os
 import pytest
 
 from citylake.operators.quality import QualityGateError
-from citylake.plans.pipeline import run_pipeline
+from citylake.plans.materialize import build_warehouse
 from citylake.plans.warehouse import FIXTURE_RULES, Warehouse
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_matches_lazy_models(spark, tmp_root):
+def test_build_matches_lazy_models(spark, tmp_root):
     wh = Warehouse.from_testdata(spark, SF)
-    out = run_pipeline(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"),
+    out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"),
                        FIXTURE_RULES, fact_partition_by=["pickup_date_id"])
     assert spark.read.parquet(out["stg_taxi_trips"]).count() == wh.stg_trips.count()
     assert spark.read.parquet(out["gold_fact_trips"]).count() == wh.fact_trips.count()
@@ -21,7 +21,7 @@ def test_pipeline_matches_lazy_models(spark, tmp_root):
     want = sorted(map(tuple, wh.agg_demand_weather.select("agg_id", "total_trips").collect()))
     assert got == want
     # second run merges into a new silver version and keeps the same result
-    out2 = run_pipeline(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"), FIXTURE_RULES)
+    out2 = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"), FIXTURE_RULES)
     assert out2["stg_taxi_trips"] != out["stg_taxi_trips"]
     assert spark.read.parquet(out2["stg_taxi_trips"]).count() == wh.stg_trips.count()
 
@@ -30,6 +30,6 @@ def test_gate_stops_on_duplicate_weather_hours(spark, tmp_root):
     wh = Warehouse.from_testdata(spark, SF)
     doubled = wh.raw_weather.unionByName(wh.raw_weather)
     with pytest.raises(QualityGateError) as e:
-        run_pipeline(spark, wh.raw_trips, doubled, wh.raw_zones, os.path.join(tmp_root, "bad"), FIXTURE_RULES)
+        build_warehouse(spark, wh.raw_trips, doubled, wh.raw_zones, os.path.join(tmp_root, "bad"), FIXTURE_RULES)
     assert "stg_weather_hourly.weather_time unique" in e.value.failures
     assert not os.path.exists(os.path.join(tmp_root, "bad", "gold"))

@@ -170,7 +170,7 @@ def test_run_ingest_composes_and_propagates_errors(spark, tmp_root):
         sinks.run_ingest(boom, lambda df: df, lambda df: sinks.load(df, out))
 
 
-def test_pipeline_job_from_landed_files(spark, tmp_root):
+def test_build_job_from_landed_files(spark, tmp_root):
     """The spark-submit entry point on landed trip, weather and zone files."""
     from citylake.__main__ import main
 
@@ -184,7 +184,7 @@ def test_pipeline_job_from_landed_files(spark, tmp_root):
     with open(os.path.join(land, "zones.csv"), "w") as f:
         f.write("LocationID,Borough,Zone,service_zone\n100,Manhattan,Midtown,Yellow Zone\n101,Queens,JFK Airport,Airports\n")
     out = os.path.join(tmp_root, "wh")
-    assert main(["pipeline", "--trips", os.path.join(land, "yellow_tripdata_2023-01.parquet"),
+    assert main(["build", "--trips", os.path.join(land, "yellow_tripdata_2023-01.parquet"),
                  "--weather", os.path.join(land, "weather.json"), "--zones", os.path.join(land, "zones.csv"),
                  "--out", out]) == 0
     fact = spark.read.parquet(os.path.join(out, "gold", "gold_fact_trips"))
