@@ -108,10 +108,13 @@ def _version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version:010d}"
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """Newest committed (version, path) of a versioned table, or None."""
+def current_version(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, str] | None:
+    """Newest committed (version, path) of a versioned table (optionally the newest
+    strictly below ``below``), or None."""
     try:
         log = spark.read.schema("version LONG, path STRING, committed_at STRING").json(f"{root.rstrip('/')}/{_COMMITS}")
+        if below is not None:
+            log = log.where(F.col("version") < below)
         row = log.agg(F.max(F.struct("version", "path")).alias("m")).first()
     except Exception as e:  # no log yet
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
@@ -164,9 +167,11 @@ def incremental_upsert(
 
     First run or ``full_refresh``: the updates become the table. Otherwise the
     schema must match the current version exactly, and the new version is
-    ``upsert(current, updates, key)``.
+    ``upsert(current, updates, key)``. With an explicit ``version`` the merge base
+    is the newest version below it, so re-running the same version (a replayed
+    stream batch) recomputes the same result instead of merging into itself.
     """
-    cur = None if full_refresh else current_version(spark, root)
+    cur = None if full_refresh else current_version(spark, root, below=version)
     if cur is None:
         return write_version(spark, updates, root, version, partition_by)
     target = spark.read.parquet(cur[1])
