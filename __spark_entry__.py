@@ -96,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "e5_fact_trips_labeled": lambda s, d: _wh(s, d).fact_trips_labeled,
         "f3_trip_profile": lambda s, d: P.trip_profile(_wh(s, d).raw_trips),
         "f4_duplicate_candidates": lambda s, d: P.duplicate_candidates(_wh(s, d).raw_trips, trip_key),
+        "f4_duplicate_candidates_concat": lambda s, d: P.duplicate_candidates(_wh(s, d).raw_trips, trip_key, "concat"),
         "f5_duplicate_trip_keys": lambda s, d: P.duplicate_keys(_wh(s, d).raw_trips, trip_key),
         "f5_duplicate_weather_hours": lambda s, d: P.duplicate_keys(_wh(s, d).raw_weather, ["TIME"]),
         "f7_raw_trip_count": lambda s, d: P.row_count(_wh(s, d).raw_trips),

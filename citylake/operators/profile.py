@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _count_if(cond) -> F.Column:
@@ -30,11 +31,25 @@ def trip_profile(raw: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_candidates(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicate_candidates(raw: DataFrame, keys: Sequence[str], form: str = "tuple") -> DataFrame:
     """COUNT(*) - COUNT(DISTINCT key). A key with a null part is not counted as
-    distinct, as with the reference's concatenated key; comparing the parts as a
-    tuple avoids its '1'||'23' = '12'||'3' collisions."""
-    return raw.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])).alias("duplicate_candidate_count"))
+    distinct. ``form="tuple"`` compares the parts as a tuple; ``form="concat"``
+    reproduces the reference's concatenated text key exactly, including its
+    '1'||'23' = '12'||'3' collisions (timestamps rendered with milliseconds)."""
+    if form == "tuple":
+        distinct = F.count_distinct(*[F.col(k) for k in keys])
+    elif form == "concat":
+        types = {f.name: f.dataType for f in raw.schema.fields}
+        parts = [
+            F.date_format(k, "yyyy-MM-dd HH:mm:ss.SSS")
+            if isinstance(types[k], (T.TimestampType, T.TimestampNTZType))
+            else F.col(k).cast("string")
+            for k in keys
+        ]
+        distinct = F.count_distinct(F.concat(*parts))
+    else:
+        raise ValueError(f"unknown form {form!r}")
+    return raw.agg((F.count(F.lit(1)) - distinct).alias("duplicate_candidate_count"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "copies") -> DataFrame:

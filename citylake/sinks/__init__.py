@@ -188,11 +188,16 @@ class LoadResult:
     path: str
 
 
-def load(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> LoadResult:
+def load(
+    df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (), skip_empty: bool = True
+) -> LoadResult:
     """Write and report rows written and duration, counted in the same pass
-    through an ``Observation`` (no second scan)."""
-    obs = Observation("load")
+    through an ``Observation`` (no second scan). An empty input is skipped (nothing
+    is written); finding that out reads at most one row."""
     t0 = time.time()
+    if skip_empty and df.isEmpty():
+        return LoadResult(rows=0, seconds=round(time.time() - t0, 3), path=path)
+    obs = Observation("load")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode)
     if partition_by:

@@ -29,6 +29,18 @@ NA_TOKENS = [
 ]
 
 
+def monthly_trip_paths(base: str, first: str, last: str, prefix: str = "yellow_tripdata") -> list[str]:
+    """``base/<prefix>_YYYY-MM.parquet`` for every month from ``first`` to ``last``
+    (both 'YYYY-MM'), the monthly file naming of the trip source (A1)."""
+    y, m = (int(x) for x in first.split("-"))
+    ly, lm = (int(x) for x in last.split("-"))
+    out = []
+    while (y, m) <= (ly, lm):
+        out.append(f"{base.rstrip('/')}/{prefix}_{y:04d}-{m:02d}.parquet")
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
 def read_trips(spark: SparkSession, paths: str | Sequence[str], loaded_at=None) -> DataFrame:
     """Monthly TLC trip parquet files -> bronze trip rows (A1 + C1 + C2).
 

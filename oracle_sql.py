@@ -368,6 +368,10 @@ SELECT COUNT(*) - COUNT(DISTINCT CASE WHEN VENDORID IS NOT NULL AND TPEP_PICKUP_
                                           AND PULOCATIONID IS NOT NULL
                                      THEN (VENDORID, TPEP_PICKUP_DATETIME, PULOCATIONID) END)
        AS duplicate_candidate_count
+FROM raw_trips""",
+    "f4_duplicate_candidates_concat": f"""
+SELECT COUNT(*) - COUNT(DISTINCT CAST(VENDORID AS VARCHAR) || {_ms('TPEP_PICKUP_DATETIME')}
+                               || CAST(PULOCATIONID AS VARCHAR)) AS duplicate_candidate_count
 FROM raw_trips""",
     "f5_duplicate_trip_keys": """
 SELECT VENDORID, TPEP_PICKUP_DATETIME, PULOCATIONID, COUNT(*) AS copies

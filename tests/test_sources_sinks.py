@@ -216,3 +216,21 @@ def test_read_trips_mixed_integer_widths_and_missing_column(spark, tmp_root):
     assert df.count() == 4
     r = df.where("SOURCE_FILE = 'm2.parquet'").first()
     assert r.VENDORID == 2 and r.PAYMENT_TYPE == 2 and r.AIRPORT_FEE is None
+
+
+def test_monthly_paths_and_empty_load(spark, tmp_root):
+    ps = files.monthly_trip_paths("s3://b/trips", "2022-11", "2023-02")
+    assert [p.rsplit("/", 1)[1] for p in ps] == [
+        "yellow_tripdata_2022-11.parquet", "yellow_tripdata_2022-12.parquet",
+        "yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-02.parquet"]
+    out = os.path.join(tmp_root, "empty")
+    r = sinks.load(spark.range(0), out)
+    assert r.rows == 0 and not os.path.exists(out)
+
+
+def test_duplicate_candidates_concat_collisions(spark):
+    from citylake.operators.profile import duplicate_candidates
+
+    df = spark.createDataFrame([("1", "23"), ("12", "3"), ("1", "23"), (None, "x")], "a string, b string")
+    assert duplicate_candidates(df, ["a", "b"]).first()[0] == 2            # 3 distinct tuples, null skipped
+    assert duplicate_candidates(df, ["a", "b"], "concat").first()[0] == 3  # '123' collides
