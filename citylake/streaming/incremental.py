@@ -11,7 +11,9 @@ micro-batch, in ``foreachBatch``:
    copies of those keys, old and new, restricted to the batch's pickup-time range
    so parquet min/max statistics skip unrelated row groups -- which equals
    re-evaluating the whole source for every key whose rows changed;
-3. merges the result into the versioned silver table with version = batch id.
+3. merges the result into the versioned silver table with version = batch id + 1
+   (the stream owns that table's version numbering; a replayed batch merges
+   against the version below its own and rewrites its own folder).
 
 The query runs with ``trigger(availableNow=True)`` (process what has landed, then
 stop) and keeps its progress under the shared checkpoint folder, so a restarted

@@ -41,6 +41,20 @@ def test_matches_row_number_on_random_rows(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+def test_matches_row_number_with_nullable_composite_keys(spark):
+    rnd = random.Random(3)
+    data = [(rnd.choice([None, 1, 2]), rnd.choice([None, "x", "y"]), rnd.choice([None, 1, 2, 3]), rnd.randint(0, 9))
+            for _ in range(1500)]
+    df = spark.createDataFrame(data, "k1 int, k2 string, o int, v int")
+    order = [("o", DESC_NULLS_FIRST)]
+    got = latest_per_key(df, ["k1", "k2"], order)
+    df.createOrReplaceTempView("t2")
+    ob = tie_break_sql(df.columns, ["k1", "k2"], order)
+    want = spark.sql(f"SELECT k1, k2, o, v FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k1, k2 ORDER BY {ob}) rn FROM t2) WHERE rn = 1")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert got.count() == 9
+
+
 def test_plan_has_partial_aggregate_before_single_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     out = latest_per_key(df, ["k"], [("v", DESC_NULLS_LAST)])
