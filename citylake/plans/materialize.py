@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citylake import sinks
 from citylake.config import Rules
@@ -61,12 +62,17 @@ def build_warehouse(
     rules: Rules = Rules(),
     full_refresh: bool = False,
     fact_partition_by: Sequence[str] = (),
+    silver_layout: str = "versioned",
+    run_id: str | None = None,
 ) -> dict[str, str]:
     """Build every model under ``root/{silver,gold}/<name>``; return name -> path.
 
-    Silver trips are merged into a versioned table (incremental upsert by
-    ``trip_id``; ``full_refresh`` rebuilds it). Weather and zones are small
-    full rebuilds. Gold tables are full rebuilds from the written silver tables.
+    Silver trips are merged by ``trip_id``: ``silver_layout="versioned"`` writes a
+    new complete version per run (``full_refresh`` rebuilds it);
+    ``"by_pickup_date"`` keeps the table partitioned by pickup date and rewrites
+    only the dates the run touches (``run_id`` names the run's staging folder, so
+    a rerun of a failed run is idempotent). Weather and zones are small full
+    rebuilds. Gold tables are full rebuilds from the written silver tables.
     """
     out: dict[str, str] = {}
     ef = seed(spark, "seed_emission_factors")
@@ -74,7 +80,16 @@ def build_warehouse(
     # ---- silver
     stg = silver.stg_taxi_trips(raw_trips, ef, rules)
     trips_root = _p(root, "silver", "stg_taxi_trips")
-    _, out["stg_taxi_trips"] = sinks.incremental_upsert(spark, trips_root, stg, "trip_id", full_refresh=full_refresh)
+    if silver_layout == "versioned":
+        _, out["stg_taxi_trips"] = sinks.incremental_upsert(spark, trips_root, stg, "trip_id", full_refresh=full_refresh)
+    elif silver_layout == "by_pickup_date":
+        import uuid
+
+        dated = stg.withColumn("pickup_date", F.to_date("pickup_datetime"))
+        sinks.partitioned_upsert(spark, trips_root, dated, "trip_id", "pickup_date", run_id or uuid.uuid4().hex)
+        out["stg_taxi_trips"] = trips_root
+    else:
+        raise ValueError(f"unknown silver layout {silver_layout!r}")
     for name, df in (
         ("stg_weather_hourly", silver.stg_weather_hourly(raw_weather, rules)),
         ("stg_zone_lookup", silver.stg_zone_lookup(raw_zones, rules)),
@@ -82,7 +97,7 @@ def build_warehouse(
         out[name] = _p(root, "silver", name)
         sinks.overwrite(df, out[name])
 
-    trips = spark.read.parquet(out["stg_taxi_trips"])
+    trips = spark.read.parquet(out["stg_taxi_trips"]).select(*silver.STG_COLUMNS)
     weather = spark.read.parquet(out["stg_weather_hourly"])
     zones = spark.read.parquet(out["stg_zone_lookup"])
     Q.gate(silver_checks(trips, weather, zones))

@@ -179,6 +179,62 @@ def incremental_upsert(
     return write_version(spark, upsert(target, updates, key), root, version, partition_by)
 
 
+def partitioned_upsert(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    key: str | Sequence[str],
+    partition_col: str,
+    run_id: str,
+    max_partitions: int = 100_000,
+) -> list:
+    """B5 for a table partitioned by ``partition_col``: only the partitions the
+    updates touch are read and rewritten.
+
+    Requires that a key never changes partition (true for trips partitioned by
+    pickup date: the trip key hashes the pickup time). Steps:
+
+    1. the distinct partition values of ``updates`` (bounded by the number of
+       partitions, checked against ``max_partitions``) select the touched
+       partitions of the table by partition pruning;
+    2. ``upsert(touched, updates)`` is written to ``path/_staging/<run_id>`` (a
+       hidden folder, ignored by readers of ``path``);
+    3. the staged rows replace exactly those partitions with a dynamic partition
+       overwrite.
+
+    Rerunning the same ``run_id`` after a failure at any step gives the same table:
+    the upsert is idempotent and step 3 only replaces whole partitions.
+    Returns the touched partition values.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    parts_df = updates.select(partition_col).distinct()
+    if not checked_broadcast(parts_df, max_partitions, "touched partitions"):
+        raise ValueError(f"updates touch more than {max_partitions} partitions; use a full rebuild")
+    touched = [r[0] for r in parts_df.collect()]
+    staging = f"{path.rstrip('/')}/_staging/{run_id}"
+    try:
+        current = spark.read.parquet(path)
+        exists = True
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        exists = False
+    if exists:
+        # Data columns must match; the partition column's type comes from the
+        # folder names, so read the table with the declared schema.
+        assert_schema(updates.drop(partition_col).schema, current.drop(partition_col).schema)
+        current = spark.read.schema(updates.schema).parquet(path)
+        target = current.where(F.col(partition_col).isin(touched))
+        merged = upsert(target, updates.select(*current.columns), keys)
+    else:
+        merged = updates
+    overwrite(merged, staging, [partition_col])
+    staged = spark.read.parquet(staging).select(*updates.columns)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+    return touched
+
+
 # ---------------------------------------------------------------- B9, B10
 
 @dataclass(frozen=True)

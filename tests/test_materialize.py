@@ -33,3 +33,14 @@ def test_gate_stops_on_duplicate_weather_hours(spark, tmp_root):
         build_warehouse(spark, wh.raw_trips, doubled, wh.raw_zones, os.path.join(tmp_root, "bad"), FIXTURE_RULES)
     assert "stg_weather_hourly.weather_time unique" in e.value.failures
     assert not os.path.exists(os.path.join(tmp_root, "bad", "gold"))
+
+
+def test_build_with_date_partitioned_silver(spark, tmp_root):
+    wh = Warehouse.from_testdata(spark, SF)
+    root = os.path.join(tmp_root, "dated")
+    for run in ("r1", "r2"):
+        out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES,
+                              silver_layout="by_pickup_date", run_id=run)
+    silver_dirs = [d for d in os.listdir(out["stg_taxi_trips"]) if d.startswith("pickup_date=")]
+    assert len(silver_dirs) >= 28
+    assert spark.read.parquet(out["gold_fact_trips"]).count() == wh.stg_trips.count()
