@@ -10,6 +10,10 @@ from __future__ import annotations
 
 RUN_TS = "TIMESTAMP '2024-03-01 00:00:00'"
 
+# Fixed values of the reference's rules (weather classes, holidays, seeds, the
+# thresholds 100 / 500 / 180 / 406 / 70 / 0.5 / 1.5) appear below as SQL literals;
+# they are the same values as in citylake (functions/columns.py, sources/seeds.py,
+# config.Rules).
 CATEGORY = """CASE
     WHEN {c} IN (0, 1, 2, 3) THEN 'Clear'
     WHEN {c} IN (45, 48) THEN 'Fog'

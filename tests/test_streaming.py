@@ -37,8 +37,9 @@ def test_replayed_batch_is_idempotent(spark, tmp_root):
 
     p = os.path.join(tmp_root, "f.parquet")
     write_tlc(p, [tlc_row(i) for i in range(5)])
-    batch = spark.read.schema(TLC_FILE_SCHEMA).parquet(p).withColumn(
-        "SOURCE_FILE", __import__("pyspark.sql.functions", fromlist=["lit"]).lit("f.parquet"))
+    from pyspark.sql import functions as F
+
+    batch = spark.read.schema(TLC_FILE_SCHEMA).parquet(p).withColumn("SOURCE_FILE", F.lit("f.parquet"))
     bronze, silver_root = os.path.join(tmp_root, "bronze"), os.path.join(tmp_root, "silver")
     at = dt.datetime(2024, 2, 1)
     process_batch(spark, batch, 0, bronze, silver_root, loaded_at=at)
