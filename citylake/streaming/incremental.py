@@ -11,9 +11,9 @@ micro-batch, in ``foreachBatch``:
    copies of those keys, old and new, restricted to the batch's pickup-time range
    so parquet min/max statistics skip unrelated row groups -- which equals
    re-evaluating the whole source for every key whose rows changed;
-3. merges the result into the versioned silver table with version = batch id + 1
-   (the stream owns that table's version numbering; a replayed batch merges
-   against the version below its own and rewrites its own folder).
+3. merges the result into silver trips partitioned by pickup date, rewriting only
+   the dates the batch touches (``sinks.partitioned_upsert``; the staging folder is
+   named by the batch id, so a replayed batch converges to the same table).
 
 The query runs with ``trigger(availableNow=True)`` (process what has landed, then
 stop) and keeps its progress under the shared checkpoint folder, so a restarted
@@ -30,7 +30,7 @@ from citylake.functions.columns import rename_upper
 from citylake.operators.joins import checked_broadcast
 from citylake.plans.silver import TRIP_KEY, cast_trips, stg_taxi_trips
 from citylake.session import ensure_checkpoint_dir
-from citylake.sinks import incremental_upsert
+from citylake.sinks import partitioned_upsert
 from citylake.sources.schemas import RAW_TRIPS_SCHEMA, TLC_FILE_SCHEMA
 from citylake.sources.seeds import seed
 
@@ -90,7 +90,18 @@ def process_batch(
     bronze = spark.read.schema(RAW_TRIPS_SCHEMA).parquet(bronze_path)
     written = bronze.where(F.col("batch") == batch_id).drop("batch")
     stg = stg_taxi_trips(touched_trips(bronze.drop("batch"), written, rules), seed(spark, "seed_emission_factors"), rules)
-    incremental_upsert(spark, silver_root, stg, "trip_id", version=batch_id + 1)
+    dated = stg.withColumn(SILVER_PARTITION, F.to_date("pickup_datetime"))
+    partitioned_upsert(spark, silver_root, dated, "trip_id", SILVER_PARTITION, run_id=f"batch-{batch_id:010d}")
+
+
+SILVER_PARTITION = "pickup_date"
+
+
+def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
+    """The stream's silver trips (without the partition column)."""
+    from citylake.plans.silver import STG_COLUMNS
+
+    return spark.read.parquet(silver_root).select(*STG_COLUMNS)
 
 
 def start_trip_stream(

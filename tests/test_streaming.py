@@ -3,8 +3,7 @@
 import datetime as dt
 import os
 
-from citylake import sinks
-from citylake.streaming.incremental import start_trip_stream
+from citylake.streaming.incremental import read_silver, start_trip_stream
 from test_sources_sinks import tlc_row, write_tlc
 
 
@@ -15,7 +14,7 @@ def test_stream_merges_resent_and_new_files(spark, tmp_root):
     bronze, silver_root = os.path.join(tmp_root, "bronze"), os.path.join(tmp_root, "silver")
     q = start_trip_stream(spark, landing, bronze, silver_root, checkpoint=os.path.join(tmp_root, "ckpt"))
     q.awaitTermination(120)
-    first = sinks.read_current(spark, silver_root)
+    first = read_silver(spark, silver_root)
     assert first.count() == 6
 
     # re-sent file: trip 0 corrected (fare 11), trip 1 now bad (fare -1, kept in silver), plus one new trip
@@ -23,7 +22,7 @@ def test_stream_merges_resent_and_new_files(spark, tmp_root):
     write_tlc(os.path.join(landing, "yellow_tripdata_2023-01-resend.parquet"), rows)
     q = start_trip_stream(spark, landing, bronze, silver_root, checkpoint=os.path.join(tmp_root, "ckpt"))
     q.awaitTermination(120)
-    cur = {r.pickup_datetime: r for r in sinks.read_current(spark, silver_root).collect()}
+    cur = {r.pickup_datetime: r for r in read_silver(spark, silver_root).collect()}
     assert len(cur) == 7
     t0 = dt.datetime(2023, 1, 1, 0, 0)
     assert cur[t0].fare_amount == 11.0
@@ -43,8 +42,8 @@ def test_replayed_batch_is_idempotent(spark, tmp_root):
     bronze, silver_root = os.path.join(tmp_root, "bronze"), os.path.join(tmp_root, "silver")
     at = dt.datetime(2024, 2, 1)
     process_batch(spark, batch, 0, bronze, silver_root, loaded_at=at)
-    first = sorted(map(tuple, sinks.read_current(spark, silver_root).drop("dbt_updated_at").collect()))
+    first = sorted(map(tuple, read_silver(spark, silver_root).drop("dbt_updated_at").collect()))
     process_batch(spark, batch, 0, bronze, silver_root, loaded_at=at)  # replay
-    again = sorted(map(tuple, sinks.read_current(spark, silver_root).drop("dbt_updated_at").collect()))
+    again = sorted(map(tuple, read_silver(spark, silver_root).drop("dbt_updated_at").collect()))
     assert spark.read.parquet(bronze).count() == 5
     assert first == again and len(first) == 5
