@@ -35,16 +35,35 @@ def known_bound(df: DataFrame) -> int | None:
     return getattr(df, _BOUND_ATTR, None)
 
 
+# Counted bounds per session, keyed by the plan's semantic hash and its input files:
+# the same dimension plan over the same files is counted once per session, and a
+# change in the input files changes the key (so the check runs again).
+_COUNTED: dict[tuple, int] = {}
+
+
+def _plan_key(df: DataFrame) -> tuple | None:
+    try:
+        return (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())))
+    except Exception:  # pragma: no cover - plans without a semantic hash
+        return None
+
+
 def checked_broadcast(df: DataFrame, max_rows: int, what: str = "lookup") -> bool:
     """True if ``df`` provably has at most ``max_rows`` rows.
 
     A bound recorded at construction (:func:`bounded`) is used as is; otherwise at
-    most ``max_rows + 1`` rows are counted once and the result is remembered on
-    the DataFrame object, so a dimension shared by several joins is checked once.
+    most ``max_rows + 1`` rows are counted once and the result is remembered (on
+    the DataFrame object, and per session for the same plan over the same files),
+    so a dimension shared by several joins or queries is checked once.
     """
     bound = known_bound(df)
     if bound is None:
-        bound = df.limit(max_rows + 1).count()
+        key = _plan_key(df)
+        bound = _COUNTED.get(key) if key is not None else None
+        if bound is None or bound > max_rows:
+            bound = df.limit(max_rows + 1).count()
+            if key is not None:
+                _COUNTED[key] = bound
         bounded(df, bound)
     if bound > max_rows:
         log.warning("%s has more than %d rows; joining without broadcast", what, max_rows)
