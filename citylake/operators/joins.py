@@ -91,6 +91,7 @@ def lookup_join(
     max_rows: int,
     what: str = "lookup",
     columns: Sequence | None = None,
+    drop_keys: bool = True,
 ) -> DataFrame:
     """fact LEFT JOIN dim ON fact_keys = dim_keys, keeping every fact row.
 
@@ -111,4 +112,7 @@ def lookup_join(
     for fk, t in zip(fact_keys, tmp):
         c = fact[fk] == d[t]
         cond = c if cond is None else cond & c
-    return fact.join(d, cond, "left").drop(*tmp)
+    joined = fact.join(d, cond, "left")
+    # Callers that project explicit columns next pass drop_keys=False and save a
+    # plan step (each DataFrame step is analysed eagerly on the driver).
+    return joined.drop(*tmp) if drop_keys else joined

@@ -48,9 +48,9 @@ def gold_fact_trips(
     t = trips.withColumn("pickup_date_id", C.date_key("pickup_datetime"))
     m = rules.broadcast_max_rows
     check_sizes([(weather, m, "hourly weather"), (zones, m, "zones"), (calendar, m, "calendar")])
-    j = lookup_join(t, weather, ["pickup_hour_truncated"], ["weather_time"], m, "hourly weather", w_cols)
-    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", z_cols)
-    j = lookup_join(j, calendar, ["pickup_date_id"], ["date_id"], m, "calendar", c_cols)
+    j = lookup_join(t, weather, ["pickup_hour_truncated"], ["weather_time"], m, "hourly weather", w_cols, False)
+    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", z_cols, False)
+    j = lookup_join(j, calendar, ["pickup_date_id"], ["date_id"], m, "calendar", c_cols, False)
     out_cols = list(trips.columns) + list(FACT_TRIP_EXTRA)
     if with_weather_code:
         out_cols.append("weather_code")

@@ -85,17 +85,15 @@ def stg_taxi_trips(raw: DataFrame, emission_factors: DataFrame, rules: Rules = R
     )
     j = lookup_join(
         enriched, emission_factors, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors",
-        ["emission_factor_g_mile"],
+        ["emission_factor_g_mile"], drop_keys=False,
     )
+    factor = C.emission_factor("emission_factor_g_mile", rules)
     return j.select(
-        "*",
-        C.emission_factor("emission_factor_g_mile", rules).alias("emission_factor"),
+        *STG_COLUMNS[:19],
+        factor.alias("emission_factor"),
+        (F.col("trip_distance") * factor).alias("co2_emission_grams"),
         C.flag_sql(f"{{0}} > {rules.max_distance_miles!r}", "trip_distance").alias("is_distance_anomaly"),
         C.flag_sql(f"{{0}} > {rules.max_fare!r}", "fare_amount").alias("is_fare_anomaly"),
-    ).select(
-        *STG_COLUMNS[:20],
-        (F.col("trip_distance") * F.col("emission_factor")).alias("co2_emission_grams"),
-        *STG_COLUMNS[21:],
     )
 
 
