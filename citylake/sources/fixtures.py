@@ -150,16 +150,17 @@ def lineitem_rows(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def latest_lineitem(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def latest_lineitem(lineitem: DataFrame, orders: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Fixture L: the latest copy per (order, line) -- newest ship date, then lowest
     part, supplier and price -- with its order date.
 
     The dedup aggregate runs first (partial aggregate before its shuffle, so a hot
-    key cannot pile up in one task); the order-date join follows and is planned
-    by size (broadcast when orders are small, otherwise a shuffle join whose
-    skewed partitions AQE splits).
+    key cannot pile up in one task); the order-date join follows: orders are
+    broadcast only after a bounded count shows at most ``max_broadcast_rows``
+    rows, otherwise it is a shuffle join whose skewed partitions AQE splits.
     """
     from citylake.operators.dedup import ASC_NULLS_LAST, DESC_NULLS_LAST, latest_per_key
+    from citylake.operators.joins import checked_broadcast
 
     order = [
         ("l_shipdate", DESC_NULLS_LAST),
@@ -169,6 +170,8 @@ def latest_lineitem(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     ]
     latest = latest_per_key(lineitem_rows(lineitem), ["l_orderkey", "l_linenumber"], order)
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
+    if checked_broadcast(orders, max_broadcast_rows, "orders"):
+        o = F.broadcast(o)
     return latest.join(o, latest["l_orderkey"] == o["o_orderkey"], "inner").drop("o_orderkey")
 
 
