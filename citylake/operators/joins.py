@@ -7,7 +7,8 @@ calendar days, seed rows). We broadcast a dimension only after checking its size
 * a dimension built from literal rows or ``spark.range(n)`` has a proven bound and is
   marked with :func:`bounded` when it is built;
 * any other dimension goes through :func:`checked_broadcast`, which counts at most
-  ``max_rows + 1`` rows (a bounded job) and broadcasts only under the bound. Above
+  ``max_rows + 1`` rows in a few tasks (:func:`bounded_count`, a bounded job
+  whatever the input size) and broadcasts only under the bound. Above
   it the join stays a plain equi-join, so Catalyst/AQE plan a shuffle join (with
   skew-join splitting) instead of shipping an oversized table to every executor.
 """
@@ -41,6 +42,21 @@ def known_bound(df: DataFrame) -> int | None:
 _COUNTED: dict[tuple, int] = {}
 
 
+_PROBE_TASKS = 8
+
+
+def bounded_count(df: DataFrame, cap: int) -> int:
+    """min(row count, cap), reading at most ``_PROBE_TASKS * cap`` rows.
+
+    ``df.limit(cap).count()`` alone plans a per-partition limit followed by a
+    single-partition exchange, i.e. up to ``partitions * cap`` rows read and
+    shuffled for a large table. Coalescing to a few tasks first (no shuffle)
+    makes each task stop after ``cap`` rows, so the probe stays small however
+    large the input is; no columns are read.
+    """
+    return df.coalesce(_PROBE_TASKS).limit(cap).count()
+
+
 def _plan_key(df: DataFrame) -> tuple | None:
     try:
         return (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())))
@@ -61,7 +77,7 @@ def checked_broadcast(df: DataFrame, max_rows: int, what: str = "lookup") -> boo
         key = _plan_key(df)
         bound = _COUNTED.get(key) if key is not None else None
         if bound is None or bound > max_rows:
-            bound = df.limit(max_rows + 1).count()
+            bound = bounded_count(df, max_rows + 1)
             if key is not None:
                 _COUNTED[key] = bound
         bounded(df, bound)
