@@ -87,6 +87,11 @@ def repair_epoch(c: str, data_type: T.DataType, threshold: float = 1e11) -> Colu
     return _expr("CAST({0} AS TIMESTAMP_NTZ)", c)
 
 
+def cast_as(c: str, sql_type: str) -> Column:
+    """CAST(c AS sql_type) as one SQL expression."""
+    return _expr(f"CAST({{0}} AS {sql_type})", c)
+
+
 def iso_text(c: str) -> Column:
     """Timestamp -> 'yyyy-MM-dd HH:mm:ss' text."""
     return _expr("date_format({0}, 'yyyy-MM-dd HH:mm:ss')", c)

@@ -42,14 +42,14 @@ def cast_trips(raw: DataFrame, rules: Rules) -> DataFrame:
         C.repair_epoch("TPEP_PICKUP_DATETIME", t["TPEP_PICKUP_DATETIME"], th).alias("pickup_datetime"),
         C.repair_epoch("TPEP_DROPOFF_DATETIME", t["TPEP_DROPOFF_DATETIME"], th).alias("dropoff_datetime"),
         C.to_int("PASSENGER_COUNT").alias("passenger_count"),
-        F.col("TRIP_DISTANCE").cast("double").alias("trip_distance"),
+        C.cast_as("TRIP_DISTANCE", "DOUBLE").alias("trip_distance"),
         C.to_int("PULOCATIONID").alias("pickup_location_id"),
         C.to_int("DOLOCATIONID").alias("dropoff_location_id"),
         C.to_int("RATECODEID").alias("rate_code_id"),
         C.to_int("PAYMENT_TYPE").alias("payment_type_id"),
-        F.col("FARE_AMOUNT").cast("double").alias("fare_amount"),
-        F.col("SOURCE_FILE").alias("source_file"),
-        F.col("LOADED_AT").cast("timestamp_ntz").alias("loaded_at"),
+        C.cast_as("FARE_AMOUNT", "DOUBLE").alias("fare_amount"),
+        C.cast_as("SOURCE_FILE", "STRING").alias("source_file"),
+        C.cast_as("LOADED_AT", "TIMESTAMP_NTZ").alias("loaded_at"),
     )
 
 
@@ -62,12 +62,8 @@ def quality_filter(df: DataFrame, rules: Rules) -> DataFrame:
     """D1. Applied after deduplication: a trip whose newest copy is bad is dropped
     even if an older copy was good. Null comparisons drop the row."""
     return df.where(
-        (F.col("fare_amount") > 0)
-        & (F.col("trip_distance") > 0)
-        & (F.col("passenger_count") > 0)
-        & (F.col("pickup_datetime") < F.col("dropoff_datetime"))
-        & (C.minutes_crossed("pickup_datetime", "dropoff_datetime") <= rules.max_duration_minutes)
-    )
+        "fare_amount > 0 AND trip_distance > 0 AND passenger_count > 0 AND pickup_datetime < dropoff_datetime"
+    ).where(C.minutes_crossed("pickup_datetime", "dropoff_datetime") <= F.lit(int(rules.max_duration_minutes)))
 
 
 def stg_taxi_trips(raw: DataFrame, emission_factors: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -101,13 +97,13 @@ def stg_weather_hourly(raw_weather: DataFrame, rules: Rules = Rules()) -> DataFr
     """Typed hourly weather with category and precipitation flag (a view)."""
     return raw_weather.select(
         C.parse_ntz("TIME").alias("weather_time"),
-        F.col("TEMPERATURE_2M").cast("double").alias("temperature_2m"),
-        F.col("PRECIPITATION").cast("double").alias("precipitation"),
-        F.col("SNOWFALL").cast("double").alias("snowfall"),
-        F.col("WINDSPEED_10M").cast("double").alias("windspeed_10m"),
+        C.cast_as("TEMPERATURE_2M", "DOUBLE").alias("temperature_2m"),
+        C.cast_as("PRECIPITATION", "DOUBLE").alias("precipitation"),
+        C.cast_as("SNOWFALL", "DOUBLE").alias("snowfall"),
+        C.cast_as("WINDSPEED_10M", "DOUBLE").alias("windspeed_10m"),
         C.to_int("WEATHERCODE").alias("weather_code"),
-        F.col("SOURCE_URL").alias("source_url"),
-        F.col("LOADED_AT").alias("loaded_at"),
+        C.cast_as("SOURCE_URL", "STRING").alias("source_url"),
+        C.cast_as("LOADED_AT", "STRING").alias("loaded_at"),
     ).select(
         "*",
         C.weather_category("weather_code").alias("weather_category"),
@@ -123,7 +119,7 @@ def stg_zone_lookup(raw_zones: DataFrame, rules: Rules = Rules()) -> DataFrame:
         C.unknown_if_null("BOROUGH").alias("borough"),
         C.unknown_if_null("ZONE").alias("zone"),
         C.unknown_if_null("SERVICE_ZONE").alias("service_zone"),
-        F.col("SOURCE_URL").alias("source_file"),
-        F.col("LOADED_AT").alias("loaded_at_bronze"),
+        C.cast_as("SOURCE_URL", "STRING").alias("source_file"),
+        C.cast_as("LOADED_AT", "STRING").alias("loaded_at_bronze"),
         run_ts(rules).alias("dbt_updated_at"),
     )

@@ -126,14 +126,13 @@ def zones_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     if checked_broadcast(region, 10_000, "regions"):
         r = F.broadcast(r)
     j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
-    k = F.col("n_nationkey")
-    return j.select(
-        k.cast("int").alias("LOCATIONID"),
-        F.when(k == 24, F.lit(None).cast("string")).otherwise(F.col("r_name")).alias("BOROUGH"),
-        F.when(k % 8 == 0, F.concat(F.col("n_name"), F.lit(" Airport"))).otherwise(F.col("n_name")).alias("ZONE"),
-        F.lit(None).cast("string").alias("SERVICE_ZONE"),
-        F.lit(ZONE_SOURCE_URL).alias("SOURCE_URL"),
-        F.lit(BASE_LOADED_AT).alias("LOADED_AT"),
+    return j.selectExpr(
+        "CAST(n_nationkey AS INT) AS LOCATIONID",
+        "CASE WHEN n_nationkey = 24 THEN CAST(NULL AS STRING) ELSE r_name END AS BOROUGH",
+        "CASE WHEN n_nationkey % 8 = 0 THEN concat(n_name, ' Airport') ELSE n_name END AS ZONE",
+        "CAST(NULL AS STRING) AS SERVICE_ZONE",
+        f"'{ZONE_SOURCE_URL}' AS SOURCE_URL",
+        f"'{BASE_LOADED_AT}' AS LOADED_AT",
     )
 
 
