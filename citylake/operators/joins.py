@@ -58,8 +58,11 @@ def bounded_count(df: DataFrame, cap: int) -> int:
 
 
 def _plan_key(df: DataFrame) -> tuple | None:
+    import hashlib
+
     try:
-        return (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())))
+        files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+        return (id(df.sparkSession), df.semanticHash(), files)
     except Exception:  # pragma: no cover - plans without a semantic hash
         return None
 
