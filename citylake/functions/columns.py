@@ -273,4 +273,4 @@ def stable_sum(c: str, rules: Rules) -> Column:
 def stable_avg(c: str, rules: Rules) -> Column:
     if rules.sum_scale is None:
         return F.avg(c)
-    return F.round(F.sum(c), rules.sum_scale) / F.count(c)
+    return F.round(F.sum(c), rules.sum_scale) / F.nullif(F.count(c), F.lit(0))

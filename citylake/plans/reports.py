@@ -103,7 +103,7 @@ def weather_impact(agg_demand: DataFrame, by_borough: bool = True, rules: Rules
         *keys,
         "trips",
         "hours",
-        (F.col("trips") / F.col("hours")).alias("trips_per_hour"),
+        (F.col("trips") / F.nullif(F.col("hours"), F.lit(0))).alias("trips_per_hour"),
         (F.col("revenue") / F.col("trips")).alias("avg_fare"),
     )
 
@@ -162,7 +162,9 @@ def holiday_demand(trips_with_calendar: DataFrame, day_col: str = "pickup_date_i
     g = trips_with_calendar.groupBy("is_holiday").agg(
         F.count(F.lit(1)).alias("trips"), F.count_distinct(day_col).alias("days")
     )
-    return g.select("is_holiday", "trips", "days", (F.col("trips") / F.col("days")).alias("trips_per_day"))
+    return g.select(
+        "is_holiday", "trips", "days", (F.col("trips") / F.nullif(F.col("days"), F.lit(0))).alias("trips_per_day")
+    )
 
 
 # ---------------------------------------------------------------- K10
@@ -234,8 +236,19 @@ def co2_correlation(fact_trips: DataFrame, rules: Rules = Rules(), digits: int =
 
     return h.agg(
         F.count(F.lit(1)).alias("hours"),
-        r(F.corr("trips", "co2_grams")).alias("corr_trips_co2"),
-        r(F.corr("temperature_2m", "trips")).alias("corr_temperature_trips"),
-        r(F.corr("temperature_2m", "co2_grams")).alias("corr_temperature_co2"),
-        r(F.corr(F.col("precipitation").cast("double"), F.col("trips").cast("double"))).alias("corr_precipitation_trips"),
-    )
+        r(pearson("trips", "co2_grams")).alias("corr_trips_co2"),
+        r(pearson("temperature_2m", "trips")).alias("corr_temperature_trips"),
+        r(pearson("temperature_2m", "co2_grams")).alias("corr_temperature_co2"),
+        r(pearson("precipitation", "trips")).alias("corr_precipitation_trips"),
+    )
+
+
+def pearson(x: str, y: str) -> F.Column:
+    """Pearson correlation over the rows where both values are present, as
+    covar_pop / (stddev_pop * stddev_pop); null when either side is constant. (The
+    built-in ``corr`` raises DIVIDE_BY_ZERO under ANSI mode for a constant column,
+    e.g. a period without any precipitation.)"""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    cx = F.when(both, F.col(x).cast("double"))
+    cy = F.when(both, F.col(y).cast("double"))
+    return F.covar_pop(cx, cy) / F.nullif(F.stddev_pop(cx) * F.stddev_pop(cy), F.lit(0.0))
