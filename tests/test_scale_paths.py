@@ -40,3 +40,14 @@ def test_hot_null_key_third_of_rows(spark):
     hot = out.where(F.col("k").isNull()).first()
     assert hot.v == 3  # the null loaded_at counts as newest
     assert "partial_max" in plan(out)
+
+
+def test_bounded_count_caps_and_stays_small(spark):
+    from citylake.operators.joins import bounded_count
+
+    many = spark.range(0, 100_000, numPartitions=50)
+    assert bounded_count(many, 1001) == 1001
+    assert bounded_count(spark.range(10), 1001) == 10
+    # the probe runs in at most 8 tasks whatever the input partitioning
+    probe = many.coalesce(8).limit(1001)
+    assert probe.rdd.getNumPartitions() <= 8
