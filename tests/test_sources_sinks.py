@@ -252,3 +252,16 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_root):
     # a rerun of the same run id leaves the same table
     sinks.partitioned_upsert(spark, path, v2, "k", "d", "run2")
     assert sorted(map(tuple, rd.parquet(path).select("k", "v", "d").collect())) == got
+
+
+def test_distinct_sample_matches_full_distinct(spark):
+    from pyspark.sql import functions as F
+
+    from citylake.operators.profile import distinct_sample
+
+    # heavy duplication (every value 40 times) forces several doublings
+    df = spark.range(0, 40_000, numPartitions=7).select((F.col("id") % 1000).alias("v"))
+    want = [r.v for r in df.select("v").distinct().orderBy("v").limit(300).collect()]
+    assert [r.v for r in distinct_sample(df, ["v"], 300).collect()] == want
+    small = spark.range(5).select(F.col("id").alias("v"))
+    assert [r.v for r in distinct_sample(small, ["v"], 300).collect()] == [0, 1, 2, 3, 4]
