@@ -9,6 +9,10 @@ folder and are then recorded in an append-only commit log, so
   and the commit record is appended after that);
 * a rerun of the same version id rewrites the same folder (idempotent);
 * readers resolve the newest committed version from the log.
+
+A versioned table has one writer at a time (the job that owns it); two writers
+choosing "the next version" concurrently would write the same folder. Readers may
+run at any time.
 """
 
 from __future__ import annotations
