@@ -3,10 +3,11 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from citylake.operators.dedup import (ASC_NULLS_LAST, DESC_NULLS_FIRST, DESC_NULLS_LAST, latest_per_key,
+from citylake.operators.dedup import (ASC_NULLS_FIRST, ASC_NULLS_LAST, DESC_NULLS_FIRST, DESC_NULLS_LAST, latest_per_key,
                                       tie_break_sql)
 
 
@@ -61,3 +62,19 @@ def test_plan_has_partial_aggregate_before_single_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_max" in plan
+
+
+@pytest.mark.parametrize("how", [DESC_NULLS_FIRST, DESC_NULLS_LAST, ASC_NULLS_LAST, ASC_NULLS_FIRST])
+def test_every_ordering_mode_matches_row_number(spark, how):
+    rnd = random.Random(hash(how) % 1000)
+    base = dt.datetime(2024, 1, 1)
+    data = [(rnd.randint(0, 40), rnd.choice([None, base + dt.timedelta(minutes=rnd.randint(0, 5))]),
+             rnd.choice([None, 1.0, 2.0, 3.0]), rnd.randint(0, 3)) for _ in range(1200)]
+    df = spark.createDataFrame(data, "k int, t timestamp_ntz, x double, v int")
+    order = [("t", how), ("x", how)]
+    got = latest_per_key(df, ["k"], order)
+    view = f"t_{how}"
+    df.createOrReplaceTempView(view)
+    ob = tie_break_sql(df.columns, ["k"], order)
+    want = spark.sql(f"SELECT k, t, x, v FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY {ob}) rn FROM {view}) WHERE rn = 1")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
