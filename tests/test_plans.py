@@ -37,3 +37,14 @@ def test_filters_and_pruning_reach_scan(spark):
     p = plan(f.select("event_id"))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in p
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in p
+
+
+@pytest.mark.parametrize("name", ["i1_stg_taxi_trips", "i10_fact_trips", "i13_agg_demand_weather",
+                                  "e5_fact_trips_labeled", "g1_latest_lineitem", "k10_flat_rate_discovery"])
+def test_headline_plans_have_no_python_and_no_window(spark, name):
+    import __spark_entry__ as E
+
+    p = plan(E.queries()[name](spark, SF))
+    for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert op not in p
+    assert "Window " not in p and "WindowGroupLimit" not in p
