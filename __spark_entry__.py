@@ -27,6 +27,12 @@ from citylake.plans.warehouse import FIXTURE_RULES, Warehouse  # noqa: E402
 from citylake.sources import fixtures  # noqa: E402
 from citylake.sources.seeds import seed  # noqa: E402
 
+try:  # the training-data operators are optional: without them the other queries still work
+    import corpus_pipeline as _pipeline  # noqa: E402
+    from citylake.llm import queries as _llm  # noqa: E402
+except ImportError:
+    _pipeline = _llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -81,7 +87,8 @@ def _k5_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     R = FIXTURE_RULES
     trip_key = ["VENDORID", "TPEP_PICKUP_DATETIME", "PULOCATIONID"]
-    return {
+    llm = {} if _llm is None else {"pipeline": _pipeline.run, **_llm.QUERIES}
+    return llm | {
         "a1_raw_trips": lambda s, d: _wh(s, d).raw_trips,
         "g1_latest_per_trip": lambda s, d: _wh(s, d).latest_trips,
         "i1_stg_taxi_trips": lambda s, d: _wh(s, d).stg_trips,
@@ -166,4 +173,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import oracle_sql as _sql
 
-    return _sql()
+    llm = {} if _llm is None else dict(_llm.ORACLE_SQL)
+    if _pipeline is not None and _pipeline.ORACLE_SQL:
+        llm["pipeline"] = _pipeline.ORACLE_SQL
+    return _sql() | llm
