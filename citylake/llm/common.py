@@ -82,6 +82,18 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def chunked(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """(first column, texts of the second) in pieces of about ``limit`` bytes; a longer text is a piece of its own."""
+    for batch in batches:
+        texts = text_bytes(batch.column(1))
+        at = size = 0
+        for k, x in enumerate(texts):
+            size += len(x) + 64
+            if size >= limit or k + 1 == len(texts):
+                yield batch.column(0).slice(at, k + 1 - at), texts[at : k + 1]
+                at, size = k + 1, 0
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(32))
