@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citylake.llm.jaccard_join import op1_ngram_jaccard_join
 from citylake.llm.substring_dedup import op8_substring_dedup
+from citylake.llm.toxicity import op4_toxicity_crf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op4_toxicity_crf": op4_toxicity_crf,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
