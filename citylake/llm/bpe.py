@@ -295,9 +295,9 @@ def _encoded(docs: DataFrame, path: str, schema: str, result: Callable, kinds: l
     many = many.select("doc_id", "text_id", "text")
     pieces = (
         many.groupBy("text_id").agg(F.first("text").alias("text")).select("text_id", "text")
-        .mapInArrow(cut, "text_id string, piece int, segment int, leaf string")
+        .mapInArrow(cut, "text_id string, piece long, segment long, leaf string")
         .repartition("text_id", "piece")
-        .mapInArrow(leaves, "text_id string, piece int, segment int, leaf string, coded binary")
+        .mapInArrow(leaves, "text_id string, piece long, segment long, leaf string, coded binary")
     )
     trees = pieces.groupBy("text_id").applyInArrow(whole, f"text_id string, {schema}")
     long_ones = many.select("doc_id", "text_id").join(trees, "text_id").select("doc_id", *names)
