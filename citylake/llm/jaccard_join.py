@@ -206,7 +206,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long"))
     sets = (
         texts.select(key.alias("key"), "text")
-        .join(member_nodes.select(F.coalesce("first_doc", F.lit(-(1 << 63)).cast("long")).alias("key"), "node", "digest"), "key")
+        .join(member_nodes.select(F.coalesce("first_doc", F.lit(-(1 << 63)).cast("long")).alias("key"), "node", "digest").hint("merge"), "key")
         .select("node", "digest", "text")
         .mapInArrow(_member_sets, "node long, shingles binary")
     )
