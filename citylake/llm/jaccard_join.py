@@ -185,7 +185,12 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
     prefixes = nodes.select("node", F.explode("prefixes").alias("prefix"))
     heads = prefixes.groupBy("prefix").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     heads = common.written(heads.select("prefix", "head"), "trie-nodes")
-    stars = prefixes.join(heads, "prefix").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    # A node hangs on its smallest head; its other heads (TREES at most) hang on that one too.
+    hung = prefixes.join(heads, "prefix").groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))
+    hung = common.written(hung.select("node", F.element_at("heads", 1).alias("top"), F.expr("slice(heads, 2, size(heads))").alias("rest")), "heads")
+    stars = hung.select(F.col("node").alias("a"), F.col("top").alias("b")).union(
+        hung.where("size(rest) > 0").select("rest", "top").distinct().select(F.explode("rest").alias("a"), F.col("top").alias("b")).distinct()
+    )
     groups = components(stars)
 
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
