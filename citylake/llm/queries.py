@@ -9,19 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from citylake.llm.bpe import op5_bpe_tree_concatenation
 from citylake.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
 from citylake.llm.jaccard_join import op1_ngram_jaccard_join
+from citylake.llm.language_model import op3_brown_language_model
+from citylake.llm.quality import op6_adaptive_quality
 from citylake.llm.sharding import op10_sampled_splitters
 from citylake.llm.substring_dedup import op8_substring_dedup
 from citylake.llm.token_frames import op7_token_frames
 from citylake.llm.toxicity import op4_toxicity_crf
+from citylake.llm.url_filter import OP2_SQL, op2_link_graph
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_link_graph": op2_link_graph,
+    "op3_brown_language_model": op3_brown_language_model,
     "op4_toxicity_crf": op4_toxicity_crf,
     "op5_bpe_tree_concatenation": op5_bpe_tree_concatenation,
+    "op6_adaptive_quality": op6_adaptive_quality,
     "op7_token_frames": op7_token_frames,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_sampled_splitters": op10_sampled_splitters,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_benchmark_decontamination": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_link_graph": OP2_SQL, "op9_benchmark_decontamination": OP9_SQL}
