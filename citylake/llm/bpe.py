@@ -316,3 +316,12 @@ def op5_bpe_tree_concatenation(spark, sf_dir: str, path: str | None = None) -> D
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and decoded text of every document, after encoding it."""
     return _encoded(docs, path, "decoded string", lambda c, ids: (c.decode(ids),), [pa.string()])
+
+
+def encoded_with_digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids, ids_sha256 and decoded_sha256 of every document."""
+    return _encoded(
+        docs, path, "n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string",
+        lambda c, ids: (len(ids), ids.astype(np.int32), *_summary(c, ids)[1:3]),
+        [pa.int64(), pa.list_(pa.int32()), pa.string(), pa.string()],
+    )

@@ -22,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.session import configure, ensure_checkpoint_dir
 
 BLOCK_BYTES = 2 << 20
-BLOCK_SCHEMA = "block long, n_docs int, n_words long, doc_ids binary, known binary, lengths binary, texts binary"
+BLOCK_SCHEMA = "block long, n_docs int, n_words long, doc_ids binary, known binary, lengths binary, texts binary, rests binary"
 
 
 def _ship_package(spark: SparkSession) -> None:
@@ -137,7 +137,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     packer = zstandard.ZstdCompressor(level=1)
     part, number = TaskContext.get().partitionId(), count()
-    kept: list[tuple[int, bool, bytes]] = []
+    kept: list[tuple[int, bool, bytes, bytes]] = []
     size = 0
 
     def pack() -> pa.RecordBatch:
@@ -151,13 +151,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "known": [np.array([x[1] for x in kept], np.bool_).tobytes()],
             "lengths": [np.array([len(x) for x in texts], np.int64).tobytes()],
             "texts": [packer.compress(b"".join(texts))],
+            "rests": [packer.compress(b"\0".join(x[3] for x in kept))],
         }
-        kinds = [pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * 4
+        kinds = [pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * 5
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], list(row))
 
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-            kept.append((doc if doc is not None else -(1 << 63), doc is not None, text))
+        for doc, text, rest in zip(batch.column(0).to_pylist(), *map(text_bytes, batch.columns[1:])):
+            kept.append((doc if doc is not None else -(1 << 63), doc is not None, text, rest))
             size += len(text) + 64
             if size >= BLOCK_BYTES:
                 yield pack()
@@ -167,12 +168,17 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pack()
 
 
-def blocks(docs: DataFrame) -> DataFrame:
+def blocks(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     """Documents packed into a written table of blocks, sorted by doc_id (null first) inside each.
 
-    A null text is an empty text; a null doc_id stays null in results.
+    A null text is an empty text; a null doc_id stays null in results. ``rest`` is a string (without
+    NUL, such as JSON of the other columns) that stays with its document.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        (F.lit("") if rest is None else rest).alias("rest"),
+    )
     return written(source.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks")
 
 
@@ -183,11 +189,15 @@ class Block:
         self.block = row["block"]
         self.doc_ids = np.frombuffer(row["doc_ids"], np.int64)
         self.known = np.frombuffer(row["known"], np.bool_)
+        self._rests = row["rests"]
         lengths = np.frombuffer(row["lengths"], np.int64)
         joined = zstandard.ZstdDecompressor().decompress(row["texts"], max_output_size=max(1, int(lengths.sum())))
         ends = np.cumsum(lengths).tolist()
         self.texts = [joined[a:b] for a, b in zip([0, *ends], ends)]
 
+    def rests(self) -> list[bytes]:
+        return zstandard.ZstdDecompressor().decompress(self._rests, max_output_size=1 << 30).split(b"\0")
+
     def ids(self) -> pa.Array:
         """The doc_id column, nulls restored."""
         return pa.array(self.doc_ids, pa.int64(), mask=~self.known)

@@ -243,6 +243,18 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that have the smallest doc_id of their class.
+
+    Rows with equal doc_id and text are one document. (Rows with one doc_id but different texts share the
+    verdict: they stay if any of them is the first of its class.)
+    """
+    found = common.written(join(docs), "classes-by-document")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__first")).distinct()
+    stay = docs.join(first, docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
+    return stay.dropDuplicates([c for c in docs.columns if c.lower() in ("doc_id", "text")])
+
+
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Classes and link counts of all documents."""
     return join(common.documents(spark, sf_dir))

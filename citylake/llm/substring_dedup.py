@@ -33,8 +33,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citylake.llm import common
 
@@ -257,7 +258,7 @@ def _automaton(table: pa.Table) -> pa.Table:
     return pa.table({"shard": table["shard"], "block": table["block"], "first": pa.array(out, pa.binary())})
 
 
-RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
+RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string, rest string"
 
 
 def _removed(block: common.Block, a: _Anchored, row: dict, slices: int, shards: int) -> np.ndarray:
@@ -299,20 +300,24 @@ def _remove(slices: int, shards: int):
                     ws = [w for w, x in zip(ws, gone[t.starts[k] : t.ends[k]].tolist()) if not x]
                 texts.append(b" ".join(ws).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
-                [block.ids(), pa.array(t.lengths), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_text"],
+                [block.ids(), pa.array(t.lengths), pa.array(removed, pa.int64()), pa.array(texts, pa.string()),
+                 pa.array([x.decode() for x in block.rests()], pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept_text", "rest"],
             )
 
     return run
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed and kept_text (kept words joined by a space)."""
-    table = common.blocks(docs)
+def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_text (kept words joined by a space) and rest.
+
+    ``rest`` is a string that stays with its document (empty by default).
+    """
+    table = common.blocks(docs, rest)
     total = table.agg(F.sum("n_words")).first()[0] or 0
     slices = common.slices_for(total / 7, SLICE_KEYS)
     shards = common.slices_for(total / 28, SHARD_PASSAGES)
-    keys = table.select("block", "n_docs", "n_words", "doc_ids", "known", "lengths", "texts").mapInArrow(_send_keys(slices), KEYS_SCHEMA)
+    keys = table.mapInArrow(_send_keys(slices), KEYS_SCHEMA)
     found = keys.groupBy("slice").applyInArrow(_recurring, FOUND_SCHEMA)
     parts = common.written(found.groupBy("block").agg(F.collect_list(F.struct("slice", "found")).alias("parts")), "anchors")
     passages = table.join(parts, "block", "left").mapInArrow(_send_passages(slices, shards), PASSAGES_SCHEMA)
@@ -322,6 +327,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(_remove(slices, shards), RESULT_SCHEMA)
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with all their columns, the text of those that repeat something cut down.
+
+    A text that nothing is removed from stays as it is; a document of which no word is left goes; a column
+    ``n_chars`` becomes the length of the new text.
+    """
+    other = [c for c in docs.columns if c.lower() not in ("text",)]
+    packed = F.to_json(F.struct(F.struct(*(F.col(c) for c in other)).alias("row"), F.col("text").alias("old")))
+    found = remove_repeats(docs, packed)
+    schema = T.StructType([T.StructField("row", T.StructType([docs.schema[c] for c in other])), T.StructField("old", T.StringType())])
+    rows = found.where("n_removed < n_words or n_words = 0").select(
+        "n_removed", "kept_text", F.from_json("rest", schema).alias("x")
+    )
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("x.old"))
+    columns = []
+    for c in docs.columns:
+        value = text if c.lower() == "text" else F.col(f"x.row.`{c}`")
+        if c.lower() == "n_chars":
+            value = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
+    return rows.select(*columns)
+
+
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """The contract's digests of ``remove_repeats`` over all documents."""
     return remove_repeats(common.documents(spark, sf_dir)).select(
