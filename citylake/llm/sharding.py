@@ -103,10 +103,13 @@ def assign(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, sample:
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS) -> DataFrame:
-    """Write the records below ``folder``, a sub-folder per shard, ordered by slot; returns the table."""
+    """Write the records below ``folder``, a sub-folder per shard, ordered by slot; returns the table.
+
+    Columns named shard and slot are replaced.
+    """
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))]
     order = W.partitionBy("__key", "__crc").orderBy("slot")
-    left = docs.withColumn("__key", key[0]).withColumn("__crc", key[1])
+    left = docs.drop("shard", "slot").withColumn("__key", key[0]).withColumn("__crc", key[1])
     right = assign(docs, shards).select(
         F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("__key"), F.col("text_crc32").alias("__crc"), "shard", "slot"
     )

@@ -188,9 +188,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, crf_
     """Learn from the labelled rows that are not held out."""
     known = labelled(docs, labels).where(~held_out("doc_id"))
     share = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    rate = min(max(share.get(1, 0) / max(1, sum(share.values())), 1e-9), 1 - 1e-9)
+    constant = Model(scale=(math.log(rate / (1 - rate)), 0.0, 0.0))
     if len(share) < 2:
-        rate = min(max(float(bool(share.get(1))), 1e-9), 1 - 1e-9)
-        return Model(scale=(math.log(rate / (1 - rate)), 0.0, 0.0))
+        return constant
     # At most sample_docs rows of either label, the same on every run: a proven bound for the broadcast.
     picked = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for k in (0, 1)]
     chosen = F.broadcast(picked[0].union(picked[1]))
@@ -224,6 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, crf_
         sample.where(F.col("toxic") == k).orderBy(F.xxhash64(F.col("doc_id") + 1), "doc_id").limit(crf_docs).select("toxic", "text").collect()
         for k in (0, 1)
     ]
+    if not any(rows):
+        return constant  # labels of other documents only
     y = np.array([r["toxic"] for part in rows for r in part], np.int64)
     texts_ = [(r["text"] or "").encode("utf-8", "surrogatepass") for part in rows for r in part]
     weight = np.array([share[k] / max(1, len(rows[k])) for k in y])
