@@ -82,8 +82,11 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     filter_bits = common.written(_filter_row(seeds), "seed-filter")
     tested = _seeded(_hashes(docs, "doc_id")).withColumn("bits", filter_bits.scalar())
     tested = tested.select("doc_id", "h", F.expr(_passing("a")).alias("pa"), F.expr(_passing("b")).alias("pb"))
-    left = tested.select("doc_id", "h", F.concat("pa", "pb").alias("passing")).where("size(passing) > 0")
-    left = common.written(left.withColumn("row", F.monotonically_increasing_id()), "seeded-documents")
+    left = tested.select("doc_id", "h", F.concat("pa", "pb").alias("passing"))
+    # A filter here would be pushed below the projections, and every hash computed again for it: words of
+    # documents without hits are set to null instead, and their rows are left out when read back.
+    left = left.select("doc_id", F.expr("CASE WHEN size(passing) > 0 THEN h END").alias("h"), "passing")
+    left = common.written(left.withColumn("row", F.monotonically_increasing_id()), "seeded-documents").where("size(passing) > 0")
     hits = (
         left.select("row", F.explode("passing").alias("p"))
         .select("row", F.col("p.pos").alias("pos"), F.col("p.seed").alias("seed"))
