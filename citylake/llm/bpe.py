@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -44,7 +45,7 @@ LEAF = 8192
 LONG = 4 * LEAF
 #: Characters on either side of a join's first window.
 REACH = 64
-CACHE = 150_000
+CACHE = 250_000
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _WORD = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -82,7 +83,7 @@ class Codec:
         for token, k in self.tokenizer.get_vocab().items():
             self.bytes[k] = token.encode() if any(c not in alphabet for c in token) else bytes(alphabet[c] for c in token)
         self.decimal = [str(k) for k in range(size)]
-        self.cache: dict[str, bytes] = {}
+        self.recent = common.Recent(CACHE)
 
     def plain(self, text: str) -> np.ndarray:
         """The library's own encoding of a text."""
@@ -95,16 +96,14 @@ class Codec:
             ok = x.isascii() and not any(c in x for c in "\x1c\x1d\x1e\x1f") or not _ODD_SPACE.search(x)
             split.append(_WORD.findall(x) if ok else None)
         used = set(chain.from_iterable(x for x in split if x))
-        new = [w for w in used if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = list(used)
-        if new:
-            coded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            self.cache.update(zip(new, (np.array(e.ids, np.uint32).tobytes() for e in coded)))
-        get = self.cache.__getitem__
+        get = self.recent.results(used, self._encode_words).__getitem__
         return [self.plain(x) if ws is None else np.frombuffer(b"".join(map(get, ws)), np.uint32) for x, ws in zip(texts, split)]
 
+    def _encode_words(self, new: list[str]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch(new, add_special_tokens=False):
+            ids = e.ids
+            yield struct.pack(f"<{len(ids)}I", *ids)
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 

@@ -14,7 +14,7 @@ import tempfile
 import uuid
 import zipfile
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
 from pathlib import Path
 
@@ -132,6 +132,24 @@ def gram_hash(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+class Recent:
+    """A bounded cache of word results: words of the last ``size`` to twice ``size`` different ones stay."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def results(self, used: set[str], compute: Callable[[list[str]], Iterable[bytes]]) -> dict[str, bytes]:
+        """The result of each word; ``compute`` is called once for all that are not at hand."""
+        out = {w: self.young[w] if w in self.young else self.old[w] for w in used if w in self.young or w in self.old}
+        new = [w for w in used if w not in out]
+        if new:
+            out.update(zip(new, compute(new)))
+        self.young.update(out)
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        return out
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
