@@ -65,7 +65,7 @@ def _k9_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = FIXTURE_RULES
     cal = dims.dim_calendar(spark, rules, fixtures.L_CALENDAR_START, fixtures.L_CALENDAR_DAYS)
     rows = _l_clean(spark, sf_dir).withColumn("ship_date_id", C.date_key("l_shipdate"))
-    j = lookup_join(rows, cal, ["ship_date_id"], ["date_id"], rules.broadcast_max_rows, "calendar", ["is_holiday"])
+    j = lookup_join(rows, cal, ["ship_date_id"], ["date_id"], ["is_holiday"])
     return reports.holiday_demand(j, day_col="ship_date_id")
 
 
@@ -74,7 +74,7 @@ def _k5_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fixtures.lineitem_as_trips(_l_clean(spark, sf_dir))
     ef = seed(spark, "seed_emission_factors")
     j = lookup_join(
-        trips, ef, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors", ["emission_factor_g_mile"]
+        trips, ef, ["vendor_id"], ["vendor_id"], ["emission_factor_g_mile"]
     )
     with_co2 = j.withColumn(
         "co2_emission_grams", F.col("trip_distance") * C.emission_factor("emission_factor_g_mile", rules)
@@ -82,6 +82,45 @@ def _k5_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.co2_by_vendor(with_co2, rules)
 
 
+# ---------------------------------------------------------------- checks that find something
+
+def _b5_upsert_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The re-sent copies merged by trip key into the first copies."""
+    from citylake import sinks
+
+    trips = _wh(spark, sf_dir).raw_trips
+    key = C.trip_key("VENDORID", "TPEP_PICKUP_DATETIME", "PULOCATIONID").alias("trip_id")
+    rows = trips.select(
+        key, F.col("FARE_AMOUNT").alias("fare_amount"), F.col("SOURCE_FILE").alias("source_file"), F.col("LOADED_AT").alias("loaded_at")
+    )
+    first, again = (rows.where(F.col("source_file") == f) for f in fixtures.SOURCE_FILES)
+    return sinks.upsert(first, again, "trip_id")
+
+
+def _raw_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _wh(spark, sf_dir).raw_trips
+    return trips.select(C.trip_key("VENDORID", "TPEP_PICKUP_DATETIME", "PULOCATIONID").alias("trip_id"))
+
+
+def _i4_calendar_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event joined to its calendar day, counted by the day's attributes."""
+    _prep(spark)
+    events = fixtures.table(spark, sf_dir, "events").select(C.date_key("ts").alias("date_id"), "value")
+    columns = ["year", "quarter", "month", "month_name", "day_of_month", "day_of_week", "day_name", "week_of_year",
+               "is_weekend", "is_holiday", "holiday_name"]
+    joined = lookup_join(events, dims.dim_calendar(spark, FIXTURE_RULES), ["date_id"], ["date_id"], columns)
+    return joined.groupBy(*columns).agg(F.count(F.lit(1)).alias("events"), F.count("value").alias("valued"))
+
+
+def _c4_repaired_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 on every event: its epoch written in seconds, milliseconds or microseconds."""
+    _prep(spark)
+    scale = "CASE event_id % 3 WHEN 0 THEN 1L WHEN 1 THEN 1000L ELSE 1000000L END"
+    epochs = fixtures.table(spark, sf_dir, "events").selectExpr("event_id", f"(1700000000 + event_id) * {scale} AS epoch")
+    repaired = C.repair_epoch("epoch", T.LongType(), FIXTURE_RULES.epoch_micros_threshold)
+    return epochs.select("event_id", "epoch", repaired.alias("repaired_ts"))
+
+
 # ---------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -143,7 +182,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "j4_fact_grain": lambda s, d: (lambda w: Q.grain_preserved(w.stg_trips, w.fact_trips))(_wh(s, d)),
         "j5_weather_gaps": lambda s, d: Q.hourly_gaps(_wh(s, d).weather, "weather_time"),
-        "k1_top_vendor_co2_week": lambda s, d: reports.top_vendor_co2(_wh(s, d).fact_trips, "2024-01-01", "AMERICA", 1, R),
+        "k1_top_vendor_co2_week": lambda s, d: reports.top_vendor_co2(
+            _wh(s, d).between(*reports.week_bounds("2024-01-01")).fact_trips, "2024-01-01", "AMERICA", 1, R
+        ),
         "k2_kpi_tiles": lambda s, d: reports.kpi_tiles(_wh(s, d).fact_trips, R),
         "k3_pickup_density": lambda s, d: reports.pickup_density(_wh(s, d).fact_trips),
         "k4_weather_impact": lambda s, d: reports.weather_impact(_wh(s, d).agg_demand_weather, True, R),
@@ -151,7 +192,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k6_price_anomalies": lambda s, d: reports.price_anomalies(_wh(s, d).fact_financials),
         "k7_filtered_kpis": lambda s, d: reports.kpi_tiles(
             reports.apply_filters(
-                _wh(s, d).fact_trips, "2024-01-08", "2024-01-22", ["EUROPE", "ASIA"], ["Rain", "Clear"]
+                _wh(s, d).between("2024-01-08", "2024-01-22").fact_trips,
+                "2024-01-08", "2024-01-22", ["EUROPE", "ASIA"], ["Rain", "Clear"],
             ),
             R,
         ),
@@ -163,6 +205,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda w: reports.short_trip_share(w.fact_sustainability, w.zones, R)
         )(_wh(s, d)),
         "k13_co2_correlation": lambda s, d: reports.co2_correlation(_wh(s, d).fact_trips, R),
+        "b5_upsert_resent": _b5_upsert_resent,
+        "c4_repaired_epochs": _c4_repaired_epochs,
+        "i4_calendar_demand": _i4_calendar_demand,
+        "d3_zone_null_rows": lambda s, d: P.rows_with_nulls(_wh(s, d).raw_zones, ["BOROUGH", "SERVICE_ZONE"]),
+        "f5_duplicate_event_users": lambda s, d: P.duplicate_keys(fixtures.table(s, d, "events"), ["user_id"]),
+        "j1_unique_raw_trip_key": lambda s, d: Q.unique(_raw_keyed(s, d), "trip_id"),
+        "j2_not_null_raw_zones": lambda s, d: Q.not_null(_wh(s, d).raw_zones, ["BOROUGH", "SERVICE_ZONE"], keep=["LOCATIONID"]),
+        "j3_accepted_without_unknown": lambda s, d: Q.accepted_values(
+            _wh(s, d).weather, "weather_category", [c for c in C.WEATHER_CATEGORIES if c != "Unknown"],
+            keep=["weather_time", "weather_category"],
+        ),
+        "j4_raw_to_staged_grain": lambda s, d: (lambda w: Q.grain_preserved(w.raw_trips, w.stg_trips))(_wh(s, d)),
         "g1_latest_lineitem": _l_latest,
         "d1_lineitem_time_ordered": _l_clean,
         "k9_holiday_demand_lineitem": _k9_lineitem,

@@ -22,15 +22,14 @@ class Rules:
     calendar_start: str = "2023-01-01"
     calendar_days: int = 3650
 
-    # Raw epochs above this magnitude are microseconds read as seconds.
+    # Raw epochs above this magnitude were written in a finer unit and read as seconds:
+    # milliseconds up to a thousand times it, microseconds beyond (functions.columns.repair_epoch).
     epoch_micros_threshold: float = 1e11
     # Audit timestamp written into *_updated_at columns (CURRENT_TIMESTAMP by default).
     run_ts: _dt.datetime | None = None
     # When set, float SUMs are rounded to this many decimals and AVGs are taken as
     # rounded sum / count, which makes results independent of addition order.
     sum_scale: int | None = None
-    # Row bound under which a lookup side is broadcast (see operators.joins).
-    broadcast_max_rows: int = 2_000_000
 
     def with_(self, **kw) -> "Rules":
         from dataclasses import replace

@@ -1,26 +1,17 @@
 """Latest row per key.
 
-The reference writes ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY loaded_at DESC) = 1``.
-A window puts every row of one key into one task; a key that holds a third of all rows
-(for example the null key, where vendor, pickup and location are all missing) would
-then be sorted by a single task. Instead we express "latest" as an aggregate:
-
-    groupBy(key).agg(max(struct(<ordering fields>, struct(<whole row>))))
-
-which Spark plans with a partial (map-side) aggregate before the shuffle, so every
-map task collapses its own copies of a hot key to one row and the shuffle carries at
-most one row per key per map task. The result is identical to ``row_number() = 1``
-with the same ordering followed by the remaining columns as tie-breakers
-(descending, nulls last), so reruns are deterministic.
+``ROW_NUMBER() OVER (PARTITION BY key ORDER BY ...) = 1`` on built-in windows. Spark plans a
+partial group limit below the shuffle: every map task keeps the first row of each of its
+keys, so a key that holds a third of all rows (the null key, say) sends one row per task.
+The ordering ends with all other columns as tie-breakers, so reruns give the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from citylake.functions.columns import q
 
@@ -29,39 +20,12 @@ DESC_NULLS_LAST = "desc"
 ASC_NULLS_LAST = "asc"
 ASC_NULLS_FIRST = "asc_nulls_first"
 
-_ORDERED_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _negated(name: str, dt: T.DataType) -> str:
-    """SQL for a value whose descending order is the ascending order of ``name``."""
-    if isinstance(dt, _ORDERED_NUMERIC):
-        return f"-{name}"
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return f"-unix_micros(CAST({name} AS TIMESTAMP))"
-    if isinstance(dt, T.DateType):
-        return f"-unix_date({name})"
-    if isinstance(dt, T.BooleanType):
-        return f"NOT {name}"
-    raise TypeError(f"ascending tie-break not supported for {dt.simpleString()}")
-
-
-def ordering_fields(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[str]:
-    """SQL struct fields whose struct maximum realises the requested ordering."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out: list[str] = []
-    for i, (name, how) in enumerate(order):
-        c = q(name)
-        if how == DESC_NULLS_FIRST:
-            out += [f"{c} IS NULL AS _n{i}", f"{c} AS _o{i}"]
-        elif how == DESC_NULLS_LAST:
-            out += [f"{c} AS _o{i}"]  # nulls compare lowest inside a struct
-        elif how == ASC_NULLS_LAST:
-            out += [f"{c} IS NOT NULL AS _n{i}", f"{_negated(c, types[name])} AS _o{i}"]
-        elif how == ASC_NULLS_FIRST:
-            out += [f"{c} IS NULL AS _n{i}", f"{_negated(c, types[name])} AS _o{i}"]
-        else:
-            raise ValueError(f"unknown ordering {how!r}")
-    return out
+_HOW = {
+    DESC_NULLS_FIRST: "desc_nulls_first",
+    DESC_NULLS_LAST: "desc_nulls_last",
+    ASC_NULLS_LAST: "asc_nulls_last",
+    ASC_NULLS_FIRST: "asc_nulls_first",
+}
 
 
 def latest_per_key(
@@ -77,15 +41,16 @@ def latest_per_key(
     ``desc``, ``asc``, ``asc_nulls_first``. Null keys form one group, as in
     ``PARTITION BY``. If ``row_number_col`` is given it is added with value 1.
     """
-    cols = df.columns
-    payload = [c for c in cols if c not in keys]  # keys come back from the grouping
-    row = "struct(" + ", ".join(q(c) for c in payload) + ") AS _row"
-    best = F.expr("max(struct(" + ", ".join(ordering_fields(df, order) + [row]) + "))")
-    grouped = df.groupBy(*keys).agg(best.alias("_best"))
-    out = grouped.selectExpr(*[q(c) if c in keys else f"_best._row.{q(c)} AS {q(c)}" for c in cols])
-    if row_number_col:
-        out = out.withColumn(row_number_col, F.lit(1))
-    return out
+    unknown = [how for _, how in order if how not in _HOW]
+    if unknown:
+        raise ValueError(f"unknown ordering {unknown[0]!r}")
+    used = set(keys) | {c for c, _ in order}
+    by = [getattr(F.col(q(c)), _HOW[how])() for c, how in order]
+    by += [F.col(q(c)).desc_nulls_last() for c in df.columns if c not in used]
+    number = row_number_col or "__row_number"
+    ranked = df.withColumn(number, F.row_number().over(Window.partitionBy(*[q(k) for k in keys]).orderBy(*by)))
+    first = ranked.where(F.col(number) == 1)
+    return first if row_number_col else first.drop(number)
 
 
 def tie_break_sql(df_columns: Sequence[str], keys: Sequence[str], order: Sequence[tuple[str, str]]) -> str:

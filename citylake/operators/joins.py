@@ -1,28 +1,19 @@
 """Lookup joins of a fact to small dimensions.
 
-All reference joins are LEFT OUTER equi-joins of the trip fact to a dimension that is
-bounded by something other than trip volume (hours in the covered period, zones,
-calendar days, seed rows). We broadcast a dimension only after checking its size:
-
-* a dimension built from literal rows or ``spark.range(n)`` has a proven bound and is
-  marked with :func:`bounded` when it is built;
-* any other dimension goes through :func:`checked_broadcast`, which counts at most
-  ``max_rows + 1`` rows in a few tasks (:func:`bounded_count`, a bounded job
-  whatever the input size) and broadcasts only under the bound. Above
-  it the join stays a plain equi-join, so Catalyst/AQE plan a shuffle join (with
-  skew-join splitting) instead of shipping an oversized table to every executor.
+All lookups are LEFT OUTER equi-joins of the trip fact to a dimension. A broadcast is
+asked for only where the dimension's size is known when the plan is built: literal seed
+rows and the generated calendar (:func:`bounded`). Every other side carries no hint, so
+Spark's byte threshold and AQE choose between a broadcast and a shuffle join with
+skewed partitions split. No job runs while a plan is built.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
 _BOUND_ATTR = "_citylake_row_bound"
 
 
@@ -36,96 +27,25 @@ def known_bound(df: DataFrame) -> int | None:
     return getattr(df, _BOUND_ATTR, None)
 
 
-# Counted bounds per session, keyed by the plan's semantic hash and its input files:
-# the same dimension plan over the same files is counted once per session, and a
-# change in the input files changes the key (so the check runs again).
-_COUNTED: dict[tuple, int] = {}
-
-
-_PROBE_TASKS = 8
-
-
-def bounded_count(df: DataFrame, cap: int) -> int:
-    """min(row count, cap), reading at most ``_PROBE_TASKS * cap`` rows.
-
-    ``df.limit(cap).count()`` alone plans a per-partition limit followed by a
-    single-partition exchange, i.e. up to ``partitions * cap`` rows read and
-    shuffled for a large table. Coalescing to a few tasks first (no shuffle)
-    makes each task stop after ``cap`` rows, so the probe stays small however
-    large the input is; no columns are read.
-    """
-    return df.coalesce(_PROBE_TASKS).limit(cap).count()
-
-
-def _plan_key(df: DataFrame) -> tuple | None:
-    import hashlib
-
-    try:
-        files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-        return (id(df.sparkSession), df.semanticHash(), files)
-    except Exception:  # pragma: no cover - plans without a semantic hash
-        return None
-
-
-def checked_broadcast(df: DataFrame, max_rows: int, what: str = "lookup") -> bool:
-    """True if ``df`` provably has at most ``max_rows`` rows.
-
-    A bound recorded at construction (:func:`bounded`) is used as is; otherwise at
-    most ``max_rows + 1`` rows are counted once and the result is remembered (on
-    the DataFrame object, and per session for the same plan over the same files),
-    so a dimension shared by several joins or queries is checked once.
-    """
-    bound = known_bound(df)
-    if bound is None:
-        key = _plan_key(df)
-        bound = _COUNTED.get(key) if key is not None else None
-        if bound is None or bound > max_rows:
-            bound = bounded_count(df, max_rows + 1)
-            if key is not None:
-                _COUNTED[key] = bound
-        bounded(df, bound)
-    if bound > max_rows:
-        log.warning("%s has more than %d rows; joining without broadcast", what, max_rows)
-        return False
-    return True
-
-
-def check_sizes(dims: Sequence[tuple[DataFrame, int, str]]) -> list[bool]:
-    """:func:`checked_broadcast` for several dimensions, running the bounded count
-    jobs of those without a known bound concurrently (one driver thread each)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    todo = [(d, m, w) for d, m, w in dims if known_bound(d) is None]
-    if len(todo) > 1:
-        with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
-            list(pool.map(lambda a: checked_broadcast(*a), todo))
-    return [checked_broadcast(d, m, w) for d, m, w in dims]
-
-
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     fact_keys: Sequence[str],
     dim_keys: Sequence[str],
-    max_rows: int,
-    what: str = "lookup",
     columns: Sequence | None = None,
     drop_keys: bool = True,
 ) -> DataFrame:
     """fact LEFT JOIN dim ON fact_keys = dim_keys, keeping every fact row.
 
-    ``columns`` (names or aliased Columns) are the dimension columns to bring
-    along; the size check runs on ``dim`` itself, before projecting, so a
-    dimension object is checked once however many joins use it. ``dim_keys`` are
-    dropped from the output (the fact's keys stay). Grain is preserved only if the
-    dimension is unique on its key; check that with
+    ``columns`` (names or aliased Columns) are the dimension columns to bring along.
+    ``dim_keys`` are dropped from the output (the fact's keys stay). Grain is preserved
+    only if the dimension is unique on its key; check that with
     :func:`citylake.operators.quality.unique` before joining (J1).
     """
-    small = checked_broadcast(dim, max_rows, what)
     tmp = [f"__lk{i}_{k}" for i, k in enumerate(dim_keys)]
     cols = list(columns) if columns is not None else [c for c in dim.columns if c not in dim_keys]
     d = dim.select(*[F.col(k).alias(t) for k, t in zip(dim_keys, tmp)], *cols)
-    if small:
+    if known_bound(dim) is not None:
         d = F.broadcast(d)
     cond = None
     for fk, t in zip(fact_keys, tmp):

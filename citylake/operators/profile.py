@@ -76,28 +76,14 @@ def rows_with_nulls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
-def distinct_sample(df: DataFrame, cols: Sequence[str], n: int, max_rounds: int = 6) -> DataFrame:
+def distinct_sample(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
     """H1: the first ``n`` distinct values in order (a stable sample).
 
-    A plain ``distinct()`` shuffles every distinct value of the table to return
-    ``n`` rows. Instead: the ``k`` smallest rows (a per-partition top-k merged on
-    the driver side of the plan, no full shuffle) contain the ``n`` smallest
-    distinct values as soon as they hold ``n`` distinct values, so ``k`` starts
-    at ``2n`` and doubles until that holds; each probe counts at most ``k`` rows.
-    Only if duplicates are so heavy that ``max_rounds`` doublings do not suffice
-    does it fall back to the full distinct. The result is exact either way.
+    One combined aggregate (a task sends each of its values once) and a top-n of each
+    task's values; nothing runs while the plan is built.
     """
     order = [F.col(c).asc_nulls_last() for c in cols]
-    proj = df.select(*cols)
-    k = 2 * n
-    for _ in range(max_rounds):
-        head = proj.orderBy(*order).limit(k)
-        if head.distinct().count() >= n:
-            return head.distinct().orderBy(*order).limit(n)
-        if head.count() < k:  # the whole input fits in the probe
-            return head.distinct().orderBy(*order).limit(n)
-        k *= 2
-    return proj.distinct().orderBy(*order).limit(n)
+    return df.select(*cols).distinct().orderBy(*order).limit(n)
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citylake.config import Rules
 from citylake.functions import columns as C
-from citylake.operators.joins import check_sizes, lookup_join
+from citylake.operators.joins import lookup_join
 from citylake.plans.silver import run_ts
 
 FACT_TRIP_EXTRA = (
@@ -46,11 +46,9 @@ def gold_fact_trips(
     z_cols = [F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone")]
     c_cols = ["is_holiday", "is_weekend", "holiday_name"]
     t = trips.withColumn("pickup_date_id", C.date_key("pickup_datetime"))
-    m = rules.broadcast_max_rows
-    check_sizes([(weather, m, "hourly weather"), (zones, m, "zones"), (calendar, m, "calendar")])
-    j = lookup_join(t, weather, ["pickup_hour_truncated"], ["weather_time"], m, "hourly weather", w_cols, False)
-    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", z_cols, False)
-    j = lookup_join(j, calendar, ["pickup_date_id"], ["date_id"], m, "calendar", c_cols, False)
+    j = lookup_join(t, weather, ["pickup_hour_truncated"], ["weather_time"], w_cols, False)
+    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], z_cols, False)
+    j = lookup_join(j, calendar, ["pickup_date_id"], ["date_id"], c_cols, False)
     out_cols = list(trips.columns) + list(FACT_TRIP_EXTRA)
     if with_weather_code:
         out_cols.append("weather_code")
@@ -135,15 +133,12 @@ def fact_trips_labeled(
 ) -> DataFrame:
     """E5: the trip fact with the labels of its conformed dimensions. ``fact_trips``
     must carry ``weather_code`` (``gold_fact_trips(..., with_weather_code=True)``)."""
-    m = rules.broadcast_max_rows
-    check_sizes([(vendors, m, "vendors"), (rate_codes, m, "rate codes"), (payment_types, m, "payment types"),
-                 (zones, m, "zones"), (weather_lookup, m, "weather lookup")])
-    j = lookup_join(fact_trips, vendors, ["vendor_id"], ["vendor_id"], m, "vendors", ["vendor_name"])
-    j = lookup_join(j, rate_codes, ["rate_code_id"], ["rate_code_id"], m, "rate codes", ["rate_code_name"])
-    j = lookup_join(j, payment_types, ["payment_type_id"], ["payment_type_id"], m, "payment types", ["payment_type_name"])
+    j = lookup_join(fact_trips, vendors, ["vendor_id"], ["vendor_id"], ["vendor_name"])
+    j = lookup_join(j, rate_codes, ["rate_code_id"], ["rate_code_id"], ["rate_code_name"])
+    j = lookup_join(j, payment_types, ["payment_type_id"], ["payment_type_id"], ["payment_type_name"])
     pz = [F.col("is_airport").alias("pickup_is_airport"), F.col("borough_group").alias("pickup_borough_group")]
-    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], m, "zones", pz)
+    j = lookup_join(j, zones, ["pickup_location_id"], ["location_id"], pz)
     dz = [F.col("borough").alias("dropoff_borough"), F.col("zone").alias("dropoff_zone")]
-    j = lookup_join(j, zones, ["dropoff_location_id"], ["location_id"], m, "zones", dz)
+    j = lookup_join(j, zones, ["dropoff_location_id"], ["location_id"], dz)
     wl = [F.col("weather_category").alias("weather_code_category")]
-    return lookup_join(j, weather_lookup, ["weather_code"], ["weather_code"], m, "weather lookup", wl)
+    return lookup_join(j, weather_lookup, ["weather_code"], ["weather_code"], wl)

@@ -24,6 +24,11 @@ def _sum(c: str, rules: Rules) -> F.Column:
 
 # ---------------------------------------------------------------- K7 shared filter set
 
+def date_key_of(moment: str) -> int:
+    """The yyyymmdd key of the day of an ISO date or timestamp."""
+    return int(_dt.datetime.fromisoformat(moment).strftime("%Y%m%d"))
+
+
 def apply_filters(
     df: DataFrame,
     start: str | None = None,
@@ -33,11 +38,17 @@ def apply_filters(
     time_col: str = "pickup_datetime",
 ) -> DataFrame:
     """K7: date range [start, end), boroughs and weather categories. Plain column
-    predicates, so they reach the scan (and partition pruning) when pushable."""
+    predicates, so they reach the scan when pushable; the range is also put on the date
+    key where the table has one, which prunes a gold table partitioned by it."""
+    keyed = "pickup_date_id" in df.columns and time_col == "pickup_datetime"
     if start:
         df = df.where(F.col(time_col) >= F.lit(start).cast("timestamp_ntz"))
+        if keyed:
+            df = df.where(F.col("pickup_date_id") >= date_key_of(start))
     if end:
         df = df.where(F.col(time_col) < F.lit(end).cast("timestamp_ntz"))
+        if keyed:
+            df = df.where(F.col("pickup_date_id") <= date_key_of(end))
     if boroughs:
         df = df.where(F.col("pickup_borough").isin(list(boroughs)))
     if weather:
@@ -204,8 +215,7 @@ def vendor_risk(financials: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def short_trip_share(sustainability: DataFrame, zones: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Share of trips under the short-trip threshold per pickup zone."""
     j = lookup_join(
-        sustainability, zones, ["pickup_location_id"], ["location_id"], rules.broadcast_max_rows, "zones",
-        [F.col("zone").alias("pickup_zone")],
+        sustainability, zones, ["pickup_location_id"], ["location_id"], [F.col("zone").alias("pickup_zone")],
     )
     g = j.groupBy("pickup_location_id", "pickup_zone").agg(
         F.count(F.lit(1)).alias("trips"),
@@ -226,9 +236,11 @@ def hourly_co2(fact_trips: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
 
 
-def co2_correlation(fact_trips: DataFrame, rules: Rules = Rules(), digits: int = 9) -> DataFrame:
+def co2_correlation(fact_trips: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Correlation of hourly CO2 with demand, and of demand and CO2 with
-    temperature and precipitation (one row; rounded to ``digits``)."""
+    temperature and precipitation (one row). Rounded to 9 decimals only where the rules
+    ask for sums that do not depend on the order of addition (``sum_scale``)."""
+    digits = 9 if rules.sum_scale is not None else None
     h = hourly_co2(fact_trips, rules)
 
     def r(c):

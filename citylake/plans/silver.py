@@ -53,6 +53,19 @@ def cast_trips(raw: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+def picked_up_between(raw: DataFrame, start: str, end: str, rules: Rules = Rules()) -> DataFrame:
+    """Raw rows that can have a pickup in [start, end) after the epoch repair (C4).
+
+    Plain comparisons on the raw column, so they reach the scan: the repair leaves a timestamp
+    below the threshold as it is, and a row beyond it is kept for the repair to decide.
+    """
+    c = F.col("TPEP_PICKUP_DATETIME")
+    last = F.lit(int(rules.epoch_micros_threshold)).cast("timestamp").cast("timestamp_ntz")
+    first = F.lit(-int(rules.epoch_micros_threshold)).cast("timestamp").cast("timestamp_ntz")
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
+    return raw.where(((c >= lo) & (c < hi)) | (c > last) | (c < first))
+
+
 def latest_trips(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Typed trips, one per (vendor, pickup, location): the latest copy (G1)."""
     return latest_per_key(cast_trips(raw, rules), TRIP_KEY, TRIP_ORDER, row_number_col="row_num")
@@ -80,8 +93,7 @@ def stg_taxi_trips(raw: DataFrame, emission_factors: DataFrame, rules: Rules = R
         run_ts(rules).alias("dbt_updated_at"),
     )
     j = lookup_join(
-        enriched, emission_factors, ["vendor_id"], ["vendor_id"], rules.broadcast_max_rows, "emission factors",
-        ["emission_factor_g_mile"], drop_keys=False,
+        enriched, emission_factors, ["vendor_id"], ["vendor_id"], ["emission_factor_g_mile"], drop_keys=False,
     )
     factor = C.emission_factor("emission_factor_g_mile", rules)
     return j.select(

@@ -57,6 +57,12 @@ class Warehouse:
             rules=rules,
         )
 
+    def between(self, start: str, end: str) -> "Warehouse":
+        """The same models over the trips picked up in [start, end): the range reaches the raw scan.
+        All copies of a trip share its pickup time, so deduplication sees all of them."""
+        raw = silver.picked_up_between(self.raw_trips, start, end, self.rules)
+        return Warehouse(self.spark, raw, self.raw_weather, self.raw_zones, self.rules, self._ef, self._calendar)
+
     # ------------------------------------------------------------ seeds and dims
     @cached_property
     def emission_factors(self) -> DataFrame:

@@ -119,12 +119,8 @@ FIXTURE_CORE_BOROUGH = "AMERICA"
 def zones_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Bronze zone rows: one per nation; borough = region name (null for key 24),
     zone = nation name (+ ' Airport' when key % 8 = 0), service zone null."""
-    from citylake.operators.joins import checked_broadcast
-
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     r = region.select("r_regionkey", "r_name")
-    if checked_broadcast(region, 10_000, "regions"):
-        r = F.broadcast(r)
     j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
     return j.selectExpr(
         "CAST(n_nationkey AS INT) AS LOCATIONID",
@@ -149,17 +145,14 @@ def lineitem_rows(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def latest_lineitem(lineitem: DataFrame, orders: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def latest_lineitem(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Fixture L: the latest copy per (order, line) -- newest ship date, then lowest
     part, supplier and price -- with its order date.
 
-    The dedup aggregate runs first (partial aggregate before its shuffle, so a hot
-    key cannot pile up in one task); the order-date join follows: orders are
-    broadcast only after a bounded count shows at most ``max_broadcast_rows``
-    rows, otherwise it is a shuffle join whose skewed partitions AQE splits.
+    The dedup runs first and keeps one row per key and task before its shuffle; the order
+    join follows without a hint, so Spark chooses it by size and splits skewed partitions.
     """
     from citylake.operators.dedup import ASC_NULLS_LAST, DESC_NULLS_LAST, latest_per_key
-    from citylake.operators.joins import checked_broadcast
 
     order = [
         ("l_shipdate", DESC_NULLS_LAST),
@@ -169,8 +162,6 @@ def latest_lineitem(lineitem: DataFrame, orders: DataFrame, max_broadcast_rows:
     ]
     latest = latest_per_key(lineitem_rows(lineitem), ["l_orderkey", "l_linenumber"], order)
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
-    if checked_broadcast(orders, max_broadcast_rows, "orders"):
-        o = F.broadcast(o)
     return latest.join(o, latest["l_orderkey"] == o["o_orderkey"], "inner").drop("o_orderkey")
 
 

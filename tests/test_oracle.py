@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the sf0.001 driver tables."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -24,10 +25,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    """All but the optional training-data queries, which have tests of their own."""
+    own = {n for n in QUERIES if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     s = QUERIES[name](spark, SF).toPandas()
     d = con.execute(SQL[name]).df()
