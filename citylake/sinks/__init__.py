@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -26,8 +27,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citylake.operators.joins import checked_broadcast
-
 
 class SchemaDriftError(RuntimeError):
     """Incoming columns or types differ from the target table."""
@@ -51,14 +50,6 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     w.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """B3 against the session catalog (``layer.name``)."""
-    w = df.write.mode(mode).format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
-
-
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """A view, recomputed on every read."""
     df.createOrReplaceTempView(name)
@@ -88,21 +79,17 @@ def create_raw_trips_table(spark: SparkSession, name: str, location: str | None
 
 # ---------------------------------------------------------------- B5, B6: versions + upsert
 
-def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str], max_broadcast_keys: int = 2_000_000) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not in ``updates``, plus all of ``updates``.
 
     Every update row is evaluated (no "only newer rows" filter), matching an
     incremental merge on a unique key. A null key never matches, so null-key rows
     are inserted again on every run; gate them with a not-null check (J2).
-    The anti-join broadcasts the update keys only when their count is checked to
-    be small; otherwise both sides are shuffled on the key.
+    Spark chooses the anti-join by the sides' sizes. ``updates`` is read twice, so pass
+    a written table (as :func:`partitioned_upsert` and :func:`incremental_upsert` do).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    upd_keys = updates.select(*keys)
-    if checked_broadcast(upd_keys, max_broadcast_keys, "upsert keys"):
-        upd_keys = F.broadcast(upd_keys)
-    kept = target.join(upd_keys, keys, "left_anti")
-    return kept.unionByName(updates)
+    return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
 
 
 _COMMITS = "_commits"
@@ -136,25 +123,37 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(cur[1])
 
 
+def commit_version(spark: SparkSession, root: str, version: int, path: str) -> None:
+    """Record a complete folder as the table's newest version."""
+    stamp = _dt.datetime.now(_dt.timezone.utc).isoformat()
+    commit = spark.sql(
+        f"SELECT CAST({int(version)} AS BIGINT) AS version, '{path}' AS path, '{stamp}' AS committed_at"
+    )
+    commit.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{_COMMITS}")
+
+
 def write_version(
-    spark: SparkSession, df: DataFrame, root: str, version: int | None = None, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    version: int | None = None,
+    partition_by: Sequence[str] = (),
+    check: Callable[[DataFrame], None] | None = None,
 ) -> tuple[int, str]:
     """Write ``df`` as a new version folder, then record the commit.
 
     ``version`` defaults to one past the newest committed version; passing an
     explicit id (for example a streaming batch id) makes reruns rewrite the
-    same folder.
+    same folder. ``check`` gets the written rows first; if it raises, nothing is committed.
     """
     if version is None:
         cur = current_version(spark, root)
         version = 1 if cur is None else cur[0] + 1
     path = _version_path(root, version)
     overwrite(df, path, partition_by)
-    stamp = _dt.datetime.now(_dt.timezone.utc).isoformat()
-    commit = spark.sql(
-        f"SELECT CAST({int(version)} AS BIGINT) AS version, '{path}' AS path, '{stamp}' AS committed_at"
-    )
-    commit.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{_COMMITS}")
+    if check is not None:
+        check(spark.read.parquet(path))
+    commit_version(spark, root, version, path)
     return version, path
 
 
@@ -166,6 +165,7 @@ def incremental_upsert(
     full_refresh: bool = False,
     version: int | None = None,
     partition_by: Sequence[str] = (),
+    check: Callable[[DataFrame], None] | None = None,
 ) -> tuple[int, str]:
     """B5 + B6 + B7: merge ``updates`` into the versioned table at ``root``.
 
@@ -174,13 +174,34 @@ def incremental_upsert(
     ``upsert(current, updates, key)``. With an explicit ``version`` the merge base
     is the newest version below it, so re-running the same version (a replayed
     stream batch) recomputes the same result instead of merging into itself.
+    The updates are evaluated once, into a staging folder that goes with the commit.
+    ``check`` gets the written rows before the commit; if it raises, the table's current
+    version stays what it was.
     """
     cur = None if full_refresh else current_version(spark, root, below=version)
     if cur is None:
-        return write_version(spark, updates, root, version, partition_by)
+        return write_version(spark, updates, root, version, partition_by, check)
     target = spark.read.parquet(cur[1])
     assert_schema(updates.schema, target.schema)
-    return write_version(spark, upsert(target, updates, key), root, version, partition_by)
+    staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    try:
+        overwrite(updates, staging)
+        staged = spark.read.schema(updates.schema).parquet(staging)
+        return write_version(spark, upsert(target, staged, key), root, version, partition_by, check)
+    finally:
+        remove(spark, staging)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours with all it holds."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def partitioned_upsert(
@@ -190,53 +211,59 @@ def partitioned_upsert(
     key: str | Sequence[str],
     partition_col: str,
     run_id: str,
-    max_partitions: int = 100_000,
-) -> list:
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
     """B5 for a table partitioned by ``partition_col``: only the partitions the
     updates touch are read and rewritten.
 
     Requires that a key never changes partition (true for trips partitioned by
-    pickup date: the trip key hashes the pickup time). Steps:
-
-    1. the distinct partition values of ``updates`` (bounded by the number of
-       partitions, checked against ``max_partitions``) select the touched
-       partitions of the table by partition pruning;
-    2. ``upsert(touched, updates)`` is written to ``path/_staging/<run_id>`` (a
-       hidden folder, ignored by readers of ``path``);
-    3. the staged rows replace exactly those partitions with a dynamic partition
-       overwrite.
-
-    Rerunning the same ``run_id`` after a failure at any step gives the same table:
-    the upsert is idempotent and step 3 only replaces whole partitions.
-    Returns the touched partition values.
+    pickup date: the trip key hashes the pickup time). Steps, each complete once its
+    folder holds ``_SUCCESS``, below the hidden ``path/_staging/<run_id>``:
+
+    1. ``updates`` is evaluated once, into ``updates``, partitioned like the table;
+    2. the touched partitions of the table, merged with it, go to ``merged``;
+    3. ``check``, if given, gets the merged rows; if it raises, the table is as before;
+    4. ``merged`` replaces exactly these partitions by a dynamic partition overwrite;
+    5. the staging folder is removed.
+
+    A rerun of the same ``run_id`` goes on after the last complete step. After a failure
+    in step 4 the table can lack partitions, but ``merged`` holds them whole and is never
+    written again: the rerun only repeats the swap. After step 5 a rerun merges the same
+    updates once more, which changes nothing.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    parts_df = updates.select(partition_col).distinct()
-    if not checked_broadcast(parts_df, max_partitions, "touched partitions"):
-        raise ValueError(f"updates touch more than {max_partitions} partitions; use a full rebuild")
-    touched = [r[0] for r in parts_df.collect()]
-    staging = f"{path.rstrip('/')}/_staging/{run_id}"
-    try:
-        current = spark.read.parquet(path)
-        exists = True
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        exists = False
-    if exists:
-        # Data columns must match; the partition column's type comes from the
-        # folder names, so read the table with the declared schema.
-        assert_schema(updates.drop(partition_col).schema, current.drop(partition_col).schema)
-        current = spark.read.schema(updates.schema).parquet(path)
-        target = current.where(F.col(partition_col).isin(touched))
-        merged = upsert(target, updates.select(*current.columns), keys)
-    else:
-        merged = updates
-    overwrite(merged, staging, [partition_col])
-    staged = spark.read.parquet(staging).select(*updates.columns)
+    root = path.rstrip("/")
+    staging = f"{root}/_staging/{run_id}"
+    columns, schema = updates.columns, updates.schema
+    if not exists(spark, f"{staging}/merged/_SUCCESS"):
+        if not exists(spark, f"{staging}/updates/_SUCCESS"):
+            overwrite(updates, f"{staging}/updates", [partition_col])
+        staged = spark.read.schema(schema).parquet(f"{staging}/updates").select(*columns)
+        merged = staged
+        present = _partition_folders(spark, root)
+        if present:
+            # Data columns must match; the partition column's type comes from the
+            # folder names, so the table is read with the declared schema.
+            current = spark.read.parquet(root)
+            assert_schema(updates.drop(partition_col).schema, current.drop(partition_col).schema)
+            current = spark.read.schema(schema).parquet(root)
+            touched = staged.select(partition_col).distinct()
+            target = current.join(touched, current[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
+            merged = upsert(target.select(*columns), staged, keys)
+        overwrite(merged, f"{staging}/merged", [partition_col])
+    staged = spark.read.schema(schema).parquet(f"{staging}/merged").select(*columns)
+    if check is not None:
+        check(staged)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-    return touched
+     .partitionBy(partition_col).parquet(root))
+    remove(spark, staging)
+
+
+def _partition_folders(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds any data (hidden folders aside)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(f.isDirectory() and not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
 
 
 # ---------------------------------------------------------------- B9, B10
