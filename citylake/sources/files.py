@@ -8,12 +8,13 @@ files are already landed on shared storage; Spark splits them into input partiti
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citylake.functions.columns import rename_upper
+from citylake.functions.columns import rename_upper, with_audit
 from citylake.sources.schemas import (
     RAW_TRIPS_SCHEMA,
     TLC_FILE_SCHEMA,
@@ -41,6 +42,33 @@ def monthly_trip_paths(base: str, first: str, last: str, prefix: str = "yellow_t
     return out
 
 
+def _schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Monthly files grouped by the types their numeric columns are written with.
+
+    Counts are INT64 in some months and DOUBLE in others, and a scan reads one type per column.
+    Only file footers are read here (one per monthly file); columns a file lacks are read as null.
+    """
+    files: list[str] = []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+        files += [str(f.getPath()) for f in found] if found else [path]
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for f in files:
+        written = {c.name.lower(): c.dataType for c in spark.read.parquet(f).schema.fields}
+        fields = []
+        for c in TLC_FILE_SCHEMA.fields:
+            kind = written.get(c.name.lower(), c.dataType)
+            whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+            wanted = T.LongType() if whole and isinstance(c.dataType, (T.DoubleType, T.LongType)) else c.dataType
+            if isinstance(kind, (T.FloatType, T.DoubleType)) and isinstance(c.dataType, T.LongType):
+                wanted = kind
+            fields.append(T.StructField(c.name, wanted))
+        schema = T.StructType(fields)
+        groups.setdefault(schema.json(), (schema, []))[1].append(f)
+    return list(groups.values())
+
+
 def read_trips(spark: SparkSession, paths: str | Sequence[str], loaded_at=None) -> DataFrame:
     """Monthly TLC trip parquet files -> bronze trip rows (A1 + C1 + C2).
 
@@ -49,11 +77,15 @@ def read_trips(spark: SparkSession, paths: str | Sequence[str], loaded_at=None)
     load, as in the reference).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.schema(TLC_FILE_SCHEMA).parquet(*paths)
-    df = rename_upper(raw, TRIP_SOURCE_COLUMNS)
     src = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
     ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.localtimestamp()
-    df = df.withColumn("SOURCE_FILE", src).withColumn("LOADED_AT", ts)
+    parts = []
+    for schema, group in _schema_groups(spark, paths):
+        raw = spark.read.schema(schema).parquet(*group)
+        raw = with_audit(raw, "SOURCE_FILE", src, ts)
+        casts = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TLC_FILE_SCHEMA.fields]
+        parts.append(raw.select(*casts, "SOURCE_FILE", "LOADED_AT"))
+    df = rename_upper(reduce(DataFrame.unionByName, parts), TRIP_SOURCE_COLUMNS)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TRIPS_SCHEMA.fields])
 
 
