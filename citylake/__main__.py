@@ -30,11 +30,16 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True)
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--partition-facts-by", nargs="*", default=[])
+    p.add_argument("--silver-layout", choices=("by_pickup_date", "versioned"), default="by_pickup_date")
+    p.add_argument("--run-id", help="name of the run; a rerun under the same name continues it")
+    p.add_argument("--no-bronze", action="store_true", help="do not append the trips to bronze first")
+    p.add_argument("--check-gaps", action="store_true", help="also stop on missing weather hours (J5)")
     s = sub.add_parser("stream", help="availableNow incremental trip load")
     s.add_argument("--landing", required=True)
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
-    s.add_argument("--max-files-per-trigger", type=int, default=1)
+    s.add_argument("--checkpoint", help="folder of the stream's progress")
+    s.add_argument("--max-files-per-trigger", type=int)
     args = ap.parse_args(argv)
 
     from citylake.session import configure, ensure_checkpoint_dir
@@ -53,13 +58,17 @@ def main(argv: list[str] | None = None) -> int:
             args.out,
             full_refresh=args.full_refresh,
             fact_partition_by=args.partition_facts_by,
+            silver_layout=args.silver_layout,
+            run_id=args.run_id,
+            bronze=not args.no_bronze,
+            check_gaps=args.check_gaps,
         )
         print(json.dumps(out, indent=2))
     else:
         from citylake.streaming.incremental import start_trip_stream
 
         q = start_trip_stream(spark, args.landing, args.bronze, args.silver,
-                              max_files_per_trigger=args.max_files_per_trigger)
+                              checkpoint=args.checkpoint, max_files_per_trigger=args.max_files_per_trigger)
         q.awaitTermination()
     return 0
 

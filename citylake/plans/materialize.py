@@ -1,13 +1,17 @@
-"""End-to-end materialisation: bronze -> silver -> quality gate -> gold.
+"""End-to-end materialisation: bronze -> silver -> gold, each gated before it is published.
 
 Each layer is written before the next one reads it, so lineage is cut at every
 table and a lost executor costs at most a rerun of the current stage's tasks. Gold
-reads the written silver tables, never the silver plans. The gate (J6) runs the
-declared checks on silver and stops before any gold table is touched.
+reads the written silver tables, never the silver plans. The gate (J6) runs the declared
+checks on written rows that no reader sees yet: silver rows in their staging folder or
+uncommitted version, gold tables in a release folder. Only then are they swapped in or
+recorded as current, so a failing gate leaves the former silver and gold in place.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,24 +24,40 @@ from citylake.functions.columns import WEATHER_CATEGORIES
 from citylake.operators import quality as Q
 from citylake.plans import dims, facts, silver
 from citylake.sources.seeds import seed
+from citylake.streaming.incremental import touched_trips
 
 
 def _p(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def silver_checks(trips: DataFrame, weather: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
-    """The declared silver tests."""
+def trip_checks(trips: DataFrame) -> dict[str, DataFrame]:
+    """The declared tests of silver trips."""
     return {
         "stg_taxi_trips.trip_id unique": Q.unique(trips, "trip_id"),
         "stg_taxi_trips not null": Q.not_null(
             trips, ["trip_id", "co2_emission_grams", "is_distance_anomaly", "is_fare_anomaly"], keep=["trip_id"]
         ),
+    }
+
+
+def weather_checks(weather: DataFrame, gaps: bool = False) -> dict[str, DataFrame]:
+    """The declared tests of hourly weather (J1-J3), and missing hours (J5) if asked for."""
+    out = {
         "stg_weather_hourly.weather_time unique": Q.unique(weather, "weather_time"),
         "stg_weather_hourly.weather_time not null": Q.not_null(weather, ["weather_time"]),
         "stg_weather_hourly.weather_category accepted": Q.accepted_values(
             weather, "weather_category", WEATHER_CATEGORIES
         ),
+    }
+    if gaps:
+        out["stg_weather_hourly missing hours"] = Q.hourly_gaps(weather, "weather_time")
+    return out
+
+
+def zone_checks(zones: DataFrame) -> dict[str, DataFrame]:
+    """The declared tests of zones."""
+    return {
         "stg_zone_lookup.location_id unique": Q.unique(zones, "location_id"),
         "stg_zone_lookup not null": Q.not_null(zones, ["location_id", "borough"]),
     }
@@ -46,13 +66,37 @@ def silver_checks(trips: DataFrame, weather: DataFrame, zones: DataFrame) -> dic
 def gold_checks(trips: DataFrame, fact: DataFrame, agg: DataFrame, calendar: DataFrame) -> dict[str, DataFrame]:
     return {
         "gold_fact_trips.trip_id unique": Q.unique(fact, "trip_id"),
+        "gold_fact_trips.trip_id not null": Q.not_null(fact, ["trip_id"]),
         "gold_fact_trips grain": Q.grain_preserved(trips, fact),
         "gold_agg_demand_weather.agg_id unique": Q.unique(agg, "agg_id"),
         "gold_agg_demand_weather not null": Q.not_null(agg, ["agg_id", "total_trips"]),
         "dim_calendar.date_id unique": Q.unique(calendar, "date_id"),
+        "dim_calendar.date_id not null": Q.not_null(calendar, ["date_id"]),
+        "dim_calendar.date_day unique": Q.unique(calendar, "date_day"),
+        "dim_calendar.date_day not null": Q.not_null(calendar, ["date_day"]),
     }
 
 
+GOLD_RELEASES = "_releases"
+
+
+def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the current gold release."""
+    cur = sinks.current_version(spark, _p(root, "gold", GOLD_RELEASES))
+    if cur is None:
+        raise FileNotFoundError(f"no gold release under {root}")
+    return spark.read.parquet(f"{cur[1]}/{name}")
+
+
+def calendar_bounds(trips: DataFrame) -> tuple[str, int]:
+    """First day and number of days of a calendar of whole years that covers all trips."""
+    row = trips.agg(F.min("pickup_datetime").alias("lo"), F.max("pickup_datetime").alias("hi")).first()
+    if row["lo"] is None:
+        return "2023-01-01", 365
+    first, last = _dt.date(row["lo"].year, 1, 1), _dt.date(row["hi"].year, 12, 31)
+    return first.isoformat(), (last - first).days + 1
+
+
 def build_warehouse(
     spark: SparkSession,
     raw_trips: DataFrame,
@@ -62,48 +106,74 @@ def build_warehouse(
     rules: Rules = Rules(),
     full_refresh: bool = False,
     fact_partition_by: Sequence[str] = (),
-    silver_layout: str = "versioned",
+    silver_layout: str = "by_pickup_date",
     run_id: str | None = None,
+    bronze: bool = True,
+    check_gaps: bool = False,
 ) -> dict[str, str]:
-    """Build every model under ``root/{silver,gold}/<name>``; return name -> path.
-
-    Silver trips are merged by ``trip_id``: ``silver_layout="versioned"`` writes a
-    new complete version per run (``full_refresh`` rebuilds it);
-    ``"by_pickup_date"`` keeps the table partitioned by pickup date and rewrites
-    only the dates the run touches (``run_id`` names the run's staging folder, so
-    a rerun of a failed run is idempotent). Weather and zones are small full
-    rebuilds. Gold tables are full rebuilds from the written silver tables.
+    """Build every model under ``root``; return name -> path of the tables now current.
+
+    * ``bronze``: the run's trips are first kept under ``root/bronze/raw_taxi_trips/run=<run_id>``,
+      and every trip key they touch is re-evaluated over all its copies, old and new.
+    * Silver trips are merged by ``trip_id``: ``"by_pickup_date"`` keeps the table partitioned
+      by pickup date and rewrites only the dates the run touches; ``"versioned"`` writes a
+      complete new version per run (``full_refresh`` rebuilds it). Weather and zones are full
+      rebuilds, as new versions.
+    * Gold is one release folder per run, recorded as current after its checks.
+
+    ``run_id`` names the run's folders; a rerun under the same name goes on where the failed
+    one stopped.
     """
+    if silver_layout not in ("by_pickup_date", "versioned"):
+        raise ValueError(f"unknown silver layout {silver_layout!r}")
     out: dict[str, str] = {}
+    run_id = run_id or uuid.uuid4().hex
     ef = seed(spark, "seed_emission_factors")
 
+    # ---- bronze
+    if bronze:
+        bronze_root = _p(root, "bronze", "raw_taxi_trips")
+        sinks.overwrite(raw_trips, f"{bronze_root}/run={run_id}")
+        every = spark.read.schema(raw_trips.schema.add("run", "string")).parquet(bronze_root)
+        raw_trips = touched_trips(every.drop("run"), every.where(F.col("run") == run_id).drop("run"), rules)
+        out["raw_taxi_trips"] = bronze_root
+
     # ---- silver
+    for name, df, checks in (
+        ("stg_weather_hourly", silver.stg_weather_hourly(raw_weather, rules), lambda d: weather_checks(d, check_gaps)),
+        ("stg_zone_lookup", silver.stg_zone_lookup(raw_zones, rules), zone_checks),
+    ):
+        _, out[name] = sinks.write_version(
+            spark, df, _p(root, "silver", name), check=lambda d, checks=checks: Q.gate(checks(d))
+        )
     stg = silver.stg_taxi_trips(raw_trips, ef, rules)
     trips_root = _p(root, "silver", "stg_taxi_trips")
-    if silver_layout == "versioned":
-        _, out["stg_taxi_trips"] = sinks.incremental_upsert(spark, trips_root, stg, "trip_id", full_refresh=full_refresh)
-    elif silver_layout == "by_pickup_date":
-        import uuid
 
+    def trips_gate(rows: DataFrame) -> None:
+        Q.gate(trip_checks(rows))
+
+    if silver_layout == "versioned":
+        _, out["stg_taxi_trips"] = sinks.incremental_upsert(
+            spark, trips_root, stg, "trip_id", full_refresh=full_refresh, check=trips_gate
+        )
+    else:
+        if full_refresh:
+            sinks.remove(spark, trips_root)
         dated = stg.withColumn("pickup_date", F.to_date("pickup_datetime"))
-        sinks.partitioned_upsert(spark, trips_root, dated, "trip_id", "pickup_date", run_id or uuid.uuid4().hex)
+        sinks.partitioned_upsert(spark, trips_root, dated, "trip_id", "pickup_date", run_id, check=trips_gate)
         out["stg_taxi_trips"] = trips_root
-    else:
-        raise ValueError(f"unknown silver layout {silver_layout!r}")
-    for name, df in (
-        ("stg_weather_hourly", silver.stg_weather_hourly(raw_weather, rules)),
-        ("stg_zone_lookup", silver.stg_zone_lookup(raw_zones, rules)),
-    ):
-        out[name] = _p(root, "silver", name)
-        sinks.overwrite(df, out[name])
 
-    trips = spark.read.parquet(out["stg_taxi_trips"]).select(*silver.STG_COLUMNS)
+    # Read by the declared schema: a silver table without rows has no file to take one from.
+    trips = spark.read.schema(stg.schema).parquet(out["stg_taxi_trips"]).select(*silver.STG_COLUMNS)
     weather = spark.read.parquet(out["stg_weather_hourly"])
     zones = spark.read.parquet(out["stg_zone_lookup"])
-    Q.gate(silver_checks(trips, weather, zones))
 
     # ---- gold
-    calendar = dims.dim_calendar(spark, rules)
+    releases = _p(root, "gold", GOLD_RELEASES)
+    cur = sinks.current_version(spark, releases)
+    number = 1 if cur is None else cur[0] + 1
+    release = f"{releases}/v={number:010d}"
+    calendar = dims.dim_calendar(spark, rules, *calendar_bounds(trips))
     gold = {
         "dim_calendar": calendar,
         "dim_zones": dims.dim_zones(zones, rules),
@@ -113,7 +183,7 @@ def build_warehouse(
         "dim_weather_lookup": dims.dim_weather_lookup(weather),
     }
     for name, df in gold.items():
-        out[name] = _p(root, "gold", name)
+        out[name] = f"{release}/{name}"
         sinks.overwrite(df, out[name])
 
     # The three facts read silver independently; their writes are submitted
@@ -124,13 +194,14 @@ def build_warehouse(
         "gold_fact_sustainability": facts.gold_fact_sustainability(trips, rules),
     }
     for name in fact_jobs:
-        out[name] = _p(root, "gold", name)
+        out[name] = f"{release}/{name}"
     with ThreadPoolExecutor(max_workers=len(fact_jobs)) as pool:
         list(pool.map(lambda n: sinks.overwrite(fact_jobs[n], out[n], fact_partition_by), fact_jobs))
     fact_written = spark.read.parquet(out["gold_fact_trips"])
-    out["gold_agg_demand_weather"] = _p(root, "gold", "gold_agg_demand_weather")
+    out["gold_agg_demand_weather"] = f"{release}/gold_agg_demand_weather"
     sinks.overwrite(facts.gold_agg_demand_weather(fact_written, rules), out["gold_agg_demand_weather"])
 
     agg = spark.read.parquet(out["gold_agg_demand_weather"])
     Q.gate(gold_checks(trips, fact_written, agg, spark.read.parquet(out["dim_calendar"])))
+    sinks.commit_version(spark, releases, number, release)
     return out

@@ -22,12 +22,13 @@ job resumes after the last committed batch.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.config import Rules
 from citylake.functions.columns import rename_upper
-from citylake.operators.joins import checked_broadcast
 from citylake.plans.silver import TRIP_KEY, cast_trips, stg_taxi_trips
 from citylake.session import ensure_checkpoint_dir
 from citylake.sinks import partitioned_upsert
@@ -46,7 +47,7 @@ def to_bronze(batch: DataFrame, loaded_at) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TRIPS_SCHEMA.fields])
 
 
-def touched_trips(bronze: DataFrame, batch_bronze: DataFrame, rules: Rules, max_keys: int = 2_000_000) -> DataFrame:
+def touched_trips(bronze: DataFrame, batch_bronze: DataFrame, rules: Rules) -> DataFrame:
     """All bronze rows (every copy) of the trip keys present in ``batch_bronze``."""
     keys = cast_trips(batch_bronze, rules).select(*TRIP_KEY).distinct()
     rng = batch_bronze.agg(F.min("TPEP_PICKUP_DATETIME").alias("lo"), F.max("TPEP_PICKUP_DATETIME").alias("hi")).first()
@@ -56,7 +57,7 @@ def touched_trips(bronze: DataFrame, batch_bronze: DataFrame, rules: Rules, max_
         # same raw value, so the raw range bounds the candidates).
         cand = cand.where(F.col("TPEP_PICKUP_DATETIME").between(F.lit(rng["lo"]), F.lit(rng["hi"])))
     casted = cast_trips(cand, rules)
-    k = F.broadcast(keys) if checked_broadcast(keys, max_keys, "batch trip keys") else keys
+    k = keys
     cond = None
     for c in TRIP_KEY:
         e = casted[c].eqNullSafe(k[c])
@@ -111,21 +112,29 @@ def start_trip_stream(
     silver_root: str,
     rules: Rules = Rules(),
     checkpoint: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
 ):
-    """Start the availableNow stream over ``landing_dir``; returns the StreamingQuery."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/trip_stream"
+    """Start the availableNow stream over ``landing_dir``; returns the StreamingQuery.
+
+    Progress is kept in ``checkpoint``, by default a folder of the shared checkpoint folder named
+    after the stream's landing and target folders, so two streams never share one.
+    ``max_files_per_trigger`` limits a batch only if given.
+    """
+    if checkpoint is None:
+        name = hashlib.sha256("\n".join((landing_dir, bronze_path, silver_root)).encode()).hexdigest()[:16]
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trip_stream-{name}"
+    reader = spark.readStream.schema(TLC_FILE_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = (
-        spark.readStream.schema(TLC_FILE_SCHEMA)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(landing_dir)
+        reader.parquet(landing_dir)
         .withColumn("SOURCE_FILE", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1))
     )
     return (
         src.writeStream.foreachBatch(
             lambda df, bid: process_batch(spark, df, bid, bronze_path, silver_root, rules)
         )
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

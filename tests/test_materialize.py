@@ -14,14 +14,15 @@ SF = "/root/testdata/sf0.001"
 def test_build_matches_lazy_models(spark, tmp_root):
     wh = Warehouse.from_testdata(spark, SF)
     out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"),
-                       FIXTURE_RULES, fact_partition_by=["pickup_date_id"])
+                       FIXTURE_RULES, fact_partition_by=["pickup_date_id"], silver_layout="versioned")
     assert spark.read.parquet(out["stg_taxi_trips"]).count() == wh.stg_trips.count()
     assert spark.read.parquet(out["gold_fact_trips"]).count() == wh.fact_trips.count()
     got = sorted(map(tuple, spark.read.parquet(out["gold_agg_demand_weather"]).select("agg_id", "total_trips").collect()))
     want = sorted(map(tuple, wh.agg_demand_weather.select("agg_id", "total_trips").collect()))
     assert got == want
     # second run merges into a new silver version and keeps the same result
-    out2 = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"), FIXTURE_RULES)
+    out2 = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"), FIXTURE_RULES,
+                       silver_layout="versioned")
     assert out2["stg_taxi_trips"] != out["stg_taxi_trips"]
     assert spark.read.parquet(out2["stg_taxi_trips"]).count() == wh.stg_trips.count()
 
@@ -44,3 +45,37 @@ def test_build_with_date_partitioned_silver(spark, tmp_root):
     silver_dirs = [d for d in os.listdir(out["stg_taxi_trips"]) if d.startswith("pickup_date=")]
     assert len(silver_dirs) >= 28
     assert spark.read.parquet(out["gold_fact_trips"]).count() == wh.stg_trips.count()
+
+
+def test_failing_gate_leaves_silver_and_gold_current(spark, tmp_root):
+    from citylake.plans.materialize import read_gold
+
+    wh = Warehouse.from_testdata(spark, SF)
+    root = os.path.join(tmp_root, "gated")
+    out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="good")
+    trips = spark.read.parquet(out["stg_taxi_trips"]).count()
+    weather = spark.read.parquet(out["stg_weather_hourly"]).count()
+    with pytest.raises(QualityGateError):
+        build_warehouse(spark, wh.raw_trips, wh.raw_weather.unionByName(wh.raw_weather), wh.raw_zones, root, FIXTURE_RULES, run_id="bad")
+    from citylake import sinks
+
+    assert spark.read.parquet(out["stg_taxi_trips"]).count() == trips
+    assert sinks.read_current(spark, os.path.join(root, "silver", "stg_weather_hourly")).count() == weather
+    assert read_gold(spark, root, "gold_fact_trips").count() == trips
+    with pytest.raises(QualityGateError) as e:
+        build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="gaps", check_gaps=True)
+    assert list(e.value.failures) == ["stg_weather_hourly missing hours"]
+
+
+def test_bronze_lets_a_later_run_see_older_copies(spark, tmp_root):
+    """A re-sent copy that arrives alone still competes with the copy of the first run."""
+    from pyspark.sql import functions as F
+
+    wh = Warehouse.from_testdata(spark, SF)
+    root = os.path.join(tmp_root, "bronze")
+    newest = wh.raw_trips.where("SOURCE_FILE = 'events_resend.parquet'")
+    build_warehouse(spark, newest, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="newest")
+    first = wh.raw_trips.where("SOURCE_FILE = 'events.parquet'")
+    out = build_warehouse(spark, first, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="older")
+    got = sorted(map(tuple, spark.read.parquet(out["stg_taxi_trips"]).select("trip_id", F.round("fare_amount", 2)).collect()))
+    assert got == sorted(map(tuple, wh.stg_trips.select("trip_id", F.round("fare_amount", 2)).collect()))

@@ -187,7 +187,9 @@ def test_build_job_from_landed_files(spark, tmp_root):
     assert main(["build", "--trips", os.path.join(land, "yellow_tripdata_2023-01.parquet"),
                  "--weather", os.path.join(land, "weather.json"), "--zones", os.path.join(land, "zones.csv"),
                  "--out", out]) == 0
-    fact = spark.read.parquet(os.path.join(out, "gold", "gold_fact_trips"))
+    from citylake.plans.materialize import read_gold
+
+    fact = read_gold(spark, out, "gold_fact_trips")
     assert fact.count() == 8
     assert fact.where("pickup_borough = 'Manhattan'").count() == 3
     assert fact.where("weather_category = 'Clear'").count() == 8
@@ -240,10 +242,10 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_root):
     path = os.path.join(tmp_root, "trips_by_day")
     v1 = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-01-01"), ("c", 3, "2024-01-02")],
                                "k string, v int, d string")
-    assert sorted(sinks.partitioned_upsert(spark, path, v1, "k", "d", "run1")) == ["2024-01-01", "2024-01-02"]
+    sinks.partitioned_upsert(spark, path, v1, "k", "d", "run1")
     day2 = [f for f in os.listdir(os.path.join(path, "d=2024-01-02")) if f.endswith(".parquet")]
     v2 = spark.createDataFrame([("b", 20, "2024-01-01"), ("e", 5, "2024-01-01")], "k string, v int, d string")
-    assert sinks.partitioned_upsert(spark, path, v2, "k", "d", "run2") == ["2024-01-01"]
+    sinks.partitioned_upsert(spark, path, v2, "k", "d", "run2")
     rd = spark.read.schema("k string, v int, d string")
     got = sorted(map(tuple, rd.parquet(path).select("k", "v", "d").collect()))
     assert got == [("a", 1, "2024-01-01"), ("b", 20, "2024-01-01"), ("c", 3, "2024-01-02"), ("e", 5, "2024-01-01")]
@@ -254,12 +256,85 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_root):
     assert sorted(map(tuple, rd.parquet(path).select("k", "v", "d").collect())) == got
 
 
+def test_rerun_after_a_half_finished_swap_loses_nothing(spark, tmp_root):
+    """The touched partition is gone and the merged copy is complete: the rerun only swaps."""
+    import shutil
+
+    path = os.path.join(tmp_root, "half")
+    schema = "k string, v int, d string"
+    sinks.partitioned_upsert(spark, path, spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-01-01")], schema), "k", "d", "r1")
+    updates = spark.createDataFrame([("b", 20, "2024-01-01"), ("c", 3, "2024-01-01")], schema)
+
+    def stop(_):
+        raise RuntimeError("stopped before the swap")
+
+    with pytest.raises(RuntimeError):
+        sinks.partitioned_upsert(spark, path, updates, "k", "d", "r2", check=stop)
+    before = sorted(map(tuple, spark.read.schema(schema).parquet(path).select("k", "v").collect()))
+    assert before == [("a", 1), ("b", 2)]  # a failing check leaves the table as it was
+    shutil.rmtree(os.path.join(path, "d=2024-01-01"))
+    sinks.partitioned_upsert(spark, path, updates, "k", "d", "r2")
+    got = sorted(map(tuple, spark.read.schema(schema).parquet(path).select("k", "v").collect()))
+    assert got == [("a", 1), ("b", 20), ("c", 3)]
+    assert os.listdir(os.path.join(path, "_staging")) == []
+
+
+@pytest.mark.parametrize("layout", ["partitioned", "versioned"])
+def test_upsert_evaluates_its_updates_once(spark, tmp_root, layout):
+    path = os.path.join(tmp_root, layout)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    schema = "k long, v long, d string"
+    rows = spark.range(1000).selectExpr("id AS k", "id AS v", "CAST(id % 3 AS STRING) AS d")
+    for run in ("r1", "r2"):
+        seen.value = 0
+        updates = rows.mapInPandas(count, schema)
+        if layout == "partitioned":
+            sinks.partitioned_upsert(spark, path, updates, "k", "d", run)
+        else:
+            sinks.incremental_upsert(spark, path, updates, "k")
+        assert seen.value == 1000
+
+
+def test_months_with_different_count_types_read_together(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    from citylake.sources import files
+
+    base = spark.range(3).select(
+        F.col("id").cast("int").alias("VendorID"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+        F.col("id").alias("n"),
+    )
+    for month, kind in (("01", "double"), ("02", "long"), ("03", "int"), ("04", "double")):
+        base.select("VendorID", "tpep_pickup_datetime", F.col("n").cast(kind).alias("passenger_count"), F.col("n").cast(kind).alias("RatecodeID")) \
+            .coalesce(1).write.parquet(os.path.join(tmp_root, f"yellow_tripdata_2024-{month}.parquet"))
+    got = files.read_trips(spark, os.path.join(tmp_root, "yellow_tripdata_*.parquet"))
+    assert got.count() == 12
+    assert sorted(r.PASSENGER_COUNT for r in got.collect()) == sorted([0.0, 1.0, 2.0] * 4)
+    assert got.select("RATECODEID").distinct().count() == 3
+
+
+def test_epoch_repair_at_both_edges(spark):
+    from pyspark.sql import types as T
+
+    from citylake.functions import columns as C
+
+    rows = spark.createDataFrame([(k,) for k in (10**11, 10**11 + 1, 10**14, 10**14 + 1)], "e long")
+    got = [str(r[0]) for r in rows.select(C.repair_epoch("e", T.LongType()).cast("string")).collect()]
+    assert got[0].lstrip("+").startswith("5138") and got[1].startswith("1973-03-03")
+    assert got[2].lstrip("+").startswith("5138") and got[3].startswith("1973-03-03")
+
+
 def test_distinct_sample_matches_full_distinct(spark):
     from pyspark.sql import functions as F
 
     from citylake.operators.profile import distinct_sample
 
-    # heavy duplication (every value 40 times) forces several doublings
     df = spark.range(0, 40_000, numPartitions=7).select((F.col("id") % 1000).alias("v"))
     want = [r.v for r in df.select("v").distinct().orderBy("v").limit(300).collect()]
     assert [r.v for r in distinct_sample(df, ["v"], 300).collect()] == want
