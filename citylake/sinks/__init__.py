@@ -157,6 +157,17 @@ def write_version(
     return version, path
 
 
+def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
+    """Delete the folders of all but the newest ``keep`` committed versions (readers of older ones
+    must have ended); returns their numbers. The commit log keeps its records."""
+    log = spark.read.schema("version LONG, path STRING, committed_at STRING").json(f"{root.rstrip('/')}/{_COMMITS}")
+    versions = sorted((r["version"], r["path"]) for r in log.select("version", "path").distinct().collect())
+    old = [(v, p) for v, p in versions[: max(0, len(versions) - max(1, keep))] if exists(spark, p)]
+    for _, path in old:
+        remove(spark, path)
+    return [v for v, _ in old]
+
+
 def incremental_upsert(
     spark: SparkSession,
     root: str,

@@ -81,3 +81,20 @@ def test_agg_null_groups_kept_and_key_unique(spark):
     agg = {r.pickup_borough: r for r in facts.gold_agg_demand_weather(f).collect()}
     assert agg[None].total_trips == 2 and agg[None].total_passengers == 3 and agg[None].avg_fare_amount == 15.0
     assert agg[None].agg_id != agg["Queens"].agg_id
+
+
+def test_production_sums_agree_with_the_rounded_ones(spark):
+    """The default rules (no ``sum_scale``) against the fixture's, which the oracle checks."""
+    import pytest
+
+    from citylake.plans.warehouse import FIXTURE_RULES, Warehouse
+
+    key = ["agg_id", "pickup_day_of_week", "is_precipitation"]
+    sums = ["total_revenue", "total_co2_grams", "avg_co2_grams_per_trip", "avg_fare_amount", "avg_trip_distance"]
+    got, want = (
+        {tuple(map(str, r[:3])): r[3:] for r in Warehouse.from_testdata(spark, "/root/testdata/sf0.001", rules).agg_demand_weather.select(*key, *sums).collect()}
+        for rules in (FIXTURE_RULES.with_(sum_scale=None), FIXTURE_RULES)
+    )
+    assert got.keys() == want.keys() and len(got) > 100
+    for k, row in want.items():
+        assert list(got[k]) == pytest.approx(list(row), abs=0.006)

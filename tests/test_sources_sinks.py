@@ -301,6 +301,15 @@ def test_upsert_evaluates_its_updates_once(spark, tmp_root, layout):
         assert seen.value == 1000
 
 
+def test_expired_versions_leave_the_newest(spark, tmp_root):
+    path = os.path.join(tmp_root, "versions")
+    for k in range(4):
+        sinks.write_version(spark, spark.range(k), path)
+    assert sinks.expire_versions(spark, path, keep=2) == [1, 2]
+    assert sinks.expire_versions(spark, path, keep=2) == []
+    assert sinks.read_current(spark, path).count() == 3
+
+
 def test_months_with_different_count_types_read_together(spark, tmp_root):
     from pyspark.sql import functions as F
 
