@@ -42,7 +42,9 @@ SIMILARITY = 0.8
 TREES = 24
 PATH = 8
 TARGET_RECALL = 0.9999
-TILE = 64
+#: Nodes of a large group in a tile, and of small groups together in a pack, about.
+TILE = 256
+PACK = 64
 
 
 def prefix_length(similarity: float = SIMILARITY, trees: int = TREES, path: int = PATH, target: float = TARGET_RECALL) -> int:
@@ -197,7 +199,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
     tiles = F.ceil(F.col("size") / F.lit(tile))
     sizes = common.written(sizes.withColumn("tiles", tiles.cast("long")), "groups")
     small = sizes.where("tiles = 1").agg(F.sum("size")).first()[0] or 0
-    packs = common.slices_for(small, tile)
+    packs = common.slices_for(small, PACK)
     # Small groups share a pack; a large group is dealt over its tiles, two of which meet in a task.
     own = F.pmod(F.xxhash64("node"), F.col("tiles"))
     members = groups.join(sizes, "label").select(
