@@ -35,12 +35,14 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.llm import common
+from citylake.llm.bpe import byte_alphabet
 
 END_ID = 2
 #: A data frame ends with the document that brings it to this many ids.
@@ -50,7 +52,11 @@ LEVEL = 1
 NULL_ID = -(1 << 63)
 _INDEX_MAGIC, _SEEK_MAGIC, _SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
-_ODD_SPACE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
+_ODD_SPACE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x7f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
+#: Characters that may need composition or have a lower case of more than one form.
+_BEYOND = re.compile("[^\\x00-\u012f]")
+#: Fixed value: the pattern of the tokenizer's pre-tokenizer.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -62,9 +68,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class WordEncoder:
     """A tokenizer whose pre-tokenizer drops white space: a text's ids are its words' ids, joined.
 
-    Results of the library for each word are kept in a bounded cache. Texts with white space or
-    control characters other than ASCII white space go to the library whole. The normaliser
-    (composition, lower case) and the pre-tokenizer never look across white space.
+    The normaliser (composition, lower case) and the pre-tokenizer never look across white space, so
+    words are encoded once and kept in a bounded cache. A word of Latin letters below U+0130 needs no
+    composition and has one lower case; it is cut by the pre-tokenizer's own pattern and its parts go
+    to the library's BPE model. All other words go through the library's whole pipeline, and so do
+    texts with special tokens or with white space or control characters other than ASCII white space.
     """
 
     def __init__(self, path: str):
@@ -72,20 +80,36 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_ODD_SPACE.pattern, *map(re.escape, special)]))
+        self.recent = common.Recent(CACHE)
+        self.parts: dict[str, bytes] = {}
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+
+    def _part(self, part: str) -> bytes:
+        """The ids of one pre-token."""
+        found = self.parts.get(part)
+        if found is None:
+            raw = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+            ids = [t.id for t in self.tokenizer.model.tokenize(raw)]
+            found = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _words(self, new: list[str]) -> Iterator[bytes]:
+        if len(self.parts) > 2 * CACHE:
+            self.parts.clear()
+        for w in new:
+            if w.isascii() or not _BEYOND.search(w):
+                low = w.lower()
+                yield self._part(low) if low.isalpha() else b"".join(map(self._part, _PARTS.findall(low)))
+            else:
+                ids = self.tokenizer.encode(w, add_special_tokens=False).ids
+                yield struct.pack(f"<{len(ids)}I", *ids)
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [None if _ODD_SPACE.search(x) else x.split() for x in texts]
-        used = set(chain.from_iterable(x for x in split if x))
-        new = [w for w in used if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = list(used)
-        if new:
-            coded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            self.cache.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in coded)))
-        get = self.cache.__getitem__
+        split = [None if self.whole.search(x) else x.split() for x in texts]
+        get = self.recent.results(set(chain.from_iterable(x for x in split if x)), self._words).__getitem__
         return [
             np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if ws is None else b"".join(map(get, ws))
             for x, ws in zip(texts, split)
