@@ -277,3 +277,25 @@ def reference_links(rows: list[tuple[int, str | None]], similarity: float = SIMI
                 n[e] = n.get(e, 0) + 1
         out[d] = {e for e, k in n.items() if e != d and k >= similarity * (len(s) + len(sets[e]) - k) - 1e-9}
     return out
+
+
+#: The same links by comparing all pairs that share a shingle, in DuckDB SQL (doc_ids are unique in documents).
+OP1_SQL = f"""
+WITH RECURSIVE texts AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + {SHINGLE} - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE} + 2, 2))) AS k FROM texts WHERE len(w) > 0)
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b, c = x.n AND c = y.n AS same
+  FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE c >= {SIMILARITY} * (x.n + y.n - c) - 1e-9
+),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT doc_id, least(doc_id, coalesce(first, doc_id)) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links, (1 + coalesce(n_same, 0))::BIGINT AS n_copies
+FROM texts
+LEFT JOIN (SELECT a AS doc_id, min(b) AS first FROM reached GROUP BY a) USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links, count_if(same) AS n_same FROM links GROUP BY a) USING (doc_id)
+"""

@@ -141,3 +141,54 @@ def judged(docs: DataFrame) -> DataFrame:
 def op6_adaptive_quality(spark, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents."""
     return judged(common.documents(spark, sf_dir))
+
+
+def _sql() -> str:
+    """The same rules for DuckDB, with exact quantiles: equal wherever the sketches hold all values (up to K per group)."""
+    names = list(FLOOR)
+    quartiles = ", ".join(f"quantile_disc({m}, {q}) AS {m}_{s}" for m in names for q, s in ((0.25, "q1"), (0.75, "q3")))
+
+    def fences(pre: str) -> str:
+        out = []
+        for m in names:
+            width = f"{FENCE} * greatest({pre}{m}_q3 - {pre}{m}_q1, {FLOOR[m]})"
+            out.append(f"d.{m} BETWEEN {pre}{m}_q1 - {width} AND {pre}{m}_q3 + {width}")
+        return " AND ".join(out)
+
+    return f"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+),
+split AS MATERIALIZED (
+  SELECT id, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts
+),
+windows AS (
+  SELECT id, k, w[k : k + 7] AS g FROM (SELECT id, w, unnest(range(1, len(w) - 6)) AS k FROM split)
+),
+again AS (SELECT id, unnest(ks) AS k FROM (SELECT id, list(k) AS ks FROM windows GROUP BY id, g HAVING count(*) > 1)),
+repeated AS (SELECT id, count(*) AS n FROM (SELECT DISTINCT id, unnest(range(k, k + 8)) AS p FROM again) GROUP BY id),
+counts AS MATERIALIZED (
+  SELECT x.id, doc_id, lang, source, len(w) AS n_words, coalesce(list_sum([length(y) FOR y IN w]), 0)::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(lines) AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM texts x JOIN split s USING (id) LEFT JOIN repeated r USING (id)
+),
+d AS MATERIALIZED (
+  SELECT *, word_chars / nullif(n_words, 0)::DOUBLE AS word_length, n_symbols / nullif(n_words, 0)::DOUBLE AS symbols,
+         n_dup_lines / nullif(n_lines, 0)::DOUBLE AS repeated_lines
+  FROM counts
+),
+by_source AS (SELECT lang, source, count(word_length) AS n, {quartiles} FROM d GROUP BY lang, source),
+by_lang AS (SELECT lang, count(word_length) AS n, {quartiles} FROM d GROUP BY lang),
+whole AS (SELECT {quartiles} FROM d)
+SELECT d.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT base_failed AND coalesce(CASE WHEN s.n >= {LEAST} THEN {fences("s.")} WHEN l.n >= {LEAST} THEN {fences("l.")} ELSE {fences("a.")} END, false) AS kept
+FROM d JOIN by_source s ON d.lang IS NOT DISTINCT FROM s.lang AND d.source IS NOT DISTINCT FROM s.source
+JOIN by_lang l ON d.lang IS NOT DISTINCT FROM l.lang CROSS JOIN whole a
+"""
+
+
+OP6_SQL = _sql()

@@ -373,3 +373,20 @@ def reference_removed(texts: list[tuple[int, str | None]], window: int = WINDOW)
         kept = b" ".join(w for i, w in enumerate(ws) if i not in gone)
         out.append((d, len(ws), len(gone), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+#: The same rule in DuckDB SQL (doc_ids are unique in documents).
+OP8_SQL = f"""
+WITH texts AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW} + 2)) AS k FROM texts),
+ranked AS (
+  SELECT doc_id, k, row_number() OVER (PARTITION BY array_to_string(w[k : k + {WINDOW} - 1], ' ') ORDER BY doc_id, k) AS place FROM starts
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + {WINDOW})) AS p FROM ranked WHERE place > 1),
+word_rows AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM word_rows ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT x.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts x LEFT JOIN kept USING (doc_id)
+"""
