@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from citylake.llm import common
 from citylake.llm import token_frames as F
@@ -20,6 +22,16 @@ def test_words_equal_the_library(encoder):
     assert have == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+ALPHABET = [chr(c) for c in range(33, 0x134)] + list("abcXYZ'sreve  \n\t") + ["Σ", "İ", "ŉ", "é", "ﬁ", "한", "<|endoftext|>", "ͅ", "\u2028"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(ALPHABET), max_size=30))
+def test_any_text_equals_the_library(encoder, parts):
+    text = "".join(parts)
+    assert np.frombuffer(encoder.many([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_write_and_read_edge_rows(spark, edge, encoder):
     folder = common.scratch_path(spark, "frames-test")
     manifest = F.write(edge, folder, F.tokenizer_path())
