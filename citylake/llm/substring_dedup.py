@@ -8,7 +8,9 @@ in the same document). Three passes over written blocks of documents:
    ``GRAM``-word runs; equal windows have equal anchors. A block sends its distinct anchor
    hashes, once each, to slices, which answer which of them occur at several places.
 2. *Confirmation and automata.* Neighbouring windows with the same recurring anchor
-   form a passage. A block sends each distinct passage once, with its words and its
+   form a passage. An anchor with more than ``HOT_PLACES`` places (a line in a third of all
+   documents, say, with other words around it each time) would bring all of these to one
+   shard: its windows are passages of their own, dealt by their whole word sequence instead. A block sends each distinct passage once, with its words and its
    first place, to the anchor's shard. The shard confirms which windows recur, compiles
    them into an Aho-Corasick automaton over word numbers (so a match is an exact match of
    whole words, whatever the hashes say), streams all passages through it, and answers
@@ -43,6 +45,8 @@ WINDOW = 20
 GRAM = 8
 #: Longest run of windows in one passage; longer runs are cut, which changes no answer.
 RUN = 32
+#: Places from which on an anchor's windows are dealt one by one; either way gives the same answers.
+HOT_PLACES = 2_000
 #: Anchor hashes in a slice and passages in a shard, about.
 SLICE_KEYS = 400_000
 SHARD_PASSAGES = 4_000
@@ -80,21 +84,23 @@ class _Anchored:
         self.chosen = grams[(_slide(reach, span, np.maximum) == grams) & (grams > 0)]
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct anchors, mixed and sorted; whether each has several places here."""
-        keys, n = np.unique(common.mix(self.chosen), return_counts=True)
-        return keys, n > 1
+        """Distinct anchors, mixed and sorted; the number of places each has here."""
+        return np.unique(common.mix(self.chosen), return_counts=True)
 
-    def passages(self, recurring: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First window, number of windows and mixed anchor of each run of windows with one recurring anchor."""
+    def passages(self, recurring: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First window, number of windows and key of each run of windows with one recurring anchor."""
         mixed = common.mix(self.anchor)
         keys, _ = self.keys()
         at = np.minimum(np.searchsorted(keys, mixed), max(0, len(keys) - 1))
-        hot = self.valid & (recurring[at] & (keys[at] == mixed) if len(keys) else False)
-        idx = np.flatnonzero(hot)
+        idx = np.flatnonzero(self.valid & (recurring[at] & (keys[at] == mixed) if len(keys) else False))
         if not len(idx):
             return idx, idx, np.empty(0, np.uint64)
         new = np.ones(len(idx), bool)
         new[1:] = (np.diff(idx) != 1) | (mixed[idx[1:]] != mixed[idx[:-1]])
+        alone = hot[at[idx]]
+        if alone.any():
+            new |= alone
+            mixed[idx[alone]] = common.mix(common.gram_hash(self.tokens.hash, WINDOW)[idx[alone]])
         first = idx[new]
         since = idx - np.repeat(first, np.diff([*np.flatnonzero(new), len(idx)]))
         new |= since % RUN == 0
@@ -102,10 +108,10 @@ class _Anchored:
         return first, np.diff([*np.flatnonzero(new), len(idx)]), mixed[first]
 
 
-def _distinct(block: common.Block, a: _Anchored, recurring: np.ndarray):
-    """Passages of a block: place, windows, anchor, number among the distinct ones; place of each distinct one's first."""
-    first, n, key = a.passages(recurring)
-    order = np.argsort(key, kind="stable")  # sorted by anchor, then by place
+def _distinct(a: _Anchored, answers: tuple[np.ndarray, np.ndarray]):
+    """Passages of a block: place, windows, key, number among the distinct ones; place of each distinct one's first."""
+    first, n, key = a.passages(*answers)
+    order = np.argsort(key, kind="stable")  # sorted by key, then by place
     first, n, key = first[order], n[order], key[order]
     raw, seen, number, heads = a.tokens.hash, {}, np.empty(len(first), np.int64), []
     for k, (b, e) in enumerate(zip(first.tolist(), (first + n + WINDOW - 1).tolist())):
@@ -117,8 +123,8 @@ def _distinct(block: common.Block, a: _Anchored, recurring: np.ndarray):
     return first, n, key, number, np.array(heads, np.int64)
 
 
-KEYS_SCHEMA = "slice long, block long, keys binary, several binary"
-FOUND_SCHEMA = "slice long, block long, found binary"
+KEYS_SCHEMA = "slice long, block long, keys binary, places binary"
+FOUND_SCHEMA = "slice long, block long, found binary, hot binary"
 PASSAGES_SCHEMA = "shard long, block long, texts binary, lengths binary, doc_ids binary, starts binary"
 FIRST_SCHEMA = "shard long, block long, first binary"
 
@@ -127,38 +133,43 @@ def _send_keys(slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in common.block_rows(batches):
             block = common.Block(row)
-            keys, several = _Anchored(block).keys()
+            keys, places = _Anchored(block).keys()
             parts = common.scattered(keys, slices)
             if parts:
                 yield pa.RecordBatch.from_pydict({
                     "slice": [s for s, _ in parts],
                     "block": [block.block] * len(parts),
                     "keys": [keys[r].tobytes() for _, r in parts],
-                    "several": [np.packbits(several[r]).tobytes() for _, r in parts],
+                    "places": [np.minimum(places[r], 0xFFFF).astype(np.uint16).tobytes() for _, r in parts],
                 })
 
     return run
 
 
 def _recurring(table: pa.Table) -> pa.Table:
-    """Which anchors of a slice occur at several places of the corpus."""
+    """Which anchors of a slice occur at several, and which at very many places of the corpus."""
     parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-    several = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(p)) for x, p in zip(table["several"].to_pylist(), parts)]
-    _, inverse, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-    many = n > 1
-    many[inverse[np.concatenate(several).astype(bool)]] = True
-    found, at, out = many[inverse], 0, []
+    places = np.frombuffer(b"".join(table["places"].to_pylist()), np.uint16).astype(np.float64)
+    _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+    total = np.bincount(inverse, places)[inverse]
+    found, hot, at = [], [], 0
     for p in parts:
-        out.append(np.packbits(found[at : at + len(p)]).tobytes())
+        here = total[at : at + len(p)]
+        found.append(np.packbits(here > 1).tobytes())
+        hot.append(np.packbits(here > HOT_PLACES).tobytes())
         at += len(p)
-    return pa.table({"slice": table["slice"], "block": table["block"], "found": pa.array(out, pa.binary())})
+    return pa.table({"slice": table["slice"], "block": table["block"], "found": pa.array(found, pa.binary()), "hot": pa.array(hot, pa.binary())})
 
 
-def _found(keys: np.ndarray, slices: int, parts: list[dict] | None) -> np.ndarray:
-    """The answers for a block's anchors, in the order of its keys."""
-    answer = {p["slice"]: p["found"] for p in parts or []}
-    out = [np.unpackbits(np.frombuffer(answer[s], np.uint8), count=r.stop - r.start) for s, r in common.scattered(keys, slices)]
-    return np.concatenate(out).astype(bool) if out else np.empty(0, bool)
+def _answers(keys: np.ndarray, slices: int, parts: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a block's anchors recur, and whether they are hot, in the order of its keys."""
+    answer = {p["slice"]: p for p in parts or []}
+    out: tuple[list, list] = ([], [])
+    for s, r in common.scattered(keys, slices):
+        for bits, name in zip(out, ("found", "hot")):
+            bits.append(np.unpackbits(np.frombuffer(answer[s][name], np.uint8), count=r.stop - r.start))
+    found, hot = (np.concatenate(x).astype(bool) if x else np.empty(0, bool) for x in out)
+    return found, hot
 
 
 def _send_passages(slices: int, shards: int):
@@ -169,7 +180,7 @@ def _send_passages(slices: int, shards: int):
             a = _Anchored(block)
             if not a.n:
                 continue
-            first, n, key, _, heads = _distinct(block, a, _found(a.keys()[0], slices, row["parts"]))
+            first, n, key, _, heads = _distinct(a, _answers(a.keys()[0], slices, row["parts"]))
             if not len(heads):
                 continue
             t = a.tokens
@@ -266,7 +277,7 @@ def _removed(block: common.Block, a: _Anchored, row: dict, slices: int, shards:
     gone = np.zeros(len(a.tokens.ids), bool)
     if not a.n:
         return gone
-    first, n, key, number, heads = _distinct(block, a, _found(a.keys()[0], slices, row["parts"]))
+    first, n, key, number, heads = _distinct(a, _answers(a.keys()[0], slices, row["parts"]))
     if not len(heads):
         return gone
     answer = {p["shard"]: p["first"] for p in row["firsts"] or []}
@@ -319,7 +330,7 @@ def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     shards = common.slices_for(total / 28, SHARD_PASSAGES)
     keys = table.mapInArrow(_send_keys(slices), KEYS_SCHEMA)
     found = keys.groupBy("slice").applyInArrow(_recurring, FOUND_SCHEMA)
-    parts = common.written(found.groupBy("block").agg(F.collect_list(F.struct("slice", "found")).alias("parts")), "anchors")
+    parts = common.written(found.groupBy("block").agg(F.collect_list(F.struct("slice", "found", "hot")).alias("parts")), "anchors")
     passages = table.join(parts, "block", "left").mapInArrow(_send_passages(slices, shards), PASSAGES_SCHEMA)
     first = passages.groupBy("shard").applyInArrow(_automaton, FIRST_SCHEMA)
     firsts = common.written(first.groupBy("block").agg(F.collect_list(F.struct("shard", "first")).alias("firsts")), "passages")

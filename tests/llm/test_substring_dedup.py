@@ -37,6 +37,16 @@ def test_small_slices_and_shards_give_the_same(edge, monkeypatch):
     assert sorted(map(tuple, S.remove_repeats(edge).select("n_words", "n_removed", "kept_text").collect())) == before
 
 
+def test_hot_anchors_dealt_by_their_windows_give_the_same(spark):
+    """A common line among differing words, at more than HOT_PLACES places."""
+    rng = random.Random(3)
+    line = sentence(rng, 12)
+    rows = [(k, f"{sentence(rng, 15)} {line} {sentence(rng, 15)}") for k in range(2200)]
+    rows += [(5000 + k, rows[k][1] + " " + sentence(rng, 5)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(df) == sorted(S.reference_removed(rows))
+
+
 def test_without_repeats_keeps_columns(edge):
     out = S.without_repeats(edge)
     assert out.schema == edge.schema
