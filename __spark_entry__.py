@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from citylake.operators import quality as Q  # noqa: E402
 from citylake.operators.joins import lookup_join  # noqa: E402
 from citylake.plans import dims, reports  # noqa: E402
 from citylake.plans.warehouse import FIXTURE_RULES, Warehouse  # noqa: E402
-from citylake.sources import fixtures  # noqa: E402
+from citylake.sources import files, fixtures  # noqa: E402
 from citylake.sources.seeds import seed  # noqa: E402
 
 try:  # the training-data operators are optional: without them the other queries still work
@@ -84,17 +85,21 @@ def _k5_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- checks that find something
 
+def _copies(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The first and the re-sent copies of trips."""
+    key = C.trip_key("VENDORID", "TPEP_PICKUP_DATETIME", "PULOCATIONID").alias("trip_id")
+    rows = _wh(spark, sf_dir).raw_trips.select(
+        key, F.col("FARE_AMOUNT").alias("fare_amount"), F.col("SOURCE_FILE").alias("source_file"),
+        F.col("LOADED_AT").alias("loaded_at"), F.col("TPEP_PICKUP_DATETIME").alias("pickup"),
+    )
+    return [rows.where(F.col("source_file") == f) for f in fixtures.SOURCE_FILES]
+
+
 def _b5_upsert_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The re-sent copies merged by trip key into the first copies."""
     from citylake import sinks
 
-    trips = _wh(spark, sf_dir).raw_trips
-    key = C.trip_key("VENDORID", "TPEP_PICKUP_DATETIME", "PULOCATIONID").alias("trip_id")
-    rows = trips.select(
-        key, F.col("FARE_AMOUNT").alias("fare_amount"), F.col("SOURCE_FILE").alias("source_file"), F.col("LOADED_AT").alias("loaded_at")
-    )
-    first, again = (rows.where(F.col("source_file") == f) for f in fixtures.SOURCE_FILES)
-    return sinks.upsert(first, again, "trip_id")
+    return sinks.upsert(*_copies(spark, sf_dir), "trip_id")
 
 
 def _raw_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +126,67 @@ def _c4_repaired_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epochs.select("event_id", "epoch", repaired.alias("repaired_ts"))
 
 
+# ---------------------------------------------------------------- files and tables written on the way
+
+def _landing(spark: SparkSession, name: str) -> str:
+    _prep(spark)
+    return f"{_session.ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _a1_read_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips landed as two months with counts of different types, read back."""
+    folder = _landing(spark, "trip-files")
+    trips = _wh(spark, sf_dir).raw_trips
+    names = [c for c in trips.columns if c not in ("SOURCE_FILE", "LOADED_AT")]
+    for month, source, kind in (("01", fixtures.SOURCE_FILES[0], "double"), ("02", fixtures.SOURCE_FILES[1], "bigint")):
+        counts = {"PASSENGER_COUNT": kind, "RATECODEID": kind}
+        rows = trips.where(F.col("SOURCE_FILE") == source)
+        columns = [F.col(c).cast(counts[c]).alias(c.lower()) if c in counts else F.col(c).alias(c.lower()) for c in names]
+        rows.select(*columns).write.parquet(f"{folder}/yellow_tripdata_2024-{month}.parquet")
+    paths = files.monthly_trip_paths(folder, "2024-01", "2024-02")
+    return files.read_trips(spark, paths, fixtures.BASE_LOADED_AT).drop("SOURCE_FILE")
+
+
+def _a2_read_weather_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: hourly weather landed as one JSON document of parallel arrays, read back."""
+    folder = _landing(spark, "weather-files")
+    names = ["TIME", "TEMPERATURE_2M", "PRECIPITATION", "SNOWFALL", "WINDSPEED_10M", "WEATHERCODE"]
+    hours = _wh(spark, sf_dir).raw_weather.agg(F.array_sort(F.collect_list(F.struct(*names))).alias("h"))
+    arrays = F.struct(*(F.col("h")[c].alias(c.lower()) for c in names)).alias("hourly")
+    hours.select(F.to_json(F.struct(arrays)).alias("value")).write.text(folder)
+    return files.read_weather(spark, folder, fixtures.WEATHER_SOURCE_URL, fixtures.BASE_LOADED_AT)
+
+
+def _a3_read_zone_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: zones landed as CSV with a header and a missing-value token, read back."""
+    folder = _landing(spark, "zone-files")
+    zones = _wh(spark, sf_dir).raw_zones
+    text = [F.coalesce(c, F.lit("N/A")).alias(n) for c, n in (("BOROUGH", "Borough"), ("ZONE", "Zone"), ("SERVICE_ZONE", "service_zone"))]
+    zones.select(F.col("LOCATIONID").alias("LocationID"), *text).write.option("header", True).csv(folder)
+    return files.read_zones(spark, folder, fixtures.ZONE_SOURCE_URL, fixtures.BASE_LOADED_AT)
+
+
+def _b6_upserted_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first copies written as a version, the re-sent ones merged into the next, read back."""
+    from citylake import sinks
+
+    root = _landing(spark, "versions")
+    first, again = _copies(spark, sf_dir)
+    sinks.incremental_upsert(spark, root, first, "trip_id", full_refresh=True)
+    sinks.incremental_upsert(spark, root, again, "trip_id")
+    return sinks.read_current(spark, root)
+
+
+def _b5_upserted_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a table partitioned by pickup date, read back."""
+    from citylake import sinks
+
+    root = _landing(spark, "dated")
+    for run, rows in zip(("first", "again"), _copies(spark, sf_dir)):
+        sinks.partitioned_upsert(spark, root, rows.withColumn("pickup_date", F.to_date("pickup")), "trip_id", "pickup_date", run)
+    return spark.read.parquet(root).select("trip_id", "fare_amount", "source_file", "loaded_at", "pickup")
+
+
 # ---------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -205,7 +271,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda w: reports.short_trip_share(w.fact_sustainability, w.zones, R)
         )(_wh(s, d)),
         "k13_co2_correlation": lambda s, d: reports.co2_correlation(_wh(s, d).fact_trips, R),
+        "a1_read_trip_files": _a1_read_trip_files,
+        "a2_read_weather_json": _a2_read_weather_json,
+        "a3_read_zone_csv": _a3_read_zone_csv,
         "b5_upsert_resent": _b5_upsert_resent,
+        "b5_upserted_partitions": _b5_upserted_partitions,
+        "b6_upserted_versions": _b6_upserted_versions,
         "c4_repaired_epochs": _c4_repaired_epochs,
         "i4_calendar_demand": _i4_calendar_demand,
         "d3_zone_null_rows": lambda s, d: P.rows_with_nulls(_wh(s, d).raw_zones, ["BOROUGH", "SERVICE_ZONE"]),

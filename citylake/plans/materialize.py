@@ -77,12 +77,9 @@ def gold_checks(trips: DataFrame, fact: DataFrame, agg: DataFrame, calendar: Dat
     }
 
 
-GOLD_RELEASES = "_releases"
-
-
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the current gold release."""
-    cur = sinks.current_version(spark, _p(root, "gold", GOLD_RELEASES))
+    cur = sinks.current_version(spark, _p(root, "gold", sinks.GOLD_RELEASES))
     if cur is None:
         raise FileNotFoundError(f"no gold release under {root}")
     return spark.read.parquet(f"{cur[1]}/{name}")
@@ -169,7 +166,7 @@ def build_warehouse(
     zones = spark.read.parquet(out["stg_zone_lookup"])
 
     # ---- gold
-    releases = _p(root, "gold", GOLD_RELEASES)
+    releases = _p(root, "gold", sinks.GOLD_RELEASES)
     cur = sinks.current_version(spark, releases)
     number = 1 if cur is None else cur[0] + 1
     release = f"{releases}/v={number:010d}"

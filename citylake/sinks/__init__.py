@@ -93,6 +93,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> D
 
 
 _COMMITS = "_commits"
+#: Sub-folder of the gold layer whose versions hold all gold tables of a run.
+GOLD_RELEASES = "_releases"
 
 
 def _version_path(root: str, version: int) -> str:

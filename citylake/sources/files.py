@@ -132,12 +132,18 @@ SOURCES = {
 
 
 def table(spark: SparkSession, layer: str, name: str, root: str | None = None) -> DataFrame:
-    """Resolve a logical (layer, name): a catalog table ``layer.name``, or the parquet
-    folder ``root/layer/name`` when a storage root is given (A6)."""
+    """Resolve a logical (layer, name): a catalog table ``layer.name``, or below a storage
+    root the current gold release's folder, the newest committed version, or the plain
+    folder ``root/layer/name`` (A6)."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     if root is None:
         return spark.table(f"{layer}.{name}")
-    from citylake.sinks import read_current
-
-    return read_current(spark, f"{root.rstrip('/')}/{layer}/{name}")
+    from citylake.sinks import GOLD_RELEASES, current_version
+
+    base = f"{root.rstrip('/')}/{layer}"
+    release = current_version(spark, f"{base}/{GOLD_RELEASES}") if layer == "gold" else None
+    if release is not None:
+        return spark.read.parquet(f"{release[1]}/{name}")
+    version = current_version(spark, f"{base}/{name}")
+    return spark.read.parquet(version[1] if version is not None else f"{base}/{name}")

@@ -349,8 +349,11 @@ SELECT unnest(CASE WHEN any_sent THEN list_filter(rows_, lambda r: r.source_file
 FROM (
   SELECT bool_or(SOURCE_FILE = 'events_resend.parquet') AS any_sent,
       list({{'trip_id': md5(concat(VENDORID, '-', {_ms('TPEP_PICKUP_DATETIME')}, '-', PULOCATIONID)), 'fare_amount': FARE_AMOUNT,
-            'source_file': SOURCE_FILE, 'loaded_at': LOADED_AT}}) AS rows_
+            'source_file': SOURCE_FILE, 'loaded_at': LOADED_AT, 'pickup': TPEP_PICKUP_DATETIME}}) AS rows_
   FROM raw_trips GROUP BY VENDORID, TPEP_PICKUP_DATETIME, PULOCATIONID)""",
+    "a1_read_trip_files": "SELECT * EXCLUDE (SOURCE_FILE) REPLACE (TIMESTAMP '2024-02-01' AS LOADED_AT) FROM raw_trips",
+    "a2_read_weather_json": "SELECT * FROM raw_weather",
+    "a3_read_zone_csv": "SELECT * FROM raw_zones",
     "c4_repaired_epochs": """
 SELECT event_id, (1700000000 + event_id) * [1, 1000, 1000000][event_id % 3 + 1] AS epoch,
     make_timestamp((1700000000 + event_id) * 1000000) AS repaired_ts
@@ -506,4 +509,6 @@ FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _with(v) for k, v in _Q.items()}
+    # The same merge, whichever table it goes to.
+    merged = {k: _Q["b5_upsert_resent"] for k in ("b5_upserted_partitions", "b6_upserted_versions")}
+    return {k: _with(v) for k, v in (_Q | merged).items()}
