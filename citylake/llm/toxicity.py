@@ -41,7 +41,7 @@ from citylake.llm import common
 
 THRESHOLD = 0.3
 SAMPLE_DOCS = 10_000
-CRF_DOCS = 1_500
+CRF_DOCS = 800
 FEATURES = 20_000
 ROUNDS = 25
 #: Longer texts are scored in the same way; this is only how many bytes are scored at once.
