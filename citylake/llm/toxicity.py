@@ -45,7 +45,7 @@ CRF_DOCS = 800
 FEATURES = 20_000
 ROUNDS = 25
 #: Longer texts are scored in the same way; this is only how many bytes are scored at once.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else 32 if c < 48 or 57 < c < 65 or 90 < c < 97 or 122 < c < 128 else c for c in range(256)
@@ -145,7 +145,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), common.text_bytes(batch.column(1))):
             seen[toxic].update({f for w in set(text.translate(_FOLD).split()) for f in features(w)})
-            if len(seen[0]) + len(seen[1]) > 400_000:
+            if len(seen[0]) + len(seen[1]) > 150_000:
                 yield flush()
     if seen[0] or seen[1]:
         yield flush()
