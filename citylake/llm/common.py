@@ -85,13 +85,14 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def chunked(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """(first column, texts of the second) in pieces of about ``limit`` bytes; a longer text is a piece of its own."""
     for batch in batches:
-        texts = text_bytes(batch.column(1))
-        at = size = 0
-        for k, x in enumerate(texts):
-            size += len(x) + 64
-            if size >= limit or k + 1 == len(texts):
-                yield batch.column(0).slice(at, k + 1 - at), texts[at : k + 1]
-                at, size = k + 1, 0
+        first, texts, size = 0, [], 0
+        for at in range(0, batch.num_rows, 256):  # only a piece's texts are Python objects at a time
+            for k, x in enumerate(text_bytes(batch.column(1).slice(at, 256)), at):
+                texts.append(x)
+                size += len(x) + 64
+                if size >= limit or k + 1 == batch.num_rows:
+                    yield batch.column(0).slice(first, len(texts)), texts
+                    first, texts, size = k + 1, [], 0
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -150,6 +151,28 @@ class Recent:
         return out
 
 
+class Lookup(dict):
+    """A bounded cache that fills itself: ``lookup[word]`` is ``compute(word)``, kept while the word is
+    among the last ``size`` to twice ``size`` different ones (counted at each ``turn``)."""
+
+    def __init__(self, size: int, compute: Callable[[str], bytes]):
+        super().__init__()
+        self.size, self.compute, self.old = size, compute, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.compute(word)
+        self[word] = found
+        return found
+
+    def turn(self) -> None:
+        """Between batches: words not asked for since the last but one turn of the cache are dropped."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -175,13 +198,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], list(row))
 
     for batch in batches:
-        for doc, text, rest in zip(batch.column(0).to_pylist(), *map(text_bytes, batch.columns[1:])):
-            kept.append((doc if doc is not None else -(1 << 63), doc is not None, text, rest))
-            size += len(text) + 64
-            if size >= BLOCK_BYTES:
-                yield pack()
-                kept.clear()
-                size = 0
+        for at in range(0, batch.num_rows, 256):
+            rows = batch.slice(at, 256)
+            for doc, text, rest in zip(rows.column(0).to_pylist(), *map(text_bytes, rows.columns[1:])):
+                kept.append((doc if doc is not None else -(1 << 63), doc is not None, text, rest))
+                size += len(text) + 64
+                if size >= BLOCK_BYTES:
+                    yield pack()
+                    kept.clear()
+                    size = 0
     if kept:
         yield pack()
 

@@ -29,8 +29,8 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ from citylake.llm.bpe import byte_alphabet
 END_ID = 2
 #: A data frame ends with the document that brings it to this many ids.
 FRAME_IDS = 1 << 17
-CACHE = 200_000
+CACHE = 150_000
 LEVEL = 1
 NULL_ID = -(1 << 63)
 _INDEX_MAGIC, _SEEK_MAGIC, _SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -82,37 +82,38 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([_ODD_SPACE.pattern, *map(re.escape, special)]))
-        self.recent = common.Recent(CACHE)
-        self.parts: dict[str, bytes] = {}
+        self.words = common.Lookup(CACHE, self._word)
+        self.parts = common.Lookup(CACHE, self._part)
         self.letters = {b: c for c, b in byte_alphabet().items()}
 
     def _part(self, part: str) -> bytes:
         """The ids of one pre-token."""
-        found = self.parts.get(part)
-        if found is None:
-            raw = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
-            ids = [t.id for t in self.tokenizer.model.tokenize(raw)]
-            found = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
-
-    def _words(self, new: list[str]) -> Iterator[bytes]:
-        if len(self.parts) > 2 * CACHE:
-            self.parts.clear()
-        for w in new:
-            if w.isascii() or not _BEYOND.search(w):
-                low = w.lower()
-                yield self._part(low) if low.isalpha() else b"".join(map(self._part, _PARTS.findall(low)))
-            else:
-                ids = self.tokenizer.encode(w, add_special_tokens=False).ids
-                yield struct.pack(f"<{len(ids)}I", *ids)
+        raw = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(raw)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of one word."""
+        if word.isascii() or not _BEYOND.search(word):
+            low = word.lower()
+            if low.isalpha():
+                return self.parts[low]
+            core = low.rstrip(".,;:!?")
+            if core.isalpha():  # letters and closing marks: two pre-tokens
+                return self.parts[core] + self.parts[low[len(core) :]]
+            return b"".join(map(self.parts.__getitem__, _PARTS.findall(low)))
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [None if self.whole.search(x) else x.split() for x in texts]
-        get = self.recent.results(set(chain.from_iterable(x for x in split if x)), self._words).__getitem__
+        self.words.turn()
+        self.parts.turn()
+        get = self.words.__getitem__
         return [
-            np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if ws is None else b"".join(map(get, ws))
-            for x, ws in zip(texts, split)
+            np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+            if self.whole.search(x)
+            else b"".join(map(get, x.split()))
+            for x in texts
         ]
 
 
@@ -229,7 +230,7 @@ def _write_part(folder: str, path: str):
         encoder, fs, root = _encoder(path), *open_folder(folder)
         end = np.array([END_ID], "<u4").tobytes()
         writer = temporary = stream = None
-        for names, texts in common.chunked(batches, 4 << 20):
+        for names, texts in common.chunked(batches, 2 << 20):
             if writer is None:
                 fs.create_dir(root, recursive=True)
                 temporary = f"{root}/.part-{part:06d}-{uuid.uuid4().hex}"
