@@ -13,9 +13,8 @@ re-encodes a window around the cut and doubles it on both sides until both sides
   equal those of the halves: BPE tokens are the encoding of a run if every neighbouring pair is the
   encoding of its own characters, and then all pairs are pairs of one of the three encodings.
 
-Leaves and short texts are encoded word by word with a bounded cache of the library's own results
-for each word with its leading white space; a text with other white space than ASCII goes to the
-library whole. Special tokens (here ``<|endoftext|>``) are cut out first, as the library does.
+Leaves and short texts are encoded word by word, with its leading white space, with a bounded cache of
+the library's own results; a text with other white space than ASCII goes to the library whole. Special tokens (here ``<|endoftext|>``) are cut out first, as the library does.
 
 Decoding joins the byte strings of the ids and replaces invalid UTF-8, as the library's decoder does.
 
@@ -28,9 +27,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import struct
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +43,13 @@ LEAF = 8192
 LONG = 4 * LEAF
 #: Characters on either side of a join's first window.
 REACH = 64
-CACHE = 250_000
+CACHE = 150_000
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _WORD = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _BOUNDARY = re.compile(r"(?<=[^ \t-\r])(?=[ \t-\r])")
+#: Beyond the Latin letters, whose classes no version of Unicode changes.
+_BEYOND = re.compile("[^\\x00-\u024f]")
 _LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -83,7 +83,8 @@ class Codec:
         for token, k in self.tokenizer.get_vocab().items():
             self.bytes[k] = token.encode() if any(c not in alphabet for c in token) else bytes(alphabet[c] for c in token)
         self.decimal = [str(k) for k in range(size)]
-        self.recent = common.Recent(CACHE)
+        self.letters = {b: c for c, b in alphabet.items()}
+        self.words = common.Lookup(CACHE, self._word)
 
     def plain(self, text: str) -> np.ndarray:
         """The library's own encoding of a text."""
@@ -91,18 +92,31 @@ class Codec:
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Encodings of texts, word by word through the cache."""
-        split: list[list[str] | None] = []
+        self.words.turn()
+        get, out = self.words.__getitem__, []
         for x in texts:
             ok = x.isascii() and not any(c in x for c in "\x1c\x1d\x1e\x1f") or not _ODD_SPACE.search(x)
-            split.append(_WORD.findall(x) if ok else None)
-        used = set(chain.from_iterable(x for x in split if x))
-        get = self.recent.results(used, self._encode_words).__getitem__
-        return [self.plain(x) if ws is None else np.frombuffer(b"".join(map(get, ws)), np.uint32) for x, ws in zip(texts, split)]
+            out.append(np.frombuffer(b"".join(map(get, _WORD.findall(x))), np.uint32) if ok else self.plain(x))
+        return out
 
-    def _encode_words(self, new: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch(new, add_special_tokens=False):
-            ids = e.ids
-            yield struct.pack(f"<{len(ids)}I", *ids)
+    def _run(self, part: str) -> bytes:
+        """The ids of one pre-token, from the library's BPE model."""
+        mapped = "".join(map(self.letters.__getitem__, part.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word with its leading white space.
+
+        A space, or a line end as a pre-token of its own, before Latin letters and closing marks is cut here; all
+        other words go through the library's whole pipeline.
+        """
+        first = word[0]
+        rest = word[1:] if first in " \n" else word
+        core = rest if rest.isalpha() else rest.rstrip(".,;:!?")
+        if core.isalpha() and (core.isascii() or not _BEYOND.search(core)):
+            head = self._run("\n") + self._run(core) if first == "\n" else self._run(" " + core if first == " " else core)
+            return head + self._run(rest[len(core) :]) if len(core) < len(rest) else head
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
@@ -167,9 +181,8 @@ class Codec:
             tail += 1
         if not head or tail == len(right[1]):
             return None
-        alphabet = _letters_of_bytes()
         raw = self.decode_bytes(left[1][head:]) + self.decode_bytes(right[1][:tail])
-        middle = np.array([t.id for t in self.tokenizer.model.tokenize("".join(map(alphabet.__getitem__, raw)))], np.uint32)
+        middle = np.array([t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, raw)))], np.uint32)
         if len(middle) < 3 or middle[0] != left[1][head] or middle[-1] != right[1][tail - 1]:
             return None
         return np.concatenate([left[1][:head], middle, right[1][tail:]])
@@ -224,7 +237,6 @@ class Codec:
 
 
 _codecs: dict[str, Codec] = {}
-_letters: dict[int, str] = {}
 
 
 def codec(path: str) -> Codec:
@@ -234,14 +246,8 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def _letters_of_bytes() -> dict[int, str]:
-    if not _letters:
-        _letters.update({b: c for c, b in byte_alphabet().items()})
-    return _letters
-
-
 def _text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    for ids, texts in common.chunked(batches, 4 << 20):
+    for ids, texts in common.chunked(batches, 2 << 20):
         yield ids, [x.decode("utf-8", "replace") for x in texts]
 
 
