@@ -252,9 +252,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     verdict: they stay if any of them is the first of its class.)
     """
     found = common.written(join(docs), "classes-by-document")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    stay = docs.join(first, docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
-    return stay.dropDuplicates([c for c in docs.columns if c.lower() in ("doc_id", "text")])
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("__doc_key")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key)
+    # One shuffle of the texts serves the semi-join and the repeated rows; the join is planned alike at every size.
+    stay = docs.select("*", key).join(first.hint("merge"), "__doc_key", "left_semi")
+    text = [c for c in docs.columns if c.lower() == "text"]
+    return stay.dropDuplicates(["__doc_key", *text]).drop("__doc_key")
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
