@@ -46,7 +46,7 @@ GRAM = 8
 #: Longest run of windows in one passage; longer runs are cut, which changes no answer.
 RUN = 32
 #: Places from which on an anchor's windows are dealt one by one; either way gives the same answers.
-HOT_PLACES = 2_000
+HOT_PLACES = 20_000
 #: Anchor hashes in a slice and passages in a shard, about.
 SLICE_KEYS = 400_000
 SHARD_PASSAGES = 4_000
@@ -146,19 +146,23 @@ def _send_keys(slices: int):
     return run
 
 
-def _recurring(table: pa.Table) -> pa.Table:
-    """Which anchors of a slice occur at several, and which at very many places of the corpus."""
-    parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-    places = np.frombuffer(b"".join(table["places"].to_pylist()), np.uint16).astype(np.float64)
-    _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(inverse, places)[inverse]
-    found, hot, at = [], [], 0
-    for p in parts:
-        here = total[at : at + len(p)]
-        found.append(np.packbits(here > 1).tobytes())
-        hot.append(np.packbits(here > HOT_PLACES).tobytes())
-        at += len(p)
-    return pa.table({"slice": table["slice"], "block": table["block"], "found": pa.array(found, pa.binary()), "hot": pa.array(hot, pa.binary())})
+def _recurring(hot_places: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Which anchors of a slice occur at several, and which at very many places of the corpus."""
+        parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
+        places = np.frombuffer(b"".join(table["places"].to_pylist()), np.uint16).astype(np.float64)
+        _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+        total = np.bincount(inverse, places)[inverse]
+        found, hot, at = [], [], 0
+        for p in parts:
+            here = total[at : at + len(p)]
+            found.append(np.packbits(here > 1).tobytes())
+            hot.append(np.packbits(here > hot_places).tobytes())
+            at += len(p)
+        answers = [pa.array(x, pa.binary()) for x in (found, hot)]
+        return pa.table({"slice": table["slice"], "block": table["block"], "found": answers[0], "hot": answers[1]})
+
+    return run
 
 
 def _answers(keys: np.ndarray, slices: int, parts: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
@@ -319,7 +323,7 @@ def _remove(slices: int, shards: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, rest: Column | None = None, hot_places: int = HOT_PLACES) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_text (kept words joined by a space) and rest.
 
     ``rest`` is a string that stays with its document (empty by default).
@@ -329,12 +333,13 @@ def remove_repeats(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     slices = common.slices_for(total / 7, SLICE_KEYS)
     shards = common.slices_for(total / 28, SHARD_PASSAGES)
     keys = table.mapInArrow(_send_keys(slices), KEYS_SCHEMA)
-    found = keys.groupBy("slice").applyInArrow(_recurring, FOUND_SCHEMA)
+    found = keys.groupBy("slice").applyInArrow(_recurring(hot_places), FOUND_SCHEMA)
     parts = common.written(found.groupBy("block").agg(F.collect_list(F.struct("slice", "found", "hot")).alias("parts")), "anchors")
-    passages = table.join(parts, "block", "left").mapInArrow(_send_passages(slices, shards), PASSAGES_SCHEMA)
+    # Planned alike at every size: blocks meet their answers in a sorted join.
+    passages = table.join(parts.hint("merge"), "block", "left").mapInArrow(_send_passages(slices, shards), PASSAGES_SCHEMA)
     first = passages.groupBy("shard").applyInArrow(_automaton, FIRST_SCHEMA)
     firsts = common.written(first.groupBy("block").agg(F.collect_list(F.struct("shard", "first")).alias("firsts")), "passages")
-    joined = table.join(parts, "block", "left").join(firsts, "block", "left")
+    joined = table.join(parts.hint("merge"), "block", "left").join(firsts.hint("merge"), "block", "left")
     return joined.mapInArrow(_remove(slices, shards), RESULT_SCHEMA)
 
 
