@@ -155,17 +155,28 @@ class Lookup(dict):
             self.clear()
 
 
+def _ipc(array: pa.Array) -> pa.Buffer:
+    """An array of any type as an Arrow stream."""
+    sink = pa.BufferOutputStream()
+    batch = pa.record_batch([array], ["rest"])
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     packer = zstandard.ZstdCompressor(level=1)
     part, number = TaskContext.get().partitionId(), count()
-    kept: list[tuple[int, bool, bytes, bytes]] = []
+    kept: list[tuple[int, bool, bytes, int]] = []
+    rests: list[pa.Array] = []
     size = 0
 
     def pack() -> pa.RecordBatch:
         kept.sort(key=lambda x: x[:2])
         texts = [x[2] for x in kept]
+        rest = _ipc(pa.concat_arrays(rests).take(pa.array([x[3] for x in kept], pa.int64()))) if rests else b""
         row = {
             "block": [(part << 32) | next(number)],
             "n_docs": [len(kept)],
@@ -174,7 +185,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "known": [np.array([x[1] for x in kept], np.bool_).tobytes()],
             "lengths": [np.array([len(x) for x in texts], np.int64).tobytes()],
             "texts": [packer.compress(b"".join(texts))],
-            "rests": [packer.compress(b"\0".join(x[3] for x in kept))],
+            "rests": [packer.compress(rest)],
         }
         kinds = [pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * 5
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], list(row))
@@ -182,12 +193,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             rows = batch.slice(at, 256)
-            for doc, text, rest in zip(rows.column(0).to_pylist(), *map(text_bytes, rows.columns[1:])):
-                kept.append((doc if doc is not None else -(1 << 63), doc is not None, text, rest))
+            for k, (doc, text) in enumerate(zip(rows.column(0).to_pylist(), text_bytes(rows.column(1)))):
+                kept.append((doc if doc is not None else -(1 << 63), doc is not None, text, len(kept)))
                 size += len(text) + 64
+                if rows.num_columns > 2:
+                    rests.append(rows.column(2).slice(k, 1))
+                    size += rests[-1].nbytes
                 if size >= BLOCK_BYTES:
                     yield pack()
                     kept.clear()
+                    rests.clear()
                     size = 0
     if kept:
         yield pack()
@@ -196,13 +211,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def blocks(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     """Documents packed into a written table of blocks, sorted by doc_id (null first) inside each.
 
-    A null text is an empty text; a null doc_id stays null in results. ``rest`` is a string (without
-    NUL, such as JSON of the other columns) that stays with its document.
+    A null text is an empty text; a null doc_id stays null in results. ``rest`` is a column of any type
+    that Arrow has (such as a struct of the other columns) that stays with its document, as it is.
     """
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        (F.lit("") if rest is None else rest).alias("rest"),
+        *([] if rest is None else [rest.alias("rest")]),
     )
     return written(source.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks")
 
@@ -220,8 +235,8 @@ class Block:
         ends = np.cumsum(lengths).tolist()
         self.texts = [joined[a:b] for a, b in zip([0, *ends], ends)]
 
-    def rests(self) -> list[bytes]:
-        return zstandard.ZstdDecompressor().decompress(self._rests, max_output_size=1 << 30).split(b"\0")
+    def rests(self) -> pa.Array:
+        return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(self._rests)).read_next_batch().column(0)
 
     def ids(self) -> pa.Array:
         """The doc_id column, nulls restored."""

@@ -273,7 +273,7 @@ def _automaton(table: pa.Table) -> pa.Table:
     return pa.table({"shard": table["shard"], "block": table["block"], "first": pa.array(out, pa.binary())})
 
 
-RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string, rest string"
+RESULT = [("doc_id", T.LongType()), ("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_text", T.StringType())]
 
 
 def _removed(block: common.Block, a: _Anchored, row: dict, slices: int, shards: int) -> np.ndarray:
@@ -300,7 +300,7 @@ def _removed(block: common.Block, a: _Anchored, row: dict, slices: int, shards:
     return np.cumsum(change)[:-1] > 0
 
 
-def _remove(slices: int, shards: int):
+def _remove(slices: int, shards: int, carried: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in common.block_rows(batches):
             block = common.Block(row)
@@ -313,20 +313,24 @@ def _remove(slices: int, shards: int):
             for k, ws in enumerate(t.lists):
                 if removed[k]:
                     ws = [w for w, x in zip(ws, gone[t.starts[k] : t.ends[k]].tolist()) if not x]
-                texts.append(b" ".join(ws).decode("utf-8", "replace"))
+                elif carried:
+                    texts.append(block.texts[k])
+                    continue
+                texts.append(b" ".join(ws).decode("utf-8", "replace").encode())
             yield pa.RecordBatch.from_arrays(
-                [block.ids(), pa.array(t.lengths), pa.array(removed, pa.int64()), pa.array(texts, pa.string()),
-                 pa.array([x.decode() for x in block.rests()], pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_text", "rest"],
-            )
+                [block.ids(), pa.array(t.lengths), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).view(pa.string()),
+                 *([block.rests()] if carried else [])],
+                [name for name, _ in RESULT] + ["rest"] * carried,
+            )
 
     return run
 
 
 def remove_repeats(docs: DataFrame, rest: Column | None = None, hot_places: int = HOT_PLACES) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_text (kept words joined by a space) and rest.
+    """One row per document: doc_id, n_words, n_removed and kept_text (kept words joined by a space).
 
-    ``rest`` is a string that stays with its document (empty by default).
+    ``rest`` is a column of any type that stays with its document; with it, there is a column ``rest``, and
+    the kept_text of a document that nothing is removed from is its text as it is (empty for a null text).
     """
     table = common.blocks(docs, rest)
     total = table.agg(F.sum("n_words")).first()[0] or 0
@@ -340,7 +344,9 @@ def remove_repeats(docs: DataFrame, rest: Column | None = None, hot_places: int
     first = passages.groupBy("shard").applyInArrow(_automaton, FIRST_SCHEMA)
     firsts = common.written(first.groupBy("block").agg(F.collect_list(F.struct("shard", "first")).alias("firsts")), "passages")
     joined = table.join(parts.hint("merge"), "block", "left").join(firsts.hint("merge"), "block", "left")
-    return joined.mapInArrow(_remove(slices, shards), RESULT_SCHEMA)
+    carried = [] if rest is None else [("rest", docs.select(rest.alias("rest")).schema["rest"].dataType)]
+    schema = T.StructType([T.StructField(*field) for field in RESULT + carried])
+    return joined.mapInArrow(_remove(slices, shards, bool(carried)), schema)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -349,14 +355,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A text that nothing is removed from stays as it is; a document of which no word is left goes; a column
     ``n_chars`` becomes the length of the new text.
     """
-    other = [c for c in docs.columns if c.lower() not in ("text",)]
-    packed = F.to_json(F.struct(F.struct(*(F.col(c) for c in other)).alias("row"), F.col("text").alias("old")))
-    found = remove_repeats(docs, packed)
-    schema = T.StructType([T.StructField("row", T.StructType([docs.schema[c] for c in other])), T.StructField("old", T.StringType())])
-    rows = found.where("n_removed < n_words or n_words = 0").select(
-        "n_removed", "kept_text", F.from_json("rest", schema).alias("x")
-    )
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("x.old"))
+    # The text is in the blocks already; the other columns go with it as typed Arrow values.
+    other = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != "text")).alias("row")
+    found = remove_repeats(docs, F.struct(other, F.col("text").isNull().alias("no_text")))
+    rows = found.where("n_removed < n_words or n_words = 0").select("n_removed", "kept_text", F.col("rest").alias("x"))
+    text = F.when(~F.col("x.no_text"), F.col("kept_text")).cast(docs.select("text").schema[0].dataType)
     columns = []
     for c in docs.columns:
         value = text if c.lower() == "text" else F.col(f"x.row.`{c}`")

@@ -1,3 +1,5 @@
+import datetime
+import decimal
 import hashlib
 import random
 
@@ -59,3 +61,23 @@ def test_without_repeats_keeps_columns(edge):
 def test_empty_table(empty):
     assert S.remove_repeats(empty).collect() == []
     assert S.without_repeats(empty).collect() == []
+
+
+def test_without_repeats_keeps_long_texts_and_typed_columns(spark):
+    """A text over 20,000,000 characters (more than a JSON string may have in Spark), microseconds and nested values."""
+    rng = random.Random(8)
+    at = datetime.datetime(2024, 5, 6, 7, 8, 9, 123456)
+    extra = (at, at, decimal.Decimal("12.345678"), b"\x00\xff", float("nan"), {2: ["a", None]}, at.date())
+    passage = sentence(rng, 40)
+    rows = [
+        (1, "y" * 21_000_000, *extra), (None, "  two \u0000 spaces\tstay ", *extra), (3, passage, *extra), (4, "own words " + passage, *extra),
+        (5, None, *[None] * 7), (6, "", *extra), (7, passage + " " + "z" * 21_000_000, *extra),
+    ]
+    kinds = "ts timestamp, ntz timestamp_ntz, d decimal(10,6), b binary, f double, m map<int,array<string>>, day date"
+    df = spark.createDataFrame(rows, f"doc_id long, text string, {kinds}").repartition(2)
+    out = S.without_repeats(df)
+    assert out.schema == df.schema
+    want = {r[0]: r for r in rows} | {4: (4, "own words", *extra), 7: (7, "z" * 21_000_000, *extra)}
+    have = {r["doc_id"]: tuple(r) for r in out.collect()}
+    assert have.keys() == want.keys()
+    assert all(repr(have[k]) == repr(want[k]) if k not in (1, 7) else have[k][1] == want[k][1] and repr(have[k][2:]) == repr(want[k][2:]) for k in want)
