@@ -7,7 +7,10 @@ words of a shorter item) agree in at least ``AGREE`` of the places: substitution
 1. *Seeds.* Two fixed masks, ``11011`` and ``110011``, name each position by the hash of the
    words under their ones; words under zeros are ignored. Every window of 15 words with up to 3
    substitutions keeps at least one seed of one mask (checked over all placements in the
-   tests), so for items of 15 words or more the search is exact.
+   tests), so for items of 15 words or more the search is exact. Shorter items of which some
+   placement keeps none (5, 6, 10 and 11 words) have the masks in ``SHORT`` besides, and items up
+   to ``WHOLE`` words, which allow no substitution, are named by all their words. Documents are
+   searched for such seeds only if the benchmark has items of these lengths.
 2. *Filter.* Items' seeds set bits in an array of fixed size (128 KB whatever the number of
    items; more items only let more positions pass). Documents keep the positions whose two
    bits are set, and documents without any leave before a shuffle.
@@ -15,8 +18,9 @@ words of a shorter item) agree in at least ``AGREE`` of the places: substitution
    is kept once however many seeds it shares.
 4. *Verification.* The aligned words are compared around each hit.
 
-Defined results: null and empty texts, and items with fewer than ``5`` words, never overlap;
-repeated rows are judged alike; a null doc_id is reported as null; extra columns are ignored by
+Defined results: null texts and texts without words never overlap; items of any length are searched
+for, those with a null item_id too (reported as null, one key); a text without spaces, such as a CJK
+sentence, is one word; repeated rows are judged alike; a null doc_id is reported as null; extra columns are ignored by
 ``overlaps`` and kept by ``decontaminated``; an empty table on either side gives no overlap.
 """
 
@@ -30,6 +34,10 @@ from citylake.llm import common
 WINDOW = 15
 AGREE = 0.8
 MASKS = ("11011", "110011")
+#: More masks for items of so many words; with them every allowed placement of substitutions keeps a seed.
+SHORT = {5: ("1111", "11101", "10111"), 6: ("1111",), 10: ("1111",), 11: ("1111",)}
+#: Items up to so many words allow no substitution.
+WHOLE = 4
 #: 64-bit words of the seed filter; a power of two.
 FILTER_WORDS = 1 << 14
 
@@ -42,14 +50,30 @@ def _hashes(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, F.expr(f"transform({words}, w -> xxhash64(w))").alias("h"))
 
 
-def _seeded(df: DataFrame) -> DataFrame:
-    """Adds a and b: the seeds of the two masks at each position (pairs of words, then pairs of pairs)."""
+def _short_seeds(lengths: set[int]) -> dict[str, tuple[str, list[int]]]:
+    """Column, mask and lengths of items of the seeds that items of these lengths need besides a and b."""
+    of: dict[str, list[int]] = {}
+    for n in sorted(lengths & SHORT.keys()):
+        for m in SHORT[n]:
+            of.setdefault(m, []).append(n)
+    whole = {f"w{n}": ("1" * n, [n]) for n in range(1, WHOLE + 1) if n in lengths}
+    return {f"m{m}": (m, ns) for m, ns in of.items()} | whole
+
+
+def _seeded(df: DataFrame, short: dict[str, tuple[str, list[int]]]) -> DataFrame:
+    """Adds a and b: the seeds of the two masks at each position (pairs of words, then pairs of pairs); and those of short items."""
     cols = df.columns
+
+    def named(column: str, mask: str) -> str:
+        under = ", ".join(f"get(h, i + {k})" for k, c in enumerate(mask) if c == "1")
+        return f"slice(transform(h, (x, i) -> xxhash64({under}, '{column}')), 1, greatest(size(h) - {len(mask) - 1}, 0))"
+
     pairs = df.select(*cols, F.expr("zip_with(h, slice(h, 2, size(h)), (x, y) -> xxhash64(x, y))").alias("s"))
     return pairs.select(
         *cols,
         F.expr("slice(zip_with(s, slice(s, 4, size(s)), (x, y) -> xxhash64(x, y, 1)), 1, greatest(size(h) - 4, 0))").alias("a"),
         F.expr("slice(zip_with(s, slice(s, 5, size(s)), (x, y) -> xxhash64(x, y, 2)), 1, greatest(size(h) - 5, 0))").alias("b"),
+        *(F.expr(named(column, mask)).alias(column) for column, (mask, _) in short.items()),
     )
 
 
@@ -70,19 +94,28 @@ def _passing(seeds: str) -> str:
     return f"array_compact(transform({seeds}, (v, i) -> CASE WHEN {bit(low)} AND {bit(high)} THEN struct(i as pos, v as seed) END))"
 
 
+def _passing_once(seeds: str) -> str:
+    """Like ``_passing``, but with the first place of each seed only: one place of a whole item is as good as any."""
+    once = _passing(f"array_distinct({seeds})")
+    return f"transform({once}, p -> struct(cast(array_position({seeds}, p.seed) - 1 as int) as pos, p.seed as seed))"
+
+
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, matched (equal words in the best window) and window, per overlapping document and item."""
-    bench = _hashes(items.where("item_id is not null and text is not null"), "item_id").where("size(h) >= 5").distinct()
+    bench = _hashes(items.where("text is not null"), "item_id").where("size(h) > 0").distinct()
     bench = common.written(bench.withColumn("item", F.monotonically_increasing_id()), "items")
-    seeded = _seeded(bench)
-    seeds = common.written(
-        seeded.select("item", F.posexplode("a").alias("at", "seed")).union(seeded.select("item", F.posexplode("b").alias("at", "seed"))),
-        "item-seeds",
-    )
+    short = _short_seeds({r["n"] for r in bench.select(F.expr(f"least(size(h), {WINDOW})").alias("n")).distinct().collect()})
+    seeded = _seeded(bench, short)
+    every = seeded.select("item", F.posexplode("a").alias("at", "seed")).union(seeded.select("item", F.posexplode("b").alias("at", "seed")))
+    for column, (_, lengths) in short.items():
+        every = every.union(seeded.where(F.size("h").isin(lengths)).select("item", F.posexplode(column).alias("at", "seed")))
+    seeds = common.written(every, "item-seeds")
     filter_bits = common.written(_filter_row(seeds), "seed-filter")
-    tested = _seeded(_hashes(docs, "doc_id")).withColumn("bits", filter_bits.scalar())
-    tested = tested.select("doc_id", "h", F.expr(_passing("a")).alias("pa"), F.expr(_passing("b")).alias("pb"))
-    left = tested.select("doc_id", "h", F.concat("pa", "pb").alias("passing"))
+    tested = _seeded(_hashes(docs, "doc_id"), short).withColumn("bits", filter_bits.scalar())
+    found = {"pa": _passing("a"), "pb": _passing("b")}
+    found |= {f"p{c}": _passing_once(c) if c.startswith("w") else _passing(c) for c in short}
+    tested = tested.select("doc_id", "h", *(F.expr(e).alias(c) for c, e in found.items()))
+    left = tested.select("doc_id", "h", F.concat(*found).alias("passing"))
     # A filter here would be pushed below the projections, and every hash computed again for it: words of
     # documents without hits are set to null instead, and their rows are left out when read back.
     left = left.select("doc_id", F.expr("CASE WHEN size(passing) > 0 THEN h END").alias("h"), "passing")

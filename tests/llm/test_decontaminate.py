@@ -86,3 +86,37 @@ def test_decontaminated_keeps_columns_and_clean_rows(spark, edge, empty):
 def test_only_dataframe_operations(spark, edge):
     plan = D.overlaps(edge, spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+#: The rule in SQL without seeds: every alignment of every pair.
+WITHOUT_SEEDS = f"""
+WITH d AS (SELECT doc_id, {D._SQL_WORDS} AS h FROM documents), i AS (SELECT item_id, {D._SQL_WORDS} AS h FROM benchmark),
+shifts AS (SELECT doc_id, d.h AS t, item_id, i.h AS q, unnest(range(1 - len(i.h), len(d.h))) AS s FROM d, i),
+compared AS (
+  SELECT doc_id, item_id, least({D.WINDOW}, len(q)) AS w,
+         [CASE WHEN j + s >= 1 AND t[j + s] = q[j] THEN 1 ELSE 0 END FOR j IN range(1, len(q) + 1)] AS e FROM shifts WHERE len(q) > 0
+),
+best AS (SELECT doc_id, item_id, w, list_max([list_sum(e[k : k + w - 1]) FOR k IN range(1, len(e) - w + 2)]) AS m FROM compared)
+SELECT doc_id, item_id, CAST(max(m) AS BIGINT), CAST(max(w) AS BIGINT) FROM best WHERE m * 5 >= w * 4 GROUP BY doc_id, item_id
+"""
+
+
+def test_items_of_1_to_14_words_match_a_search_without_seeds(spark, tmp_path):
+    """All placements of the allowed substitutions, and of one more; a null item_id; a sentence without spaces."""
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 15)]
+    items += [(None, "an item without a number"), (20, "\u6211\u4eec\u5728\u8fd9\u91cc\u3002"), (21, " ... "), (22, "ha ha ha ha")]
+    docs = [f"before {t} after" for _, t in items] + ["ha " * 500, "ha ha ha", "before \u6211\u4eec\u5728\u8fd9\u91cc\u3002 after", ""]
+    for n, t in items[:14]:
+        allowed = n - -(-4 * n // 5)
+        for bad in itertools.chain(itertools.combinations(range(n), allowed), itertools.islice(itertools.combinations(range(n), allowed + 1), 9)):
+            docs.append(" ".join(["one", *("x" if k in bad else w for k, w in enumerate(t.split())), "two"]))
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from '{tmp_path}/{t}/*.parquet'")
+    want = {tuple(r) for r in con.sql(WITHOUT_SEEDS).fetchall()}
+    d, i = (spark.read.parquet(str(tmp_path / t)) for t in ("documents", "benchmark"))
+    have = {tuple(r) for r in D.overlaps(d, i).collect()}
+    assert have == want and {r[1] for r in have} == {None, 20, 22, *range(1, 15)}
+    assert D.decontaminated(d, i).count() == len(docs) - len({r[0] for r in want})
