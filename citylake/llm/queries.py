@@ -10,6 +10,8 @@ from citylake.llm.bpe import op5_bpe_tree_concatenation
 from citylake.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
 from citylake.llm.jaccard_join import OP1_SQL, op1_ngram_jaccard_join
 from citylake.llm.language_model import op3_brown_language_model
+from citylake.llm.mixing import op13_pareto_mix
+from citylake.llm.negatives import OP11_SQL, op11_l2ap_negatives
 from citylake.llm.quality import OP6_SQL, op6_adaptive_quality
 from citylake.llm.sharding import op10_sampled_splitters
 from citylake.llm.substring_dedup import OP8_SQL, op8_substring_dedup
@@ -28,13 +30,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_sampled_splitters": op10_sampled_splitters,
+    "op11_l2ap_negatives": op11_l2ap_negatives,
+    "op13_pareto_mix": op13_pareto_mix,
 }
 
-#: Operators 3, 4, 5, 7 and 10 learn, tokenize or take checksums that DuckDB lacks: their tests have brute force.
+#: Operators 3, 4, 5, 7, 10 and 13 learn, tokenize, or draw by checksums and hashes that DuckDB lacks: their tests have brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op2_link_graph": OP2_SQL,
     "op6_adaptive_quality": OP6_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
+    "op11_l2ap_negatives": OP11_SQL,
 }
