@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citylake.llm.alignment import op12_pointer_alignment
 from citylake.llm.bpe import op5_bpe_tree_concatenation
 from citylake.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
 from citylake.llm.jaccard_join import OP1_SQL, op1_ngram_jaccard_join
@@ -31,10 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_sampled_splitters": op10_sampled_splitters,
     "op11_l2ap_negatives": op11_l2ap_negatives,
+    "op12_pointer_alignment": op12_pointer_alignment,
     "op13_pareto_mix": op13_pareto_mix,
 }
 
-#: Operators 3, 4, 5, 7, 10 and 13 learn, tokenize, or draw by checksums and hashes that DuckDB lacks: their tests have brute force.
+#: Operators 3, 4, 5, 7, 10, 12 and 13 learn, tokenize, or draw by checksums and hashes that DuckDB lacks: their tests have brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op2_link_graph": OP2_SQL,
