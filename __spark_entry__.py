@@ -179,12 +179,12 @@ def _b6_upserted_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _b5_upserted_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge into a table partitioned by pickup date, read back."""
-    from citylake import sinks
+    from citylake.sinks import snapshots
 
     root = _landing(spark, "dated")
     for run, rows in zip(("first", "again"), _copies(spark, sf_dir)):
-        sinks.partitioned_upsert(spark, root, rows.withColumn("pickup_date", F.to_date("pickup")), "trip_id", "pickup_date", run)
-    return spark.read.parquet(root).select("trip_id", "fare_amount", "source_file", "loaded_at", "pickup")
+        snapshots.upsert(spark, root, rows.withColumn("pickup_date", F.to_date("pickup")), "trip_id", "pickup_date", run)
+    return snapshots.read(spark, root).select("trip_id", "fare_amount", "source_file", "loaded_at", "pickup")
 
 
 # ---------------------------------------------------------------- registry

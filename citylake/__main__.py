@@ -2,7 +2,7 @@
 
     spark-submit -m citylake build --trips 's3://lake/landing/trips/*.parquet' \
         --weather 's3://lake/landing/weather/*.json' --zones s3://lake/landing/zones.csv \
-        --out s3://lake/warehouse [--full-refresh] [--partition-facts-by pickup_date_id]
+        --out s3://lake/warehouse [--full-refresh]
 
     spark-submit -m citylake stream --landing s3://lake/landing/trips \
         --bronze s3://lake/warehouse/bronze/raw_taxi_trips --silver s3://lake/warehouse/silver/stg_taxi_trips
@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,11 +30,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--zones", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--full-refresh", action="store_true")
-    p.add_argument("--partition-facts-by", nargs="*", default=[])
     p.add_argument("--silver-layout", choices=("by_pickup_date", "versioned"), default="by_pickup_date")
     p.add_argument("--run-id", help="name of the run; a rerun under the same name continues it")
     p.add_argument("--no-bronze", action="store_true", help="do not append the trips to bronze first")
     p.add_argument("--check-gaps", action="store_true", help="also stop on missing weather hours (J5)")
+    p.add_argument("--reload", action="store_true", help="load files again that the ledger knows unchanged")
+    g = sub.add_parser("gold", help="bring gold up to the current silver tables (after a stream)")
+    g.add_argument("--out", required=True)
     s = sub.add_parser("stream", help="availableNow incremental trip load")
     s.add_argument("--landing", required=True)
     s.add_argument("--bronze", required=True)
@@ -48,22 +51,34 @@ def main(argv: list[str] | None = None) -> int:
     ensure_checkpoint_dir(spark)
     if args.cmd == "build":
         from citylake.plans.materialize import build_warehouse
+        from citylake.sinks import ledger
         from citylake.sources import files
 
+        bronze_root = f"{args.out.rstrip('/')}/bronze/raw_taxi_trips"
+        run_id = args.run_id or uuid.uuid4().hex
+        landed = files.landed_files(spark, args.trips)
+        if not (args.reload or args.no_bronze or args.silver_layout == "versioned"):
+            found = ledger.sorted_out(spark, bronze_root, landed, run_id)
+            landed = found["new"] + found["resent"]
+            print(json.dumps({k: [f.path for f in v] for k, v in found.items()}))
         out = build_warehouse(
             spark,
-            files.read_trips(spark, args.trips),
+            files.read_landed(spark, [f.path for f in landed]),
             files.read_weather(spark, args.weather),
             files.read_zones(spark, args.zones),
             args.out,
             full_refresh=args.full_refresh,
-            fact_partition_by=args.partition_facts_by,
             silver_layout=args.silver_layout,
-            run_id=args.run_id,
+            run_id=run_id,
+            files=landed,
             bronze=not args.no_bronze,
             check_gaps=args.check_gaps,
         )
         print(json.dumps(out, indent=2))
+    elif args.cmd == "gold":
+        from citylake.plans.materialize import refresh_gold
+
+        print(json.dumps({"release": refresh_gold(spark, args.out).version}))
     else:
         from citylake.streaming.incremental import start_trip_stream
 

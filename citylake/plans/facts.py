@@ -122,6 +122,23 @@ def gold_agg_demand_weather(fact_trips: DataFrame, rules: Rules = Rules()) -> Da
     return agg.select(key.alias("agg_id"), *agg.columns, run_ts(rules).alias("last_aggregated_at"))
 
 
+def demand_days(agg_demand: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """K4's measures per day, weather category and borough, so reports add up days instead of hours.
+
+    ``hours`` is a bitmap of the day's hours with trips: days and categories are merged by ``bit_or``, and
+    the hours of different days are different, so the distinct hours of a period are the sum of the days' bits.
+    """
+    hour = F.call_function("shiftleft", F.lit(1), F.hour("pickup_hour_truncated"))
+    return agg_demand.groupBy(C.date_key("pickup_hour_truncated").alias("demand_date_id"), "weather_category", "pickup_borough").agg(
+        F.sum("total_trips").alias("trips"), C.stable_sum("total_revenue", rules).alias("revenue"), F.bit_or(hour).alias("hours")
+    )
+
+
+def trip_days(fact_trips: DataFrame) -> DataFrame:
+    """K9's measure per day: trips, with the day's holiday flag."""
+    return fact_trips.groupBy("pickup_date_id", "is_holiday").agg(F.count(F.lit(1)).alias("trips"))
+
+
 def fact_trips_labeled(
     fact_trips: DataFrame,
     vendors: DataFrame,

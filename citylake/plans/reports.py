@@ -119,6 +119,22 @@ def weather_impact(agg_demand: DataFrame, by_borough: bool = True, rules: Rules
     )
 
 
+def weather_impact_of_days(demand_days: DataFrame, by_borough: bool = True, rules: Rules = Rules()) -> DataFrame:
+    """K4 from the stored days (``facts.demand_days``): the same rows, without reading hours or trips."""
+    keys = ["weather_category"] + (["pickup_borough"] if by_borough else [])
+    days = demand_days.groupBy("demand_date_id", *keys).agg(
+        F.sum("trips").alias("trips"), _sum("revenue", rules).alias("revenue"), F.bit_count(F.bit_or("hours")).alias("hours")
+    )
+    g = days.groupBy(*keys).agg(F.sum("trips").alias("trips"), F.sum("hours").alias("hours"), _sum("revenue", rules).alias("revenue"))
+    return g.select(
+        *keys,
+        "trips",
+        "hours",
+        (F.col("trips") / F.nullif(F.col("hours"), F.lit(0))).alias("trips_per_hour"),
+        (F.col("revenue") / F.col("trips")).alias("avg_fare"),
+    )
+
+
 # ---------------------------------------------------------------- K5
 
 def co2_by_vendor(sustainability: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -178,6 +194,14 @@ def holiday_demand(trips_with_calendar: DataFrame, day_col: str = "pickup_date_i
     )
 
 
+def holiday_demand_of_days(trip_days: DataFrame) -> DataFrame:
+    """K9 from the stored days (``facts.trip_days``): one row per day, so days are counted, not told apart."""
+    g = trip_days.groupBy("is_holiday").agg(F.sum("trips").alias("trips"), F.count("pickup_date_id").alias("days"))
+    return g.select(
+        "is_holiday", "trips", "days", (F.col("trips") / F.nullif(F.col("days"), F.lit(0))).alias("trips_per_day")
+    )
+
+
 # ---------------------------------------------------------------- K10
 
 def flat_rate_discovery(trips: DataFrame) -> DataFrame:

@@ -43,7 +43,13 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full, idempotent rebuild of a table folder."""
+    """Full, idempotent rebuild of a table folder.
+
+    Rows of a partitioned table are rebalanced by partition first: each task would otherwise write a file into every
+    partition folder. Adaptive execution joins small partitions in a task and splits large ones.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *(F.col(f"`{c}`") for c in partition_by))
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -86,7 +92,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> D
     incremental merge on a unique key. A null key never matches, so null-key rows
     are inserted again on every run; gate them with a not-null check (J2).
     Spark chooses the anti-join by the sides' sizes. ``updates`` is read twice, so pass
-    a written table (as :func:`partitioned_upsert` and :func:`incremental_upsert` do).
+    a written table (as :func:`incremental_upsert` and ``snapshots.upsert`` do).
     """
     keys = [key] if isinstance(key, str) else list(key)
     return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
@@ -217,68 +223,6 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def partitioned_upsert(
-    spark: SparkSession,
-    path: str,
-    updates: DataFrame,
-    key: str | Sequence[str],
-    partition_col: str,
-    run_id: str,
-    check: Callable[[DataFrame], None] | None = None,
-) -> None:
-    """B5 for a table partitioned by ``partition_col``: only the partitions the
-    updates touch are read and rewritten.
-
-    Requires that a key never changes partition (true for trips partitioned by
-    pickup date: the trip key hashes the pickup time). Steps, each complete once its
-    folder holds ``_SUCCESS``, below the hidden ``path/_staging/<run_id>``:
-
-    1. ``updates`` is evaluated once, into ``updates``, partitioned like the table;
-    2. the touched partitions of the table, merged with it, go to ``merged``;
-    3. ``check``, if given, gets the merged rows; if it raises, the table is as before;
-    4. ``merged`` replaces exactly these partitions by a dynamic partition overwrite;
-    5. the staging folder is removed.
-
-    A rerun of the same ``run_id`` goes on after the last complete step. After a failure
-    in step 4 the table can lack partitions, but ``merged`` holds them whole and is never
-    written again: the rerun only repeats the swap. After step 5 a rerun merges the same
-    updates once more, which changes nothing.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    root = path.rstrip("/")
-    staging = f"{root}/_staging/{run_id}"
-    columns, schema = updates.columns, updates.schema
-    if not exists(spark, f"{staging}/merged/_SUCCESS"):
-        if not exists(spark, f"{staging}/updates/_SUCCESS"):
-            overwrite(updates, f"{staging}/updates", [partition_col])
-        staged = spark.read.schema(schema).parquet(f"{staging}/updates").select(*columns)
-        merged = staged
-        present = _partition_folders(spark, root)
-        if present:
-            # Data columns must match; the partition column's type comes from the
-            # folder names, so the table is read with the declared schema.
-            current = spark.read.parquet(root)
-            assert_schema(updates.drop(partition_col).schema, current.drop(partition_col).schema)
-            current = spark.read.schema(schema).parquet(root)
-            touched = staged.select(partition_col).distinct()
-            target = current.join(touched, current[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
-            merged = upsert(target.select(*columns), staged, keys)
-        overwrite(merged, f"{staging}/merged", [partition_col])
-    staged = spark.read.schema(schema).parquet(f"{staging}/merged").select(*columns)
-    if check is not None:
-        check(staged)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(root))
-    remove(spark, staging)
-
-
-def _partition_folders(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds any data (hidden folders aside)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p) and any(f.isDirectory() and not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
-
-
 # ---------------------------------------------------------------- B9, B10
 
 @dataclass(frozen=True)

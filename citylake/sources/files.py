@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.functions.columns import rename_upper, with_audit
+from citylake.sinks.ledger import LandedFile
 from citylake.sources.schemas import (
     RAW_TRIPS_SCHEMA,
     TLC_FILE_SCHEMA,
@@ -42,49 +43,97 @@ def monthly_trip_paths(base: str, first: str, last: str, prefix: str = "yellow_t
     return out
 
 
+def landed_files(spark: SparkSession, paths: str | Sequence[str]) -> list[LandedFile]:
+    """Path, length and modification time of the files that ``paths`` name (files, folders or patterns).
+
+    One scan lists them all; only the listing is read, not the files.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    found = spark.read.format("binaryFile").load(paths).select("path", "length", F.col("modificationTime").cast("string").alias("modified"))
+    return [LandedFile(*r) for r in found.distinct().orderBy("path").collect()]
+
+
+def footer_index(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path, column (lower case) and type (short name) of every column of the files, read from their footers by tasks.
+
+    Tasks open the files with the Arrow file systems (local, hdfs, s3, gs, abfss); a file they cannot open has
+    one row with null column and type.
+    """
+
+    def footers(batches):
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        names = {pa.int8(): "tinyint", pa.int16(): "smallint", pa.int32(): "int", pa.int64(): "bigint", pa.float32(): "float", pa.float64(): "double"}
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path.replace("s3a://", "s3://", 1)
+                    fs, inner = pafs.FileSystem.from_uri(uri)
+                    with fs.open_input_file(inner) as f:
+                        rows += [(path, c.name.lower(), names.get(c.type, str(c.type))) for c in pq.read_schema(f)]
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    rows.append((path, None, None))
+            columns = list(zip(*rows)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "column", "type"])
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    return files.repartition("path").mapInArrow(footers, "path string, `column` string, type string")
+
+
 def _schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Monthly files grouped by the types their numeric columns are written with.
+    """Files grouped by the types their numeric columns are written with.
 
-    Counts are INT64 in some months and DOUBLE in others, and a scan reads one type per column.
-    Only file footers are read here (one per monthly file); columns a file lacks are read as null.
+    Counts are INT64 in some months and DOUBLE in others, and a scan reads one type per column; columns a
+    file lacks are read as null. One job reads all footers; a file is read apart only if tasks cannot open it.
     """
-    files: list[str] = []
-    for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-        files += [str(f.getPath()) for f in found] if found else [path]
+    seen = F.collect_set(F.struct("column", "type"))
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for f in files:
-        written = {c.name.lower(): c.dataType for c in spark.read.parquet(f).schema.fields}
-        fields = []
-        for c in TLC_FILE_SCHEMA.fields:
-            kind = written.get(c.name.lower(), c.dataType)
-            whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-            wanted = T.LongType() if whole and isinstance(c.dataType, (T.DoubleType, T.LongType)) else c.dataType
-            if isinstance(kind, (T.FloatType, T.DoubleType)) and isinstance(c.dataType, T.LongType):
-                wanted = kind
-            fields.append(T.StructField(c.name, wanted))
-        schema = T.StructType(fields)
-        groups.setdefault(schema.json(), (schema, []))[1].append(f)
+    index = footer_index(spark, paths).groupBy("path").agg(F.sort_array(seen).alias("columns"))
+    for types, files in index.groupBy("columns").agg(F.sort_array(F.collect_list("path")).alias("files")).collect():
+        for group in [[f] for f in files] if types[0]["column"] is None else [files]:
+            written = {c["column"]: c["type"] for c in types if c["column"] is not None}
+            written = written or {c.name.lower(): c.dataType.simpleString() for c in spark.read.parquet(*group).schema.fields}
+            # A column without any value may be written without a type: it is not read, and null.
+            known = [c for c in TLC_FILE_SCHEMA.fields if written.get(c.name.lower()) != "null"]
+            schema = T.StructType([T.StructField(c.name, _scanned(c.dataType, written.get(c.name.lower()))) for c in known])
+            groups.setdefault(schema.json(), (schema, []))[1].extend(group)
     return list(groups.values())
 
 
+def _scanned(wanted: T.DataType, written: str | None) -> T.DataType:
+    """The type a column is scanned with: the declared one, but whole numbers or fractions as they were written."""
+    if written in ("tinyint", "smallint", "int", "bigint") and isinstance(wanted, (T.DoubleType, T.LongType)):
+        return T.LongType()
+    if written in ("float", "double") and isinstance(wanted, T.LongType):
+        return T.FloatType() if written == "float" else T.DoubleType()
+    return wanted
+
+
 def read_trips(spark: SparkSession, paths: str | Sequence[str], loaded_at=None) -> DataFrame:
     """Monthly TLC trip parquet files -> bronze trip rows (A1 + C1 + C2).
 
     Source names are mapped case-insensitively to the bronze names; SOURCE_FILE is
     the file name each row came from; LOADED_AT is the load timestamp (one value per
-    load, as in the reference).
+    load, as in the reference). Two jobs (the listing and the footers) run for any number of files.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    return read_landed(spark, [f.path for f in landed_files(spark, paths)], loaded_at)
+
+
+def read_landed(spark: SparkSession, files: Sequence[str], loaded_at=None) -> DataFrame:
+    """:func:`read_trips` for files that are already listed."""
     src = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
     ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.localtimestamp()
     parts = []
-    for schema, group in _schema_groups(spark, paths):
+    for schema, group in _schema_groups(spark, files) if files else []:
         raw = spark.read.schema(schema).parquet(*group)
         raw = with_audit(raw, "SOURCE_FILE", src, ts)
-        casts = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TLC_FILE_SCHEMA.fields]
+        casts = [(F.col(f.name) if f.name in schema.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in TLC_FILE_SCHEMA.fields]
         parts.append(raw.select(*casts, "SOURCE_FILE", "LOADED_AT"))
+    if not parts:
+        return spark.createDataFrame([], RAW_TRIPS_SCHEMA)
     df = rename_upper(reduce(DataFrame.unionByName, parts), TRIP_SOURCE_COLUMNS)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TRIPS_SCHEMA.fields])
 
@@ -133,17 +182,18 @@ SOURCES = {
 
 def table(spark: SparkSession, layer: str, name: str, root: str | None = None) -> DataFrame:
     """Resolve a logical (layer, name): a catalog table ``layer.name``, or below a storage
-    root the current gold release's folder, the newest committed version, or the plain
-    folder ``root/layer/name`` (A6)."""
+    root the table of the current gold release, the newest snapshot or committed version, or the
+    plain folder ``root/layer/name`` (A6)."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     if root is None:
         return spark.table(f"{layer}.{name}")
-    from citylake.sinks import GOLD_RELEASES, current_version
+    from citylake.sinks import current_version, releases, snapshots
 
     base = f"{root.rstrip('/')}/{layer}"
-    release = current_version(spark, f"{base}/{GOLD_RELEASES}") if layer == "gold" else None
-    if release is not None:
-        return spark.read.parquet(f"{release[1]}/{name}")
+    if layer == "gold" and releases.current(spark, base) is not None:
+        return releases.read(spark, base, name)
+    if snapshots.current(spark, f"{base}/{name}") is not None:
+        return snapshots.read(spark, f"{base}/{name}")
     version = current_version(spark, f"{base}/{name}")
     return spark.read.parquet(version[1] if version is not None else f"{base}/{name}")

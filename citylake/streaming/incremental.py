@@ -2,18 +2,14 @@
 
 The reference loads each new monthly file into bronze (append) and then re-runs the
 incremental silver model, which re-evaluates the latest copy of every trip and
-merges by ``trip_id``. Here Structured Streaming discovers landed files and each
-micro-batch, in ``foreachBatch``:
+merges by ``trip_id``. Here Structured Streaming discovers landed files: the stream's rows are
+files (path, length, modification time), not trips, so months whose counts are written with different
+types load through the same footer index as in the build. Each micro-batch, in ``foreachBatch``:
 
-1. appends the batch to bronze as ``batch=<id>`` (overwrite of that folder only,
-   so a replayed batch rewrites instead of duplicating);
-2. re-evaluates ``stg_taxi_trips`` for the trip keys the batch touches -- all bronze
-   copies of those keys, old and new, restricted to the batch's pickup-time range
-   so parquet min/max statistics skip unrelated row groups -- which equals
-   re-evaluating the whole source for every key whose rows changed;
-3. merges the result into silver trips partitioned by pickup date, rewriting only
-   the dates the batch touches (``sinks.partitioned_upsert``; the staging folder is
-   named by the batch id, so a replayed batch converges to the same table).
+1. drops the files that the ledger knows unchanged from another load (a build, say);
+2. loads the others as ``load=stream-<id>``: bronze, the trips they touch, silver (``plans.loads``); a
+   replayed batch rewrites its bronze folder and merges the same rows again;
+3. records the load in the ledger that the build shares.
 
 The query runs with ``trigger(availableNow=True)`` (process what has landed, then
 stop) and keeps its progress under the shared checkpoint folder, so a restarted
@@ -22,55 +18,20 @@ job resumes after the last committed batch.
 
 from __future__ import annotations
 
+import datetime as _dt
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.config import Rules
-from citylake.functions.columns import rename_upper
-from citylake.plans.silver import TRIP_KEY, cast_trips, stg_taxi_trips
+from citylake.plans.loads import load_trips, read_silver  # noqa: F401
 from citylake.session import ensure_checkpoint_dir
-from citylake.sinks import partitioned_upsert
-from citylake.sources.schemas import RAW_TRIPS_SCHEMA, TLC_FILE_SCHEMA
-from citylake.sources.seeds import seed
+from citylake.sinks import ledger
+from citylake.sources import files as sources
 
-
-
-def to_bronze(batch: DataFrame, loaded_at) -> DataFrame:
-    """Landed rows -> bronze rows: upper-case names, SOURCE_FILE from the file name,
-    one LOADED_AT per load."""
-    df = rename_upper(batch)
-    if "SOURCE_FILE" not in df.columns:
-        df = df.withColumn("SOURCE_FILE", F.lit(None).cast("string"))
-    df = df.withColumn("LOADED_AT", F.lit(loaded_at).cast("timestamp_ntz"))
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TRIPS_SCHEMA.fields])
-
-
-def touched_trips(bronze: DataFrame, batch_bronze: DataFrame, rules: Rules) -> DataFrame:
-    """All bronze rows (every copy) of the trip keys present in ``batch_bronze``."""
-    keys = cast_trips(batch_bronze, rules).select(*TRIP_KEY).distinct()
-    rng = batch_bronze.agg(F.min("TPEP_PICKUP_DATETIME").alias("lo"), F.max("TPEP_PICKUP_DATETIME").alias("hi")).first()
-    cand = bronze
-    if rng is not None and rng["lo"] is not None:
-        # Pickup range of the batch (epoch repair can only move a key inside the
-        # same raw value, so the raw range bounds the candidates).
-        cand = cand.where(F.col("TPEP_PICKUP_DATETIME").between(F.lit(rng["lo"]), F.lit(rng["hi"])))
-    casted = cast_trips(cand, rules)
-    k = keys
-    cond = None
-    for c in TRIP_KEY:
-        e = casted[c].eqNullSafe(k[c])
-        cond = e if cond is None else cond & e
-    hit = casted.join(k, cond, "left_semi")
-    # back to bronze column names for stg_taxi_trips
-    back = {
-        "vendor_id": "VENDORID", "pickup_datetime": "TPEP_PICKUP_DATETIME", "dropoff_datetime": "TPEP_DROPOFF_DATETIME",
-        "passenger_count": "PASSENGER_COUNT", "trip_distance": "TRIP_DISTANCE", "pickup_location_id": "PULOCATIONID",
-        "dropoff_location_id": "DOLOCATIONID", "rate_code_id": "RATECODEID", "payment_type_id": "PAYMENT_TYPE",
-        "fare_amount": "FARE_AMOUNT", "source_file": "SOURCE_FILE", "loaded_at": "LOADED_AT",
-    }
-    return hit.select(*[F.col(a).alias(b) for a, b in back.items()])
+#: The columns of Spark's file listing source; ``content`` is never read.
+FILE_ROWS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 def process_batch(
@@ -81,28 +42,18 @@ def process_batch(
     silver_root: str,
     rules: Rules = Rules(),
     loaded_at=None,
-) -> None:
-    """One micro-batch: bronze append (idempotent per batch id), then silver merge."""
-    import datetime as _dt
-
-    ts = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    rows = to_bronze(batch, ts)
-    rows.write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/batch={batch_id:010d}")
-    bronze = spark.read.schema(RAW_TRIPS_SCHEMA).parquet(bronze_path)
-    written = bronze.where(F.col("batch") == batch_id).drop("batch")
-    stg = stg_taxi_trips(touched_trips(bronze.drop("batch"), written, rules), seed(spark, "seed_emission_factors"), rules)
-    dated = stg.withColumn(SILVER_PARTITION, F.to_date("pickup_datetime"))
-    partitioned_upsert(spark, silver_root, dated, "trip_id", SILVER_PARTITION, run_id=f"batch-{batch_id:010d}")
-
-
-SILVER_PARTITION = "pickup_date"
-
-
-def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
-    """The stream's silver trips (without the partition column)."""
-    from citylake.plans.silver import STG_COLUMNS
-
-    return spark.read.parquet(silver_root).select(*STG_COLUMNS)
+    stream: str = "stream",
+) -> dict[str, list[ledger.LandedFile]]:
+    """One micro-batch of landed files (path, modificationTime, length); returns how the ledger sorted them out."""
+    load = f"{stream}-{batch_id:010d}"
+    landed = batch.select("path", "length", F.col("modificationTime").cast("string").alias("modified")).distinct()
+    found = ledger.sorted_out(spark, bronze_path, [ledger.LandedFile(*r) for r in landed.collect()], load)
+    todo = found["new"] + found["resent"]
+    if todo:
+        at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        raw = sources.read_landed(spark, [f.path for f in todo], at)
+        load_trips(spark, raw, load, bronze_path, silver_root, rules, todo, "stream")
+    return found
 
 
 def start_trip_stream(
@@ -118,21 +69,20 @@ def start_trip_stream(
 
     Progress is kept in ``checkpoint``, by default a folder of the shared checkpoint folder named
     after the stream's landing and target folders, so two streams never share one.
-    ``max_files_per_trigger`` limits a batch only if given.
+    ``max_files_per_trigger`` limits a batch only if given. Loads are named after the checkpoint, so a
+    stream that starts anew never takes the name of an older one's batch.
     """
     if checkpoint is None:
         name = hashlib.sha256("\n".join((landing_dir, bronze_path, silver_root)).encode()).hexdigest()[:16]
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trip_stream-{name}"
-    reader = spark.readStream.schema(TLC_FILE_SCHEMA)
+    stream = f"stream-{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}"
+    reader = spark.readStream.format("binaryFile").schema(FILE_ROWS)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = (
-        reader.parquet(landing_dir)
-        .withColumn("SOURCE_FILE", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1))
-    )
+    landed = reader.load(landing_dir).select("path", "modificationTime", "length")
     return (
-        src.writeStream.foreachBatch(
-            lambda df, bid: process_batch(spark, df, bid, bronze_path, silver_root, rules)
+        landed.writeStream.foreachBatch(
+            lambda df, bid: process_batch(spark, df, bid, bronze_path, silver_root, rules, stream=stream)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -5,7 +5,8 @@ import os
 import pytest
 
 from citylake.operators.quality import QualityGateError
-from citylake.plans.materialize import build_warehouse
+from citylake.plans.loads import read_silver
+from citylake.plans.materialize import build_warehouse, read_gold
 from citylake.plans.warehouse import FIXTURE_RULES, Warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -14,10 +15,11 @@ SF = "/root/testdata/sf0.001"
 def test_build_matches_lazy_models(spark, tmp_root):
     wh = Warehouse.from_testdata(spark, SF)
     out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, os.path.join(tmp_root, "wh"),
-                       FIXTURE_RULES, fact_partition_by=["pickup_date_id"], silver_layout="versioned")
+                       FIXTURE_RULES, silver_layout="versioned")
     assert spark.read.parquet(out["stg_taxi_trips"]).count() == wh.stg_trips.count()
-    assert spark.read.parquet(out["gold_fact_trips"]).count() == wh.fact_trips.count()
-    got = sorted(map(tuple, spark.read.parquet(out["gold_agg_demand_weather"]).select("agg_id", "total_trips").collect()))
+    assert read_gold(spark, os.path.join(tmp_root, "wh"), "gold_fact_trips").count() == wh.fact_trips.count()
+    agg = read_gold(spark, os.path.join(tmp_root, "wh"), "gold_agg_demand_weather")
+    got = sorted(map(tuple, agg.select("agg_id", "total_trips").collect()))
     want = sorted(map(tuple, wh.agg_demand_weather.select("agg_id", "total_trips").collect()))
     assert got == want
     # second run merges into a new silver version and keeps the same result
@@ -42,24 +44,24 @@ def test_build_with_date_partitioned_silver(spark, tmp_root):
     for run in ("r1", "r2"):
         out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES,
                               silver_layout="by_pickup_date", run_id=run)
-    silver_dirs = [d for d in os.listdir(out["stg_taxi_trips"]) if d.startswith("pickup_date=")]
-    assert len(silver_dirs) >= 28
-    assert spark.read.parquet(out["gold_fact_trips"]).count() == wh.stg_trips.count()
+    from citylake.sinks import snapshots
 
+    assert len(snapshots.current(spark, out["stg_taxi_trips"]).parts) >= 28
+    assert read_silver(spark, out["stg_taxi_trips"]).count() == wh.stg_trips.count()
+    assert read_gold(spark, root, "gold_fact_trips").count() == wh.stg_trips.count()
 
-def test_failing_gate_leaves_silver_and_gold_current(spark, tmp_root):
-    from citylake.plans.materialize import read_gold
 
+def test_failing_gate_leaves_silver_and_gold_current(spark, tmp_root):
     wh = Warehouse.from_testdata(spark, SF)
     root = os.path.join(tmp_root, "gated")
     out = build_warehouse(spark, wh.raw_trips, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="good")
-    trips = spark.read.parquet(out["stg_taxi_trips"]).count()
+    trips = read_silver(spark, out["stg_taxi_trips"]).count()
     weather = spark.read.parquet(out["stg_weather_hourly"]).count()
     with pytest.raises(QualityGateError):
         build_warehouse(spark, wh.raw_trips, wh.raw_weather.unionByName(wh.raw_weather), wh.raw_zones, root, FIXTURE_RULES, run_id="bad")
     from citylake import sinks
 
-    assert spark.read.parquet(out["stg_taxi_trips"]).count() == trips
+    assert read_silver(spark, out["stg_taxi_trips"]).count() == trips
     assert sinks.read_current(spark, os.path.join(root, "silver", "stg_weather_hourly")).count() == weather
     assert read_gold(spark, root, "gold_fact_trips").count() == trips
     with pytest.raises(QualityGateError) as e:
@@ -77,5 +79,5 @@ def test_bronze_lets_a_later_run_see_older_copies(spark, tmp_root):
     build_warehouse(spark, newest, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="newest")
     first = wh.raw_trips.where("SOURCE_FILE = 'events.parquet'")
     out = build_warehouse(spark, first, wh.raw_weather, wh.raw_zones, root, FIXTURE_RULES, run_id="older")
-    got = sorted(map(tuple, spark.read.parquet(out["stg_taxi_trips"]).select("trip_id", F.round("fare_amount", 2)).collect()))
+    got = sorted(map(tuple, read_silver(spark, out["stg_taxi_trips"]).select("trip_id", F.round("fare_amount", 2)).collect()))
     assert got == sorted(map(tuple, wh.stg_trips.select("trip_id", F.round("fare_amount", 2)).collect()))

@@ -238,47 +238,6 @@ def test_duplicate_candidates_concat_collisions(spark):
     assert duplicate_candidates(df, ["a", "b"], "concat").first()[0] == 3  # '123' collides
 
 
-def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_root):
-    path = os.path.join(tmp_root, "trips_by_day")
-    v1 = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-01-01"), ("c", 3, "2024-01-02")],
-                               "k string, v int, d string")
-    sinks.partitioned_upsert(spark, path, v1, "k", "d", "run1")
-    day2 = [f for f in os.listdir(os.path.join(path, "d=2024-01-02")) if f.endswith(".parquet")]
-    v2 = spark.createDataFrame([("b", 20, "2024-01-01"), ("e", 5, "2024-01-01")], "k string, v int, d string")
-    sinks.partitioned_upsert(spark, path, v2, "k", "d", "run2")
-    rd = spark.read.schema("k string, v int, d string")
-    got = sorted(map(tuple, rd.parquet(path).select("k", "v", "d").collect()))
-    assert got == [("a", 1, "2024-01-01"), ("b", 20, "2024-01-01"), ("c", 3, "2024-01-02"), ("e", 5, "2024-01-01")]
-    # the untouched partition's files were not rewritten
-    assert [f for f in os.listdir(os.path.join(path, "d=2024-01-02")) if f.endswith(".parquet")] == day2
-    # a rerun of the same run id leaves the same table
-    sinks.partitioned_upsert(spark, path, v2, "k", "d", "run2")
-    assert sorted(map(tuple, rd.parquet(path).select("k", "v", "d").collect())) == got
-
-
-def test_rerun_after_a_half_finished_swap_loses_nothing(spark, tmp_root):
-    """The touched partition is gone and the merged copy is complete: the rerun only swaps."""
-    import shutil
-
-    path = os.path.join(tmp_root, "half")
-    schema = "k string, v int, d string"
-    sinks.partitioned_upsert(spark, path, spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-01-01")], schema), "k", "d", "r1")
-    updates = spark.createDataFrame([("b", 20, "2024-01-01"), ("c", 3, "2024-01-01")], schema)
-
-    def stop(_):
-        raise RuntimeError("stopped before the swap")
-
-    with pytest.raises(RuntimeError):
-        sinks.partitioned_upsert(spark, path, updates, "k", "d", "r2", check=stop)
-    before = sorted(map(tuple, spark.read.schema(schema).parquet(path).select("k", "v").collect()))
-    assert before == [("a", 1), ("b", 2)]  # a failing check leaves the table as it was
-    shutil.rmtree(os.path.join(path, "d=2024-01-01"))
-    sinks.partitioned_upsert(spark, path, updates, "k", "d", "r2")
-    got = sorted(map(tuple, spark.read.schema(schema).parquet(path).select("k", "v").collect()))
-    assert got == [("a", 1), ("b", 20), ("c", 3)]
-    assert os.listdir(os.path.join(path, "_staging")) == []
-
-
 @pytest.mark.parametrize("layout", ["partitioned", "versioned"])
 def test_upsert_evaluates_its_updates_once(spark, tmp_root, layout):
     path = os.path.join(tmp_root, layout)
@@ -289,13 +248,15 @@ def test_upsert_evaluates_its_updates_once(spark, tmp_root, layout):
             seen.add(len(b))
             yield b
 
+    from citylake.sinks import snapshots
+
     schema = "k long, v long, d string"
     rows = spark.range(1000).selectExpr("id AS k", "id AS v", "CAST(id % 3 AS STRING) AS d")
     for run in ("r1", "r2"):
         seen.value = 0
         updates = rows.mapInPandas(count, schema)
         if layout == "partitioned":
-            sinks.partitioned_upsert(spark, path, updates, "k", "d", run)
+            snapshots.upsert(spark, path, updates, "k", "d", run)
         else:
             sinks.incremental_upsert(spark, path, updates, "k")
         assert seen.value == 1000

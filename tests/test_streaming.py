@@ -32,13 +32,11 @@ def test_stream_merges_resent_and_new_files(spark, tmp_root):
 
 def test_replayed_batch_is_idempotent(spark, tmp_root):
     """A batch re-run after a failure rewrites its own folders instead of adding rows."""
-    from citylake.streaming.incremental import TLC_FILE_SCHEMA, process_batch
+    from citylake.streaming.incremental import process_batch
 
     p = os.path.join(tmp_root, "f.parquet")
     write_tlc(p, [tlc_row(i) for i in range(5)])
-    from pyspark.sql import functions as F
-
-    batch = spark.read.schema(TLC_FILE_SCHEMA).parquet(p).withColumn("SOURCE_FILE", F.lit("f.parquet"))
+    batch = spark.read.format("binaryFile").load(p)
     bronze, silver_root = os.path.join(tmp_root, "bronze"), os.path.join(tmp_root, "silver")
     at = dt.datetime(2024, 2, 1)
     process_batch(spark, batch, 0, bronze, silver_root, loaded_at=at)
