@@ -187,6 +187,139 @@ def _b5_upserted_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, root).select("trip_id", "fare_amount", "source_file", "loaded_at", "pickup")
 
 
+def _b1_ledger_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: two loads that are both offered the first file; the ledger lets each file in once."""
+    from citylake.plans import loads
+    from citylake.sinks import ledger
+
+    folder = _landing(spark, "ledger")
+    trips = _wh(spark, sf_dir).raw_trips
+    paths = [f"{folder}/landing/{name}" for name in fixtures.SOURCE_FILES]
+    for path, source in zip(paths, fixtures.SOURCE_FILES):
+        trips.where(F.col("SOURCE_FILE") == source).drop("SOURCE_FILE", "LOADED_AT").write.parquet(path)
+    for load, offered in (("first", paths[:1]), ("second", paths)):
+        found = ledger.sorted_out(spark, f"{folder}/bronze", files.landed_files(spark, offered), load)
+        todo = found["new"] + found["resent"]
+        raw = files.read_landed(spark, [f.path for f in todo], fixtures.BASE_LOADED_AT)
+        loads.write_bronze(raw, f"{folder}/bronze", load, FIXTURE_RULES)
+        ledger.record(spark, f"{folder}/bronze", load, todo, "query")
+    rows = loads.read_bronze(spark, f"{folder}/bronze")
+    return rows.groupBy("load").agg(F.count(F.lit(1)).alias("rows"), F.count("TPEP_PICKUP_DATETIME").alias("timed"))
+
+
+def _b6_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that has the first copies, refreshed with the re-sent ones alone, read back."""
+    from citylake.sinks import snapshots
+
+    root = _landing(spark, "refreshed")
+    first, again = (rows.withColumn("pickup_date", F.to_date("pickup")) for rows in _copies(spark, sf_dir))
+    snapshots.upsert(spark, root, first, "trip_id", "pickup_date", "first")
+    snapshots.upsert(spark, root, again, "trip_id", "pickup_date", "again", full_refresh=True)
+    return snapshots.read(spark, root).drop("pickup_date")
+
+
+def _b7_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upserts with an added, a missing and a re-typed column are stopped and change nothing."""
+    from citylake import sinks
+
+    root, zones = _landing(spark, "drift"), _wh(spark, sf_dir).zones
+    sinks.incremental_upsert(spark, root, zones, "location_id")
+    tried = {
+        "added": zones.withColumn("more", F.lit(1)), "missing": zones.drop("zone"),
+        "retyped": zones.withColumn("location_id", F.col("location_id").cast("long")), "none": zones,
+    }
+    out = []
+    for drift, rows in tried.items():
+        try:
+            sinks.incremental_upsert(spark, root, rows, "location_id")
+            out.append((drift, False, sinks.read_current(spark, root).count()))
+        except sinks.SchemaDriftError:
+            out.append((drift, True, sinks.read_current(spark, root).count()))
+    return spark.createDataFrame(out, "drift string, stopped boolean, rows_after long")
+
+
+def _b9_load_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that a load reports, beside the rows it wrote."""
+    from citylake import sinks
+
+    path = _landing(spark, "load")
+    done = sinks.load(fixtures.table(spark, sf_dir, "events"), path)
+    return spark.read.parquet(path).agg(F.lit(done.rows).cast("long").alias("rows_reported"), F.count(F.lit(1)).alias("rows_written"))
+
+
+def _c5_iso_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's minute as ISO text, parsed and written again."""
+    _prep(spark)
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
+    parsed = fixtures.table(spark, sf_dir, "events").select("event_id", iso.alias("iso")).select("event_id", C.parse_ntz("iso").alias("t"))
+    return parsed.select("event_id", C.iso_text("t").alias("iso_text"))
+
+
+def _j6_gate_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failures with which the gate stops on raw rows; row checks are counted by a write."""
+    w = _wh(spark, sf_dir)
+    rows = Q.RowChecks({
+        "weather category accepted": Q.not_accepted("weather_category", [c for c in C.WEATHER_CATEGORIES if c != "Unknown"])
+    })
+    path = _landing(spark, "gated-weather")
+    rows.observe(w.weather).write.parquet(path)
+    checks = {
+        "raw trip key unique": Q.unique(_raw_keyed(spark, sf_dir), "trip_id"),
+        "raw zones not null": Q.not_null(w.raw_zones, ["BOROUGH", "SERVICE_ZONE"]),
+        "zone unique": Q.unique(w.zones, "location_id"),
+    }
+    try:
+        Q.gate(checks, counted=rows.failures(spark.read.parquet(path)))
+        failures: dict[str, int] = {}
+    except Q.QualityGateError as e:
+        failures = e.failures
+    return spark.createDataFrame(sorted(failures.items()), "check string, failures long")
+
+
+def _a6_named_silver_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table found by its layer and name, in its newest version."""
+    from citylake import sinks
+
+    root, zones = _landing(spark, "layers"), _wh(spark, sf_dir).zones
+    for rows in (zones.limit(0), zones):
+        sinks.write_version(spark, rows, f"{root}/silver/stg_zone_lookup")
+    return files.table(spark, "silver", "stg_zone_lookup", root=root)
+
+
+def _b4_zone_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones through a view."""
+    from citylake import sinks
+
+    sinks.as_view(_wh(spark, sf_dir).zones, "citylake_stg_zones")
+    return spark.table("citylake_stg_zones")
+
+
+_incremental: dict[tuple[str, str], str] = {}
+
+
+def _incremental_root(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse that two runs have built, the first copies and then the re-sent ones (once per application)."""
+    from citylake.plans.materialize import build_warehouse
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _incremental:
+        root, w = _landing(spark, "incremental"), _wh(spark, sf_dir)
+        for run, source in zip(("first", "again"), fixtures.SOURCE_FILES):
+            rows = w.raw_trips.where(F.col("SOURCE_FILE") == source)
+            build_warehouse(spark, rows, w.raw_weather, w.raw_zones, root, FIXTURE_RULES, run_id=run)
+        _incremental[key] = root
+    return _incremental[key]
+
+
+def _gold(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from citylake.plans.materialize import read_gold
+
+        return read_gold(spark, _incremental_root(spark, sf_dir), name)
+
+    return read
+
+
 # ---------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -277,6 +410,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b5_upsert_resent": _b5_upsert_resent,
         "b5_upserted_partitions": _b5_upserted_partitions,
         "b6_upserted_versions": _b6_upserted_versions,
+        "a6_named_silver_zones": _a6_named_silver_zones,
+        "b1_ledger_loads": _b1_ledger_loads,
+        "b4_zone_view": _b4_zone_view,
+        "b6_full_refresh": _b6_full_refresh,
+        "b7_schema_drift": _b7_schema_drift,
+        "b9_load_count": _b9_load_count,
+        "c5_iso_text": _c5_iso_text,
+        "j6_gate_failures": _j6_gate_failures,
+        "i13_incremental_agg_demand": _gold("gold_agg_demand_weather"),
+        "k4_incremental_weather_impact": lambda s, d: reports.weather_impact_of_days(_gold("gold_demand_days")(s, d), True, R),
+        "k9_incremental_holiday_demand": lambda s, d: reports.holiday_demand_of_days(_gold("gold_trip_days")(s, d)),
         "c4_repaired_epochs": _c4_repaired_epochs,
         "i4_calendar_demand": _i4_calendar_demand,
         "d3_zone_null_rows": lambda s, d: P.rows_with_nulls(_wh(s, d).raw_zones, ["BOROUGH", "SERVICE_ZONE"]),

@@ -38,7 +38,7 @@ def zones(spark, tmp_root, borough="Queens"):
 
 def trips(spark, tmp_root, name, rows, at):
     path = os.path.join(tmp_root, f"{name}.parquet")
-    write_tlc(path, rows)
+    write_tlc(path, [dict(r, trip_distance=2.5, PULocationID=100 + r["tpep_pickup_datetime"].hour % 2) for r in rows])
     return files.read_trips(spark, path, at)
 
 
@@ -57,7 +57,7 @@ def test_a_run_rewrites_only_the_dates_it_changes(spark, tmp_root):
     M.build_warehouse(spark, first, w, z, root, RULES, run_id="r1")
     before = releases.current(spark, f"{root}/gold")
     # two dates: a corrected fare on the second, a new trip on the third
-    second = trips(spark, tmp_root, "b", [tlc_row(DAY, fare=33.0), tlc_row(2 * DAY + 500)], "2024-02-02 00:00:00")
+    second = trips(spark, tmp_root, "b", [tlc_row(DAY, fare=33.0), tlc_row(2 * DAY + 480)], "2024-02-02 00:00:00")
     M.build_warehouse(spark, second, w, z, root, RULES, run_id="r2")
     after = releases.current(spark, f"{root}/gold")
     for name, column in M.DATED.items():
