@@ -102,6 +102,11 @@ def _passing_once(seeds: str) -> str:
 
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, matched (equal words in the best window) and window, per overlapping document and item."""
+    return _overlaps(docs, items, ["doc_id"])
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
+    """``overlaps`` of rows that are named by columns ``keys``."""
     bench = _hashes(items.where("text is not null"), "item_id").where("size(h) > 0").distinct()
     bench = common.written(bench.withColumn("item", F.monotonically_increasing_id()), "items")
     short = _short_seeds({r["n"] for r in bench.select(F.expr(f"least(size(h), {WINDOW})").alias("n")).distinct().collect()})
@@ -111,14 +116,14 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         every = every.union(seeded.where(F.size("h").isin(lengths)).select("item", F.posexplode(column).alias("at", "seed")))
     seeds = common.written(every, "item-seeds")
     filter_bits = common.written(_filter_row(seeds), "seed-filter")
-    tested = _seeded(_hashes(docs, "doc_id"), short).withColumn("bits", filter_bits.scalar())
+    tested = _seeded(_hashes(docs, *keys), short).withColumn("bits", filter_bits.scalar())
     found = {"pa": _passing("a"), "pb": _passing("b")}
     found |= {f"p{c}": _passing_once(c) if c.startswith("w") else _passing(c) for c in short}
-    tested = tested.select("doc_id", "h", *(F.expr(e).alias(c) for c, e in found.items()))
-    left = tested.select("doc_id", "h", F.concat(*found).alias("passing"))
+    tested = tested.select(*keys, "h", *(F.expr(e).alias(c) for c, e in found.items()))
+    left = tested.select(*keys, "h", F.concat(*found).alias("passing"))
     # A filter here would be pushed below the projections, and every hash computed again for it: words of
     # documents without hits are set to null instead, and their rows are left out when read back.
-    left = left.select("doc_id", F.expr("CASE WHEN size(passing) > 0 THEN h END").alias("h"), "passing")
+    left = left.select(*keys, F.expr("CASE WHEN size(passing) > 0 THEN h END").alias("h"), "passing")
     left = common.written(left.withColumn("row", F.monotonically_increasing_id()), "seeded-documents").where("size(passing) > 0")
     hits = (
         left.select("row", F.explode("passing").alias("p"))
@@ -128,22 +133,28 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         .distinct()
     )
     hits = common.written(hits, "alignments")
-    aligned = hits.join(left.select("row", "doc_id", "h"), "row").join(bench.withColumnRenamed("h", "q"), "item")
+    aligned = hits.join(left.select("row", *keys, "h"), "row").join(bench.withColumnRenamed("h", "q"), "item")
     equal = "transform(q, (w, j) -> CASE WHEN j + shift >= 0 AND get(h, cast(j + shift as int)) = w THEN 1 ELSE 0 END)"
-    aligned = aligned.select("row", "item_id", "doc_id", F.expr(equal).alias("e"), F.expr(f"least({WINDOW}, size(q))").alias("window"))
+    aligned = aligned.select("row", "item_id", *keys, F.expr(equal).alias("e"), F.expr(f"least({WINDOW}, size(q))").alias("window"))
     best = "array_max(transform(sequence(0, size(e) - window), k -> aggregate(slice(e, k + 1, window), 0, (x, y) -> x + y)))"
-    judged = aligned.select("row", "doc_id", "item_id", "window", F.expr(best).alias("matched"))
+    judged = aligned.select("row", *keys, "item_id", "window", F.expr(best).alias("matched"))
     judged = judged.where(F.col("matched") >= F.lit(AGREE) * F.col("window"))
-    return judged.groupBy("doc_id", "item_id").agg(
+    return judged.groupBy(*keys, "item_id").agg(
         F.max("matched").cast("long").alias("matched"), F.max("window").cast("long").alias("window")
     )
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that overlap no item."""
-    found = common.written(overlaps(docs, items), "overlaps")
-    bad = found.select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """The rows of ``docs``, with all their columns, whose text overlaps no item.
+
+    Rows are judged by their texts (two hashes), whatever their doc_ids: a clean row stays though another row of its doc_id, or
+    another without one, overlaps.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keys = {"__text_a": F.xxhash64(text), "__text_b": F.xxhash64(text, F.lit(1))}
+    named = docs.select(*(c.alias(n) for n, c in keys.items()), F.col("text"))
+    bad = common.written(_overlaps(named, items, list(keys)).select(*keys).distinct(), "overlaps")
+    return docs.withColumns(keys).join(bad, list(keys), "left_anti").drop(*keys)
 
 
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

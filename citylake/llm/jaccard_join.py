@@ -20,7 +20,7 @@ Result: one row per document: doc_id, class_id (smallest doc_id of the class), n
 documents with at least that similarity, copies counted) and n_copies (documents with the
 same shingle set). Defined results: null or empty texts have class_id = doc_id and no
 links; repeated rows count as copies; a null doc_id is never the smallest; extra columns are
-ignored; an empty table gives an empty result.
+ignored; an empty table gives an empty result. Rows that share a doc_id, or have none, are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citylake.llm import common
@@ -46,6 +46,9 @@ TARGET_RECALL = 0.9999
 TILE = 256
 PACK = 64
 
+#: Stands for a null doc_id where the smallest comes first.
+_LAST = (1 << 63) - 1
+
 
 def prefix_length(similarity: float = SIMILARITY, trees: int = TREES, path: int = PATH, target: float = TARGET_RECALL) -> int:
     """The longest shared prefix that reaches the target recall for pairs at the threshold."""
@@ -93,7 +96,7 @@ def _signatures(trees: int, length: int):
             sets = shingle_sets(texts)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(map(_digest, sets), pa.binary()), pa.array([of(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "digest", "prefixes"],
+                ["id", "digest", "prefixes"],
             )
 
     return run
@@ -172,15 +175,27 @@ def _verify(similarity: float):
 
 def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, target: float = TARGET_RECALL, tile: int = TILE) -> DataFrame:
     """doc_id, class_id, n_links and n_copies of every document."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = _classes(docs, similarity, trees, target, tile)
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def _row_key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """Two numbers by which rows with equal doc_id and text, and no others, are one: a null doc_id comes last."""
+    return F.coalesce(doc_id.cast("long"), F.lit(_LAST)), F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _classes(docs: DataFrame, similarity: float, trees: int, target: float, tile: int) -> DataFrame:
+    """The columns of ``join``, and stays: whether the row is (a copy by id and text of) the one that stands for its class."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    texts = docs.select(F.struct(doc_id.alias("doc_id"), _row_key(doc_id, text)[1].alias("hash")).alias("id"), text.alias("text"))
     length = prefix_length(similarity, trees, PATH, target)
-    signed = common.written(
-        texts.mapInArrow(_signatures(trees, length), "doc_id long, digest binary, prefixes array<long>"), "signatures"
-    )
+    schema = "id struct<doc_id: long, hash: long>, digest binary, prefixes array<long>"
+    signed = common.written(texts.mapInArrow(_signatures(trees, length), schema).select("id.*", "digest", "prefixes"), "signatures")
+    row = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("key"), "hash")
     nodes = common.written(
         signed.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.first("prefixes").alias("prefixes"))
+        .agg(F.min("doc_id").alias("first_doc"), F.min(row).alias("own"), F.count(F.lit(1)).alias("copies"), F.first("prefixes").alias("prefixes"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -208,12 +223,12 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
         "tiles",
         own.alias("tile"),
     )
-    member_nodes = nodes.select("node", "first_doc", "digest", "copies").join(members, "node")
+    member_nodes = nodes.select("node", "own", "digest", "copies").join(members, "node")
     member_nodes = common.written(member_nodes, "members")
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long"))
+    # A node meets the rows that have its first row's doc_id and text: one, however often a doc_id (or none) occurs.
     sets = (
-        texts.select(key.alias("key"), "text")
-        .join(member_nodes.select(F.coalesce("first_doc", F.lit(-(1 << 63)).cast("long")).alias("key"), "node", "digest").hint("merge"), "key")
+        texts.select(F.coalesce("id.doc_id", F.lit(_LAST)).alias("key"), F.col("id.hash").alias("hash"), "text")
+        .join(member_nodes.select("own.key", "own.hash", "node", "digest").hint("merge"), ["key", "hash"])
         .select("node", "digest", "text")
         .mapInArrow(_member_sets, "node long, shingles binary")
     )
@@ -231,13 +246,15 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
     )
     classes = components(checked.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = checked.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
-    labelled = nodes.select("node", "digest", "first_doc", "copies").join(classes, "node", "left").join(links, "node", "left")
+    labelled = nodes.select("node", "digest", "first_doc", "own", "copies").join(classes, "node", "left").join(links, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
-    first = labelled.groupBy("label").agg(F.min("first_doc").alias("class_id"))
+    first = labelled.groupBy("label").agg(F.min("first_doc").alias("class_id"), F.min("own").alias("stays"))
     final = common.written(
-        labelled.join(first, "label").select("digest", "class_id", F.coalesce("links", F.lit(0)).alias("links"), "copies"), "classes"
+        labelled.join(first, "label").select("digest", "class_id", "stays", F.coalesce("links", F.lit(0)).alias("links"), "copies"), "classes"
     )
-    return signed.select("doc_id", "digest").join(final, "digest", "left").select(
+    return signed.select("doc_id", "hash", "digest").join(final, "digest", "left").select(
+        "hash",
+        F.coalesce(F.col("stays") == row, F.lit(True)).alias("stays"),
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),
@@ -246,18 +263,20 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, ta
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that have the smallest doc_id of their class.
+    """One row of each class, with all its columns: the one with the smallest doc_id (null last), then text hash.
 
-    Rows with equal doc_id and text are one document. (Rows with one doc_id but different texts share the
-    verdict: they stay if any of them is the first of its class.)
+    Rows are told apart by doc_id and text: rows with equal doc_id and text are one document, of which one row stays;
+    rows that share a doc_id, or have none, but differ in text each have a verdict of their own. Texts without words are
+    classes of their own.
     """
-    found = common.written(join(docs), "classes-by-document")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("__doc_key")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key)
+    found = common.written(_classes(docs, SIMILARITY, TREES, TARGET_RECALL, TILE).where("stays").select("doc_id", "hash"), "classes-by-document")
+    key, mark = _row_key(F.col("doc_id"), F.col("text"))
+    null = F.col("doc_id").isNull()
+    keys = ["__doc_key", "__doc_null", "__text_hash"]
+    first = found.select(F.coalesce("doc_id", F.lit(_LAST)).alias(keys[0]), null.alias(keys[1]), F.col("hash").alias(keys[2]))
     # One shuffle of the texts serves the semi-join and the repeated rows; the join is planned alike at every size.
-    stay = docs.select("*", key).join(first.hint("merge"), "__doc_key", "left_semi")
-    text = [c for c in docs.columns if c.lower() == "text"]
-    return stay.dropDuplicates(["__doc_key", *text]).drop("__doc_key")
+    stay = docs.select("*", key.alias(keys[0]), null.alias(keys[1]), mark.alias(keys[2])).join(first.hint("merge"), keys, "left_semi")
+    return stay.dropDuplicates(keys).drop(*keys)
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -120,3 +120,15 @@ def test_items_of_1_to_14_words_match_a_search_without_seeds(spark, tmp_path):
     have = {tuple(r) for r in D.overlaps(d, i).collect()}
     assert have == want and {r[1] for r in have} == {None, 20, 22, *range(1, 15)}
     assert D.decontaminated(d, i).count() == len(docs) - len({r[0] for r in want})
+
+
+def test_rows_are_judged_by_text_not_by_doc_id(spark):
+    """Null and repeated doc_ids: only the rows that overlap go."""
+    bad = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho"
+    rows = [(None, bad), (None, "clean words of a text without an id"), (9, "another clean text"), (9, "before " + bad), (7, "clean"), (5, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__bad", D.F.lit(1))
+    items = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    got = D.decontaminated(docs, items)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
+    assert kept == sorted([r for r in rows if not r[1] or bad not in r[1]], key=repr)

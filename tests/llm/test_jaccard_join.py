@@ -66,3 +66,45 @@ def test_one_of_each_keeps_columns_and_one_row_of_a_class(edge):
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert 13 in ids and not {15, 16, 17} & set(ids)
     assert {1, 2, 3, 10, 11, 14, 23}.issubset(ids)
+
+
+def test_null_and_repeated_ids_are_told_apart_by_text(spark):
+    """Rows without an id, or with one id, have verdicts of their own, and none meets the others' nodes."""
+    import random
+
+    rng = random.Random(11)
+    base = [sentence(rng, 40) for _ in range(6)]
+    near = base[0].split()
+    near[39] = "changed"
+    rows = [(None, base[0]), (None, " ".join(near)), (None, base[1]), (None, base[1]), (4, base[2]), (4, base[3]), (4, base[3]),
+            (5, base[2]), (6, base[1]), (7, base[4]), (None, None), (None, ""), (8, None), (7, " ".join(near))]
+    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, n long").drop("n")
+    kept = sorted(((r["doc_id"], r["text"]) for r in J.one_of_each(docs).collect()), key=repr)
+    # of base[0] and its near copies the one with an id stays; of the copies of base[1] and base[2] the smallest id
+    blank = [(r["doc_id"], r["text"]) for r in J.one_of_each(docs.where("coalesce(text, '') = ''")).collect()]
+    assert sorted(blank, key=repr) == sorted({(None, None), (8, None)} & set(blank) | {(None, "")} & set(blank), key=repr) and (8, None) in blank
+    words = [r for r in kept if r[1]]
+    assert sorted(words, key=repr) == sorted([(7, " ".join(near)), (6, base[1]), (4, base[2]), (4, base[3]), (7, base[4])], key=repr)
+    got = J.join(docs).collect()
+    assert len(got) == len(rows)
+    assert {r["class_id"] for r in got if r["n_copies"] == 3} == {6}
+
+
+def test_rows_without_an_id_are_shingled_once(spark, monkeypatch):
+    """Many rows without an id: as many texts meet nodes as there are texts in candidate groups."""
+    import random
+
+    rng = random.Random(12)
+    seen = spark.sparkContext.accumulator(0)
+    plain = J._member_sets
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield from plain(iter([b]))
+
+    monkeypatch.setattr(J, "_member_sets", counted)
+    base = sentence(rng, 60).split()
+    rows = [(None, " ".join(base[:k] + ["w"] + base[k + 1 :])) for k in range(60)]
+    got = J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 60 and seen.value == 60
