@@ -208,8 +208,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pack()
 
 
-def blocks(docs: DataFrame, rest: Column | None = None) -> DataFrame:
-    """Documents packed into a written table of blocks, sorted by doc_id (null first) inside each.
+def packed(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+    """Documents packed into blocks, sorted by doc_id (null first) inside each.
 
     A null text is an empty text; a null doc_id stays null in results. ``rest`` is a column of any type
     that Arrow has (such as a struct of the other columns) that stays with its document, as it is.
@@ -219,7 +219,12 @@ def blocks(docs: DataFrame, rest: Column | None = None) -> DataFrame:
         F.col("text").cast("string").alias("text"),
         *([] if rest is None else [rest.alias("rest")]),
     )
-    return written(source.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks")
+    return source.mapInArrow(_blocks, BLOCK_SCHEMA)
+
+
+def blocks(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+    """``packed`` documents as a written table, so that every reader sees the same block numbers."""
+    return written(packed(docs, rest), "blocks")
 
 
 class Block:
