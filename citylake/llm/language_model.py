@@ -46,7 +46,7 @@ SWEEPS = 20
 ALPHA = 0.1
 SLICE_KEYS = 100_000
 #: Context counts whose gains are computed at a time.
-STEP = 1 << 16
+STEP = 1 << 13
 
 _END = common.mix(np.array([xxhash.xxh3_64_intdigest(b"\n")], np.uint64))[0]  # white space: never a word
 
