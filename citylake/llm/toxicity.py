@@ -8,14 +8,15 @@ its first 4 and 5 bytes, its last 4 bytes), and transitions link neighbouring wo
   excess in toxic documents cannot be chance (G-test, corrected for the number of features), and
   does not come from copies of one document (distinct neighbourhoods are counted too), mark the toxic tokens of toxic documents. All other tokens are clean.
 * Fitting. Weights and transitions maximise the conditional likelihood of these tags
-  (forward-backward gradients, Adam) on at most ``CRF_DOCS`` documents of either label.
+  (forward-backward gradients, Adam) on at most ``CRF_DOCS`` documents and ``CRF_WORDS`` words of either
+  label. Tasks turn these into the features that their words have; no text reaches the driver.
 * Scoring. Forward-backward marginals of every word of every document; a logistic function of
   their largest value and their sum, fitted on the same documents and weighted back to the
   label's share, is the document's score. Words whose marginal is at least one half form the
   offending spans, given as character offsets.
 
-Bounds (parameters of ``fit``): ``SAMPLE_DOCS`` labelled rows of either label, ``CRF_DOCS`` for
-the chain, ``FEATURES`` features. Scoring is one pass over documents without a shuffle.
+Bounds (parameters of ``fit``): ``SAMPLE_DOCS`` labelled rows of either label that have a document, ``CRF_DOCS`` and
+``CRF_WORDS`` for the chain, ``FEATURES`` features. Scoring is one pass over documents without a shuffle.
 
 Defined results: a null or empty text has no word and scores like a text without toxic words;
 missing, null or repeated labels: a document is toxic if any of its rows says so, rows with null
@@ -34,14 +35,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylake.llm import common
 
 THRESHOLD = 0.3
 SAMPLE_DOCS = 10_000
-CRF_DOCS = 800
+CRF_DOCS = 1500
+#: Words of either label's documents for the chain, in all; a longer document is not drawn.
+CRF_WORDS = 1 << 20
 FEATURES = 20_000
 ROUNDS = 25
 #: Longer texts are scored in the same way; this is only how many bytes are scored at once.
@@ -171,22 +174,46 @@ def _contexts(candidates: set[bytes]):
     return run
 
 
+MARKED_SCHEMA = "draw long, doc_id long, toxic int, n_words long, places array<long>, marks array<array<int>>"
+
+
+def _marks(column: dict[bytes, int]):
+    """Documents as their number of words, and the places and feature numbers of the words that have any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([
+            ("draw", pa.int64()), ("doc_id", pa.int64()), ("toxic", pa.int32()), ("n_words", pa.int64()),
+            ("places", pa.list_(pa.int64())), ("marks", pa.list_(pa.list_(pa.int32()))),
+        ])
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                ws = common.text_bytes(row.column(3))[0].translate(_FOLD).split()
+                own = {w: [column[f] for f in features(w) if f in column] for w in set(ws)}
+                places = [k for k, w in enumerate(ws) if own[w]]
+                values = [*(row.column(k).to_pylist()[0] for k in range(3)), len(ws), places, [own[ws[k]] for k in places]]
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+
+    return run
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic 0/1), one row per labelled doc_id."""
-    return (
+    """(doc_id, toxic 0/1), one row per labelled doc_id that has a document."""
+    known = (
         labels.where("toxic is not null and doc_id is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
+    return known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
 
 
 def held_out(doc_id) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, crf_docs: int = CRF_DOCS, n_features: int = FEATURES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, crf_docs: int = CRF_DOCS, crf_words: int = CRF_WORDS, n_features: int = FEATURES) -> Model:
     """Learn from the labelled rows that are not held out."""
-    known = labelled(docs, labels).where(~held_out("doc_id"))
+    known = common.written(labelled(docs, labels).where(~held_out("doc_id")), "known")
     share = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     rate = min(max(share.get(1, 0) / max(1, sum(share.values())), 1e-9), 1 - 1e-9)
     constant = Model(scale=(math.log(rate / (1 - rate)), 0.0, 0.0))
@@ -221,27 +248,40 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, crf_
         return 2 * (toxic * math.log((toxic + 1e-9) / ((toxic + clean) * p)) + clean * math.log((clean + 1e-9) / ((toxic + clean) * (1 - p))))
 
     evidence = [f for r in candidates if excess(r["clean"], min(r["toxic"], spread.get(f := bytes(r["feature"]), 0)) or 1e-9) > level]
-    rows = [
-        sample.where(F.col("toxic") == k).orderBy(F.xxhash64(F.col("doc_id") + 1), "doc_id").limit(crf_docs).select("toxic", "text").collect()
-        for k in (0, 1)
-    ]
-    if not any(rows):
-        return constant  # labels of other documents only
-    y = np.array([r["toxic"] for part in rows for r in part], np.int64)
-    texts_ = [(r["text"] or "").encode("utf-8", "surrogatepass") for part in rows for r in part]
-    weight = np.array([share[k] / max(1, len(rows[k])) for k in y])
-    return _train(texts_, y, weight / weight.mean(), evidence)
-
-
-def _train(texts: list[bytes], y: np.ndarray, weight: np.ndarray, evidence: list[bytes]) -> Model:
-    words = _Words(texts)
-    column = {f: k for k, f in enumerate(evidence)}
-    pairs = [(k, column[f]) for k, w in enumerate(words.vocabulary) for f in features(w) if f in column]
-    word_of, feature_of = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.empty(0, np.int64),) * 2
-    hit = np.zeros(len(words.vocabulary), bool)
-    hit[word_of] = True
-    doc_of = np.repeat(np.arange(len(texts)), words.lengths)
-    tag = (hit[words.ids] & (y[doc_of] == 1)).astype(np.float64) if len(words.ids) else np.empty(0)
+    drawn = sample.select(F.xxhash64(F.col("doc_id") + 1).alias("draw"), "doc_id", "toxic", "text")
+    marked = drawn.mapInArrow(_marks({f: k for k, f in enumerate(evidence)}), MARKED_SCHEMA).where(F.col("n_words") <= crf_words)
+    marked = common.written(marked, "marked")
+    first = [marked.where(F.col("toxic") == k).orderBy("draw", "doc_id").limit(crf_docs) for k in (0, 1)]
+    # A running sum over at most crf_docs rows of either label.
+    so_far = F.sum("n_words").over(Window.partitionBy("toxic").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    rows = first[0].union(first[1]).withColumn("so_far", so_far).where(F.col("so_far") <= crf_words).orderBy("toxic", "draw", "doc_id").collect()
+    if not rows:
+        return constant
+    y = np.array([r["toxic"] for r in rows], np.int64)
+    weight = np.array([share[k] for k in y]) / np.bincount(y, minlength=2)[y]
+    return _train(_Chain(rows), y, weight / weight.mean(), evidence)
+
+
+class _Chain:
+    """Documents as numbers: words with the same features are one kind, kind 0 has none."""
+
+    def __init__(self, rows: list):
+        self.lengths = np.array([r["n_words"] for r in rows], np.int64)
+        self.ends = np.cumsum(self.lengths)
+        self.starts = self.ends - self.lengths
+        kinds: dict[tuple[int, ...], int] = {(): 0}
+        self.ids = np.zeros(int(self.ends[-1]), np.int64)
+        for r, start in zip(rows, self.starts.tolist()):
+            for k, m in zip(r["places"], r["marks"]):
+                self.ids[start + k] = kinds.setdefault(tuple(m), len(kinds))
+        self.n_kinds = len(kinds)
+        pairs = [(k, f) for m, k in kinds.items() for f in m]
+        self.kind_of, self.feature_of = np.array(pairs, np.int64).reshape(-1, 2).T
+
+
+def _train(words: _Chain, y: np.ndarray, weight: np.ndarray, evidence: list[bytes]) -> Model:
+    doc_of = np.repeat(np.arange(len(y)), words.lengths)
+    tag = ((words.ids > 0) & (y[doc_of] == 1)).astype(np.float64)
     inner = np.ones(len(tag), bool)
     inner[(words.ends - 1)[words.lengths > 0]] = False
     at = np.flatnonzero(inner)
@@ -250,20 +290,23 @@ def _train(texts: list[bytes], y: np.ndarray, weight: np.ndarray, evidence: list
     x = np.concatenate([np.full(len(evidence), 4.0), [-6.0], np.log((gold + 1) / (gold + 1).sum())])
     first, second = np.zeros_like(x), np.zeros_like(x)
     model = Model()
+
+    def chances(x: np.ndarray) -> np.ndarray:
+        score = np.bincount(words.kind_of, x[words.feature_of], words.n_kinds) + x[len(evidence)]
+        return np.exp(np.clip(score, -30, 30))[words.ids]
+
     for step in range(1, ROUNDS + 1):
-        score = np.bincount(word_of, x[feature_of], len(words.vocabulary)) + x[len(evidence)]
-        odds = np.exp(np.clip(score[words.ids], -30, 30)) if len(words.ids) else np.empty(0)
+        odds = chances(x)
         transition = tuple(np.exp(x[-4:] - x[-4:].max()))
         marginal, seen = forward_backward(odds, words.starts, words.lengths, transition)
-        error = np.bincount(words.ids, tag - marginal, len(words.vocabulary)) if len(words.ids) else np.zeros(0)
-        gradient = np.concatenate([np.bincount(feature_of, error[word_of], len(evidence)), [error.sum()], gold - seen])
+        error = np.bincount(words.ids, tag - marginal, words.n_kinds)
+        gradient = np.concatenate([np.bincount(words.feature_of, error[words.kind_of], len(evidence)), [error.sum()], gold - seen])
         gradient -= 0.01 * x
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         x = x + 0.3 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         model = Model(dict(zip(evidence, x[: len(evidence)].tolist())), float(x[len(evidence)]), tuple(np.exp(x[-4:] - x[-4:].max()).tolist()))
-    odds = np.exp(np.clip(model.emission(words.vocabulary)[words.ids], -30, 30)) if len(words.ids) else np.empty(0)
-    marginal = model.marginals(odds, words.starts, words.lengths)
+    marginal = model.marginals(chances(x), words.starts, words.lengths)
     top, total = _summary(marginal, words.starts, words.lengths)
     design = np.stack([np.ones(len(y)), top, np.log1p(total)], axis=1)
     beta, penalty = np.zeros(3), np.diag([1e-3, 0.05, 0.05])

@@ -91,3 +91,33 @@ def test_no_labels_of_both_kinds_and_empty_table(spark, empty):
     one = spark.createDataFrame([(1, "any text")], "doc_id long, text string")
     assert T.score(one, model).first().score < 1e-6
     assert T.score(one, T.fit(one, labels.limit(0))).first().score < 1e-6
+
+
+def test_labels_without_documents_take_no_place_in_the_sample(corpus, spark):
+    docs, labels = corpus
+    absent = spark.range(200_000, 203_000).selectExpr("id AS doc_id", "1 AS quality", "cast(id % 2 as int) AS toxic")
+    assert T.fit(docs, labels.union(absent), sample_docs=300) == T.fit(docs, labels, sample_docs=300)
+
+
+def test_the_chain_is_bounded_in_documents_and_words(corpus):
+    docs, labels = corpus
+    model = T.fit(docs, labels, crf_docs=60, crf_words=1_500)
+    rows = T.score(docs, model).where("doc_id < 700").collect()
+    assert sum((r.score >= T.THRESHOLD) == (r.doc_id % 7 == 0) for r in rows) / len(rows) > 0.95
+    assert T.score(docs, T.fit(docs, labels, crf_words=1)).count() == docs.count()
+
+
+def test_fit_reaches_a_gradient_of_zero_by_enumeration():
+    """The chain's expected tags and transitions, added up over all tag sequences, meet the given tags after many rounds."""
+    rows = [{"n_words": n, "places": p, "marks": [[0]] * len(p)} for n, p in ((5, [1, 2]), (4, []), (3, [0]), (4, [2]))]
+    y = np.array([1, 0, 1, 0])
+    before, T.ROUNDS = T.ROUNDS, 3000
+    try:
+        model = T._train(T._Chain(rows), y, np.ones(4), [b"wx"])
+    finally:
+        T.ROUNDS = before
+    odds = [np.exp([model.bias + model.weights[b"wx"] * (k in r["places"]) for k in range(r["n_words"])]) for r in rows]
+    marginals = [enumerate_marginals(o, model.transition) for o in odds]
+    seen = sum(m[r["places"]].sum() for m, r in zip(marginals, rows))
+    # Three marked words of toxic documents are toxic, the marked word of the clean one is not; 0.01 x is the penalty.
+    assert abs(3 - seen - 0.01 * model.weights[b"wx"]) < 0.02
