@@ -46,7 +46,7 @@ GRAM = 8
 #: Longest run of windows in one passage; longer runs are cut, which changes no answer.
 RUN = 32
 #: Places from which on an anchor's windows are dealt one by one; either way gives the same answers.
-HOT_PLACES = 20_000
+HOT_PLACES = 2_000
 #: Anchor hashes in a slice and passages in a shard, about.
 SLICE_KEYS = 400_000
 SHARD_PASSAGES = 4_000
