@@ -71,6 +71,7 @@ class _Anchored:
         self.valid = np.zeros(self.n, bool)
         self.anchor = np.empty(0, np.uint64)
         self.chosen = np.empty(0, np.uint64)
+        self._keys: tuple[np.ndarray, np.ndarray] | None = None
         if not self.n:
             return
         last = np.repeat(t.ends, t.lengths)[: self.n]
@@ -85,7 +86,9 @@ class _Anchored:
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct anchors, mixed and sorted; the number of places each has here."""
-        return np.unique(common.mix(self.chosen), return_counts=True)
+        if self._keys is None:
+            self._keys = np.unique(common.mix(self.chosen), return_counts=True)
+        return self._keys
 
     def passages(self, recurring: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First window, number of windows and key of each run of windows with one recurring anchor."""
