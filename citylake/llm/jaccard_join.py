@@ -4,13 +4,16 @@ Documents are linked if the Jaccard similarity of their sets of ``SHINGLE``-word
 at least ``SIMILARITY``. A text of fewer words is one shingle; a text without words has no
 link. Copies (equal shingle sets) are one node from the start.
 
-1. Each node gets a MinHash signature, read as ``TREES`` paths. In every tree the paths form
-   a prefix trie; two nodes are candidates if they share a prefix of some length in some
-   tree. The length starts at the full path and is shortened until the chance that a pair
-   at the threshold shares one reaches ``TARGET_RECALL`` (``prefix_length``); pairs above the
-   threshold are found more surely still.
-2. A trie node links its members to its smallest member (a combined minimum and a join, never
-   all pairs), and connected components of these edges are the candidate groups.
+1. Each node gets a MinHash signature, read as ``TREES`` paths of ``PATH`` values, the keys of as many
+   prefix tries. The deepest trie nodes are the equal paths; a shorter prefix's node is made from the
+   nodes one value deeper, so a large group goes up as one row a tree (``_level``). A trie node links
+   its children to the smallest node below it (a combined minimum and a join, never all pairs).
+2. Prefixes start at the full path and are shortened by one value a round until the recall reaches
+   ``TARGET_RECALL``, as estimated from the pairs met so far: a pair whose signatures agree in a
+   share s of their values would be met with probability 1 - (1 - s^length)^trees, so it stands for
+   one over that many links (``recall``). One more pair at the threshold keeps small tables careful. At
+   ``prefix_length`` values every pair at the threshold is met with that probability, whatever the
+   table holds, and shortening ends. Connected components of the links are the candidate groups.
 3. Every pair inside a candidate group is verified exactly on the shingle sets. Groups are
    dealt in tiles of about ``TILE`` nodes; a task holds two tiles, whatever the group's size,
    and returns one count per node and a spanning forest of the verified links, not pairs.
@@ -25,7 +28,6 @@ ignored; an empty table gives an empty result. Rows that share a doc_id, or have
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ from citylake.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-TREES = 24
+TREES = 32
 PATH = 8
 TARGET_RECALL = 0.9999
 #: Nodes of a large group in a tile, and of small groups together in a pack, about.
@@ -51,7 +53,7 @@ _LAST = (1 << 63) - 1
 
 
 def prefix_length(similarity: float = SIMILARITY, trees: int = TREES, path: int = PATH, target: float = TARGET_RECALL) -> int:
-    """The longest shared prefix that reaches the target recall for pairs at the threshold."""
+    """The longest shared prefix that reaches the target recall for pairs at the threshold: the last round's."""
     length = path
     while length > 1 and 1 - (1 - similarity**length) ** trees < target:
         length -= 1
@@ -75,33 +77,96 @@ def _digest(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-def _signatures(trees: int, length: int):
+def met(similarity: np.ndarray | float, length: int, trees: int) -> np.ndarray | float:
+    """The chance that a pair shares a prefix of that length in some tree."""
+    return 1 - (1 - np.asarray(similarity, np.float64) ** length) ** trees
+
+
+def recall(agreeing: dict[int, int], values: int, length: int, trees: int, similarity: float) -> float:
+    """The share of links that prefixes of this length meet, from the pairs met and the values (of ``values``) they agree in."""
+    n = np.array(list(agreeing.values()), np.float64)
+    s = np.array(list(agreeing), np.float64) / values
+    n, s = n[s >= similarity], s[s >= similarity]
+    found = n.sum()
+    missed = (n * (1 / met(s, length, trees) - 1)).sum() + (1 / float(met(similarity, length, trees)) - 1)
+    return float(found / (found + missed)) if found else 0.0
+
+
+def _signatures(trees: int, path: int):
     rng = np.random.default_rng(7)
-    factor = (rng.integers(1, 1 << 32, trees * length, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
-    offset = rng.integers(0, 1 << 32, trees * length, np.uint64).astype(np.uint32)[:, None]
+    factor = (rng.integers(1, 1 << 32, trees * path, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
+    offset = rng.integers(0, 1 << 32, trees * path, np.uint64).astype(np.uint32)[:, None]
 
-    def of(shingles: np.ndarray) -> list[int]:
-        """The prefix of each tree's path, as one number."""
+    def of(shingles: np.ndarray) -> bytes:
+        """The paths of all trees, two bytes a value."""
         x = (shingles >> np.uint64(32)).astype(np.uint32)
-        low = np.full(trees * length, 0xFFFFFFFF, np.uint32)
+        low = np.full(trees * path, 0xFFFFFFFF, np.uint32)
         for at in range(0, len(x), 2048):
             h = x[None, at : at + 2048] * factor
             h += offset
             np.minimum(low, h.min(axis=1), out=low)
-        path = low.reshape(trees, length)
-        return [xxhash.xxh3_64_intdigest(struct.pack("<i", k) + row.tobytes()) - (1 << 63) for k, row in enumerate(path)]
+        return common.mix(low.astype(np.uint64)).astype(">u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in common.chunked(batches):
             sets = shingle_sets(texts)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(map(_digest, sets), pa.binary()), pa.array([of(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["id", "digest", "prefixes"],
+                [ids, pa.array(map(_digest, sets), pa.binary()), pa.array([of(s) if len(s) else None for s in sets], pa.binary())],
+                ["id", "digest", "paths"],
             )
 
     return run
 
 
+def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many values of two signatures are equal, counted over a batch's pairs."""
+    for batch in batches:
+        one, other = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in batch.columns)
+        values, n = np.unique((one == other).sum(axis=1), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(values, pa.int32()), pa.array(n, pa.int64())], ["agreeing", "n"])
+
+
+def _level(below: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """The trie nodes (tree, prefix, head: the smallest node below) of a length, and links from the children's heads to theirs."""
+    prefix = F.substring("prefix", 1, 2 * length)
+    nodes = common.written(
+        below.groupBy("tree", prefix.alias("prefix")).agg(F.min("head").alias("head"), F.count(F.lit(1)).alias("children")), f"trie-{length}"
+    )
+    parents = nodes.where("children > 1").select("tree", "prefix", F.col("head").alias("b"))
+    links = below.select("tree", prefix.alias("prefix"), F.col("head").alias("a")).join(parents, ["tree", "prefix"]).where("a <> b")
+    return nodes.drop("children"), common.written(links.groupBy("a").agg(F.sort_array(F.collect_set("b")).alias("heads")), "trie-links")
+
+
+def candidates(nodes: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, target: float = TARGET_RECALL, path: int = PATH) -> tuple[DataFrame, int]:
+    """Links (a, b) whose components are the candidate groups of ``nodes`` (node, paths), and the length of the last round.
+
+    A node has one link to its smallest head of a round; its other heads (one a tree at most) hang on that one too.
+    """
+    paths = nodes.select("node", "paths")
+    level = paths.select(
+        F.col("node").alias("head"),
+        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring(F.col("paths"), t * (2 * path) + 1, F.lit(2 * path)))).alias("tree", "prefix"),
+    )
+    links: DataFrame | None = None
+    agreeing: dict[int, int] = {}
+    last = prefix_length(similarity, trees, path, target)
+    for length in range(path, last - 1, -1):
+        level, hung = _level(level, length)
+        top = F.element_at("heads", 1)
+        stars = hung.select("a", top.alias("b")).union(hung.select(F.explode(F.expr("slice(heads, 2, size(heads))")).alias("a"), top.alias("b")).distinct())
+        links = stars if links is None else links.union(stars)
+        if length > last:
+            one = paths.select(F.col("node").alias("a"), F.col("paths").alias("one"))
+            other = paths.select(F.col("node").alias("b"), F.col("paths").alias("other"))
+            pairs = hung.select("a", top.alias("b")).join(one, "a").join(other, "b").select("one", "other")
+            seen = pairs.mapInArrow(_agreement, "agreeing int, n long").groupBy("agreeing").agg(F.sum("n").alias("n"))
+            for r in seen.collect():  # a row per number of agreeing values
+                agreeing[r["agreeing"]] = agreeing.get(r["agreeing"], 0) + r["n"]
+            if recall(agreeing, trees * path, length, trees, similarity) >= target:
+                break
+    return links, length
+
+
 def _member_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingle sets of the nodes' first documents (digest told apart if doc_ids repeat)."""
     for batch in batches:
@@ -188,27 +253,17 @@ def _classes(docs: DataFrame, similarity: float, trees: int, target: float, tile
     """The columns of ``join``, and stays: whether the row is (a copy by id and text of) the one that stands for its class."""
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     texts = docs.select(F.struct(doc_id.alias("doc_id"), _row_key(doc_id, text)[1].alias("hash")).alias("id"), text.alias("text"))
-    length = prefix_length(similarity, trees, PATH, target)
-    schema = "id struct<doc_id: long, hash: long>, digest binary, prefixes array<long>"
-    signed = common.written(texts.mapInArrow(_signatures(trees, length), schema).select("id.*", "digest", "prefixes"), "signatures")
+    schema = "id struct<doc_id: long, hash: long>, digest binary, paths binary"
+    signed = common.written(texts.mapInArrow(_signatures(trees, PATH), schema).select("id.*", "digest", "paths"), "signatures")
     row = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("key"), "hash")
     nodes = common.written(
         signed.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_doc"), F.min(row).alias("own"), F.count(F.lit(1)).alias("copies"), F.first("prefixes").alias("prefixes"))
+        .agg(F.min("doc_id").alias("first_doc"), F.min(row).alias("own"), F.count(F.lit(1)).alias("copies"), F.first("paths").alias("paths"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    prefixes = nodes.select("node", F.explode("prefixes").alias("prefix"))
-    heads = prefixes.groupBy("prefix").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    heads = common.written(heads.select("prefix", "head"), "trie-nodes")
-    # A node hangs on its smallest head; its other heads (TREES at most) hang on that one too.
-    hung = prefixes.join(heads, "prefix").groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))
-    hung = common.written(hung.select("node", F.element_at("heads", 1).alias("top"), F.expr("slice(heads, 2, size(heads))").alias("rest")), "heads")
-    stars = hung.select(F.col("node").alias("a"), F.col("top").alias("b")).union(
-        hung.where("size(rest) > 0").select("rest", "top").distinct().select(F.explode("rest").alias("a"), F.col("top").alias("b")).distinct()
-    )
-    groups = components(stars)
+    groups = components(candidates(nodes, similarity, trees, target)[0])
 
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     tiles = F.ceil(F.col("size") / F.lit(tile))

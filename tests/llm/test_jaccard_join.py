@@ -37,6 +37,49 @@ def test_prefix_length_reaches_the_target_recall():
     assert J.prefix_length(1.0) == J.PATH
 
 
+def test_recall_follows_the_pairs_met():
+    sure, near = {256: 10_000}, {256: 10_000, 206: 5_000}
+    assert J.recall(sure, 256, 8, 32, 0.8) > 0.9999 > J.recall(near, 256, 8, 32, 0.8)
+    assert J.recall(near, 256, 6, 32, 0.8) > 0.9999
+    assert J.recall({100: 50}, 256, 8, 32, 0.8) == 0.0 and J.recall({}, 256, 8, 32, 0.8) == 0.0
+
+
+def nodes_of(spark, rows):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "id long, text string")
+    return df.mapInArrow(J._signatures(J.TREES, J.PATH), "id long, digest binary, paths binary").withColumnRenamed("id", "node")
+
+
+def test_prefixes_are_shortened_only_as_far_as_the_data_need(spark):
+    rng = random.Random(5)
+    plain_rows = [sentence(rng, 300) for _ in range(40)]
+    close = [" ".join([*t.split()[:-1], "end"]) for t in plain_rows]
+    links, length = J.candidates(nodes_of(spark, plain_rows + close), target=0.99)
+    assert length == J.PATH and {(r.a, r.b) for r in links.collect()} >= {(k + 40, k) for k in range(40)}
+    # no pair is met: nothing is known of the recall, prefixes go down to the sure length
+    links, length = J.candidates(nodes_of(spark, plain_rows))
+    assert links.count() == 0 and length == J.prefix_length()
+
+
+def test_candidates_hold_planted_pairs_near_the_threshold(spark):
+    """Pairs at 0.8 to 0.85, hidden among other texts: at least 99 % are in one group."""
+    rng = random.Random(8)
+    rows, pairs = [], []
+    for k in range(300):
+        words = sentence(rng, 204).split()
+        copy = list(words)
+        for at in (20, 60, 100, 140):
+            copy[at] = f"x{k}"
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [" ".join(words), " ".join(copy)]
+    sets = [shingles(t) for t in rows]
+    pairs = [(a, b) for a, b in pairs if 0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.85]
+    assert len(pairs) > 200
+    from citylake.llm.components import components
+
+    label = {r["node"]: r["label"] for r in components(J.candidates(nodes_of(spark, rows))[0]).collect()}
+    assert sum(a in label and label[a] == label.get(b) for a, b in pairs) >= 0.99 * len(pairs)
+
+
 def test_edge_rows_match_all_pairs(edge):
     assert got(J.join(edge)) == brute(plain(edge))
 
