@@ -143,6 +143,20 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI: a path without a scheme is on the session's default file system, as for Spark's own writers."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
+def _remove_unfinished(folder: str) -> None:
+    """Remove what failed or lost attempts of tasks left: files that were never given their name."""
+    fs, root = open_folder(folder)
+    for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+        if info.base_name.startswith(".part-"):
+            fs.delete_file(info.path)
+
+
 class FrameWriter:
     """Writes documents to a binary stream in this format."""
 
@@ -260,15 +274,21 @@ def _write_part(folder: str, path: str):
 
 def write(docs: DataFrame, folder: str, path: str) -> DataFrame:
     """Encode documents, write them in ascending doc_id order, return the manifest: a row per file."""
+    folder = qualified(docs.sparkSession, folder)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Rows of one doc_id, or of none, are dealt over ranges by their texts, and equal rows by where they were read.
+    order = ["doc_id", "hash", "row"]
+    keyed = source.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = ordered.mapInArrow(_write_part(folder, path), MANIFEST_SCHEMA)
     manifest.write.parquet(f"{folder.rstrip('/')}/manifest")
+    _remove_unfinished(folder)
     return docs.sparkSession.read.schema(MANIFEST_SCHEMA).parquet(f"{folder.rstrip('/')}/manifest")
 
 
 def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 per document, from the files."""
+    folder = qualified(spark, folder)
     files = sorted(manifest.collect(), key=lambda r: r["part"])  # a row per file
     starts = np.cumsum([0, *(r["ids"] for r in files)]).tolist()
     rows = [(r["file"], int(s), k) for r, s in zip(files, starts) for k in [r["frames"]]]

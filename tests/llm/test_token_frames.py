@@ -79,3 +79,32 @@ def test_reader_decompresses_only_requested_frames_and_detects_damage():
 def test_empty_table(spark, empty):
     folder = common.scratch_path(spark, "frames-empty")
     assert F.read(spark, folder, F.write(empty, folder, F.tokenizer_path())).collect() == []
+
+
+def test_rows_of_one_id_are_dealt_over_files(spark):
+    """Null and repeated doc_ids, equal rows too, are in many files, none loses a row; nothing unfinished stays."""
+    rows = [(None, f"text {k}") for k in range(400)] + [(7, "the same")] * 400 + [(k, "x") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    folder = common.scratch_path(spark, "frames-hot")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # so few rows would be joined in one range
+    try:
+        manifest = F.write(docs, folder, F.tokenizer_path())
+    finally:
+        spark.conf.unset(coalesce)
+    assert max(r.docs for r in manifest.collect()) < 400 and sum(r.docs for r in manifest.collect()) == len(rows)
+    have = F.read(spark, folder, manifest)
+    assert have.count() == len(rows) and have.where("doc_id is null").count() == 400 and have.where("doc_id = 7").count() == 401
+    ordered = [r.doc_id for r in sorted(have.collect(), key=lambda r: r.start)]
+    assert ordered == [None] * 400 + sorted(d for d, _ in rows if d is not None)
+    fs, root = F.open_folder(F.qualified(spark, folder))
+    names = [i.base_name for i in fs.get_file_info(F.pafs.FileSelector(root))]
+    assert names and not any(n.startswith(".part-") and not n.endswith(".crc") for n in names)
+
+
+def test_unfinished_files_are_removed_and_paths_get_a_scheme(spark, tmp_path):
+    (tmp_path / ".part-000001-dead").write_bytes(b"half")
+    (tmp_path / "part-000000.zst").write_bytes(b"whole")
+    F._remove_unfinished(str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["part-000000.zst"]
+    assert F.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
