@@ -4,7 +4,8 @@ Rules (host and path prefix, the longest wins) judge the urls they fit. All othe
 their host from the host graph:
 
 * *Edges.* Absolute links (``href`` and ``src`` with a host) point from a page's host to the host named, weighted by
-  the number of pages; a host and its parent domain, where both occur, point to one another.
+  the number of pages; a host and its parent domain point to one another, and so on up to the last label,
+  whether or not the domains above have pages of their own.
 * *Seeds.* A host's trust seed is its number of pages that rules allow, its distrust seed the number they block.
 * *Propagation.* Trust is personalised PageRank from the trust seeds along the edges; distrust is the same from
   the distrust seeds along reversed edges, so it reaches hosts that point to blocked ones. Both run in one
@@ -73,9 +74,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
         F.col("host").alias("src"), F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_LINK), 1))).alias("dst")
     )
     links = links.select("src", _lowered(F.col("dst")).alias("dst"))
-    hosts = pages.where("host <> ''").select("host").distinct()
-    child = hosts.select("host", F.expr("regexp_replace(host, '^[^.]*[.]?', '')").alias("parent")).where("parent <> ''")
-    family = child.join(hosts.select(F.col("host").alias("parent")), "parent").select(F.col("host").alias("src"), F.col("parent").alias("dst"))
+    labels = pages.where("host <> ''").select("host").distinct().select(F.split("host", "[.]").alias("l"))
+    domains = labels.select(F.expr("explode(transform(sequence(1, size(l)), i -> array_join(slice(l, i, size(l)), '.')))").alias("src")).distinct()
+    family = domains.select("src", F.expr("regexp_replace(src, '^[^.]*[.]?', '')").alias("dst")).where("src <> '' AND dst <> ''")
     family = family.union(family.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return links.union(family).where("src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
@@ -154,10 +155,9 @@ WITH rows_ AS MATERIALIZED (
   FROM pages
 ),
 ruled AS MATERIALIZED (SELECT page_id, html, host, path, {rule} AS rule, {ruled} AS ruled FROM rows_),
-hosts AS (SELECT DISTINCT host FROM ruled WHERE host <> ''),
-family AS (
-  SELECT c.host AS a, p.host AS b FROM hosts c JOIN hosts p ON p.host = regexp_replace(c.host, '^[^.]*[.]?', '') WHERE p.host <> ''
-),
+labels AS (SELECT DISTINCT string_split(host, '.') AS l FROM ruled WHERE host <> ''),
+domains AS (SELECT DISTINCT array_to_string(l[i:], '.') AS a FROM (SELECT l, unnest(range(1, len(l) + 1)) AS i FROM labels)),
+family AS (SELECT a, regexp_replace(a, '^[^.]*[.]?', '') AS b FROM domains WHERE a <> '' AND regexp_replace(a, '^[^.]*[.]?', '') <> ''),
 links AS (
   SELECT host AS a, translate(unnest(list_distinct(regexp_extract_all(html, '{link}', 1))), '{up}', '{low}') AS b FROM ruled WHERE host <> ''
   UNION ALL SELECT a, b FROM family UNION ALL SELECT b, a FROM family

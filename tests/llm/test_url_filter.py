@@ -55,6 +55,17 @@ def test_sql_gives_the_same(spark, tmp_path):
     assert sorted(str(tuple(r)) for r in out) == want
 
 
+def test_hosts_hang_on_all_domains_above_them(spark):
+    """Domains without pages of their own link hosts: distrust reaches a host that has no seed and no link."""
+    rows = [(1, "http://a.x.org/fr/", None), (2, "http://b.x.org/", None), (3, "http://c.y.info/", None)]
+    edges = {(r.src, r.dst) for r in U.host_edges(U.located(pages(spark, [(*r,) for r in rows]))).collect()}
+    up = {("a.x.org", "x.org"), ("b.x.org", "x.org"), ("x.org", "org"), ("c.y.info", "y.info"), ("y.info", "info")}
+    assert edges == up | {(b, a) for a, b in up}
+    rules = (("a.x.org", "/fr/", "block"),)
+    have = {r.page_id: (r.rule, r.verdict) for r in U.judged(pages(spark, rows), rules).collect()}
+    assert have == {1: ("a.x.org/fr/", "block"), 2: (None, "block"), 3: (None, "allow")}
+
+
 def test_propagation_equals_power_iteration(spark):
     edges = [("a", "b", 2.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "c", 3.0)]
     seeds = [("a", 3, 0), ("c", 1, 0), ("d", 0, 2)]
