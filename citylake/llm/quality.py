@@ -1,17 +1,17 @@
 """Quality rules with adaptive thresholds, with DataFrame operations only.
 
 Each text's measures (mean word length, symbols per word, share of repeated lines) go into quantile
-sketches per language and source. Sketches merge: partial sketches per task make a group's, groups' make
-a language's, languages' make the whole table's. A group with fewer than ``LEAST`` texts takes the
-thresholds of its language, a language with fewer those of the table. Thresholds are fences around the
-middle half: ``FENCE`` times its width (at least ``FLOOR`` of the measure) beyond either quartile. They are
-joined back by language and source, and a text is kept if it passes the base rules and all fences.
-
-A hot source costs one sketch per task before the shuffle; the threshold join has one row per
+sketches per language and source. A sketch counts values in bins whose bounds grow by ``GROWTH``, so a
+quantile is off by ``ACCURACY`` of its value at most; whatever the order of rows and tasks, counts add up to the
+same sketch, and thresholds are the same in every run. Sketches merge: a group's make a language's, languages'
+make the whole table's. A group with fewer than ``LEAST`` texts takes the thresholds of its language, a
+language with fewer those of the table. Thresholds are fences around the middle half: ``FENCE`` times its width
+(at least ``FLOOR`` of the measure) beyond either quartile. They are joined back by language and source, and a
+text is kept if it passes the base rules and all fences.
+
+A hot source costs its bins (some hundred) per task before the shuffle; the threshold join has one row per
 language and source and is left to Spark's size-based choice, with skewed partitions split.
 
-Sketches keep up to ``K`` values exactly and have a rank error of about 1/K beyond.
-
 Defined results: a null or empty text has no words and fails the base rules; it enters no sketch. Null
 languages and sources are groups of their own. Repeated rows are judged alike, extra columns are ignored by
 ``judged``; an empty table gives an empty result.
@@ -19,17 +19,23 @@ languages and sources are groups of their own. Repeated rows are judged alike, e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylake.llm import common
 
 LEAST = 100
 FENCE = 4.0
-K = 4096
+#: Largest relative error of a quantile; the bounds of a bin differ by the factor GROWTH.
+ACCURACY = 0.005
+GROWTH = (1 + ACCURACY) / (1 - ACCURACY)
 #: Smallest width of the middle half of each measure that fences are made from.
 FLOOR = {"word_length": 0.4, "symbols": 0.05, "repeated_lines": 0.1}
 
+_LOG = repr(math.log(GROWTH))
+_MIDDLE = f"CASE WHEN bin IS NULL THEN 0.0D ELSE 2D * power({GROWTH!r}D, bin) / ({GROWTH!r}D + 1D) END"
 _SPACE = "[ \\\\t-\\\\r]"
 
 
@@ -85,26 +91,31 @@ def _measures(df: DataFrame) -> DataFrame:
 def thresholds(measures: DataFrame) -> DataFrame:
     """lang, source, and low and high of each measure, for every language and source."""
     names = list(FLOOR)
-    sketches = common.written(
-        measures.groupBy("lang", "source").agg(
-            F.count("word_length").alias("n"), *(F.expr(f"kll_sketch_agg_double({m}, {K})").alias(m) for m in names)
-        ),
-        "sketches",
-    )
-    merged = [F.sum("n").alias("n"), *(F.expr(f"kll_merge_agg_double({m}, {K})").alias(m) for m in names)]
-    langs = sketches.groupBy("lang").agg(*merged)
-    total = sketches.agg(*merged)
+    each = measures.select("lang", "source", F.expr(f"stack({len(names)}, {', '.join(f'{m!r}, {m}' for m in names)}) as (measure, value)"))
+    # Bin k holds values up to GROWTH^k; zeros have the null bin, which comes first.
+    binned = each.where("value is not null").withColumn("bin", F.expr(f"CASE WHEN value > 0 THEN cast(ceil(ln(value) / {_LOG}D) as int) END"))
+    sketches = common.written(binned.groupBy("lang", "source", "measure", "bin").agg(F.count(F.lit(1)).alias("n")), "sketches")
+    langs = sketches.groupBy("lang", "measure", "bin").agg(F.sum("n").alias("n"))
+    total = langs.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
 
     def fences(df: DataFrame, *keys: str) -> DataFrame:
-        def quartile(m: str, q: float) -> str:
-            return f"CASE WHEN n > 0 THEN kll_sketch_get_quantile_double({m}, {q}D) END"
-
-        df = df.select(*keys, "n", *(F.expr(quartile(m, q)).alias(f"{m}_{name}") for m in names for name, q in (("q1", 0.25), ("q3", 0.75))))
+        """Quartiles: the middle of the first bin up to which a quarter, or three, of the values lie."""
+        of = Window.partitionBy(*keys, "measure")
+        below = F.sum("n").over(of.orderBy(F.col("bin").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        upto = df.select(*keys, "measure", "n", F.expr(_MIDDLE).alias("value"), below.alias("below"), F.sum("n").over(of).alias("total"))
+        quartiles = upto.groupBy(*keys).agg(
+            F.max(F.when(F.col("measure") == names[0], F.col("total"))).alias("n"),
+            *(
+                F.min(F.when((F.col("measure") == m) & (4 * F.col("below") >= part * F.col("total")), F.col("value"))).alias(f"{m}_q{part}")
+                for m in names
+                for part in (1, 3)
+            ),
+        )
         out = []
         for m in names:
             width = f"{FENCE}D * greatest({m}_q3 - {m}_q1, {FLOOR[m]}D)"
             out += [F.expr(f"{m}_q1 - {width}").alias(f"{m}_low"), F.expr(f"{m}_q3 + {width}").alias(f"{m}_high")]
-        return df.select(*keys, "n", *out)
+        return quartiles.select(*keys, "n", *out)
 
     by_source = fences(sketches, "lang", "source")
     limits = [f"{m}_{side}" for m in names for side in ("low", "high")]
@@ -144,9 +155,12 @@ def op6_adaptive_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    """The same rules for DuckDB, with exact quantiles: equal wherever the sketches hold all values (up to K per group)."""
+    """The same rules for DuckDB: each value is rounded to the middle of its bin, quartiles of these are exact."""
     names = list(FLOOR)
-    quartiles = ", ".join(f"quantile_disc({m}, {q}) AS {m}_{s}" for m in names for q, s in ((0.25, "q1"), (0.75, "q3")))
+    quartiles = ", ".join(f"quantile_disc({m}_bin, {q}) AS {m}_{s}" for m in names for q, s in ((0.25, "q1"), (0.75, "q3")))
+    middles = ", ".join(
+        f"CASE WHEN {m} > 0 THEN 2 * power({GROWTH!r}::DOUBLE, ceil(ln({m}) / {_LOG}::DOUBLE)) / ({GROWTH!r}::DOUBLE + 1) ELSE {m} END AS {m}_bin" for m in names
+    )
 
     def fences(pre: str) -> str:
         out = []
@@ -175,11 +189,12 @@ counts AS MATERIALIZED (
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
   FROM texts x JOIN split s USING (id) LEFT JOIN repeated r USING (id)
 ),
-d AS MATERIALIZED (
+measures AS (
   SELECT *, word_chars / nullif(n_words, 0)::DOUBLE AS word_length, n_symbols / nullif(n_words, 0)::DOUBLE AS symbols,
          n_dup_lines / nullif(n_lines, 0)::DOUBLE AS repeated_lines
   FROM counts
 ),
+d AS MATERIALIZED (SELECT *, {middles} FROM measures),
 by_source AS (SELECT lang, source, count(word_length) AS n, {quartiles} FROM d GROUP BY lang, source),
 by_lang AS (SELECT lang, count(word_length) AS n, {quartiles} FROM d GROUP BY lang),
 whole AS (SELECT {quartiles} FROM d)

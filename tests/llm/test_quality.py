@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from llm_cases import SCHEMA, edge_rows
 
 from citylake.llm import quality as Q
@@ -59,6 +61,22 @@ def test_thresholds_follow_the_group(spark):
     assert len(rows) == df.count()
 
 
+def test_large_group_has_the_same_thresholds_in_every_run(spark):
+    """40,000 values over other partitions: the same sketch, and quartiles within its accuracy."""
+    import random
+
+    rng = random.Random(4)
+    values = [rng.lognormvariate(4, 0.3) for _ in range(40_000)]
+    rows = spark.createDataFrame([("en", "s", v, v / 100 if k % 3 else 0.0, None if k % 2 else 0.0) for k, v in enumerate(values)],
+                                 "lang string, source string, word_length double, symbols double, repeated_lines double")
+    one, other = (Q.thresholds(rows.repartition(n, F.rand(n))).collect() for n in (3, 17))
+    assert one == other and len(one) == 1
+    q1, q3 = sorted(values)[9_999], sorted(values)[29_999]
+    middle = (one[0].word_length_low + one[0].word_length_high) / 2
+    assert abs(middle / ((q1 + q3) / 2) - 1) < Q.ACCURACY
+    assert one[0].repeated_lines_low == -Q.FENCE * Q.FLOOR["repeated_lines"]
+
+
 def test_empty_and_textless_tables(spark, empty):
     assert Q.judged(empty).collect() == []
     row = Q.judged(spark.createDataFrame([edge_rows()[0]], SCHEMA)).first()
