@@ -11,8 +11,8 @@ words of a shorter item) agree in at least ``AGREE`` of the places: substitution
    placement keeps none (5, 6, 10 and 11 words) have the masks in ``SHORT`` besides, and items up
    to ``WHOLE`` words, which allow no substitution, are named by all their words. Documents are
    searched for such seeds only if the benchmark has items of these lengths.
-2. *Filter.* Items' seeds set bits in an array of fixed size (128 KB whatever the number of
-   items; more items only let more positions pass). Documents keep the positions whose two
+2. *Filter.* Items' seeds set two bits each in an array of ``SEED_BITS`` bits a seed (128 KB at least, 8 MB at
+   most: beyond half a million seeds more positions pass, and results stay the same). Documents keep the positions whose two
    bits are set, and documents without any leave before a shuffle.
 3. *Join.* Positions and items' seeds meet by an equal-hash join; a (document, item, alignment)
    is kept once however many seeds it shares.
@@ -38,10 +38,15 @@ MASKS = ("11011", "110011")
 SHORT = {5: ("1111", "11101", "10111"), 6: ("1111",), 10: ("1111",), 11: ("1111",)}
 #: Items up to so many words allow no substitution.
 WHOLE = 4
-#: 64-bit words of the seed filter; a power of two.
-FILTER_WORDS = 1 << 14
+#: Bits of the seed filter for each seed, and its least and most 64-bit words; powers of two.
+SEED_BITS = 128
+FILTER_WORDS = (1 << 14, 1 << 20)
 
-_BITS = FILTER_WORDS * 64
+
+def filter_words(seeds: int) -> int:
+    """The size of the filter for so many seeds."""
+    least, most = FILTER_WORDS
+    return min(most, max(least, 1 << (max(seeds, 1) * SEED_BITS // 64 - 1).bit_length()))
 
 
 def _hashes(df: DataFrame, *keys: str) -> DataFrame:
@@ -77,26 +82,28 @@ def _seeded(df: DataFrame, short: dict[str, tuple[str, list[int]]]) -> DataFrame
     )
 
 
-def _filter_row(seeds: DataFrame) -> DataFrame:
-    """One row, one array of FILTER_WORDS longs with two bits set per seed."""
-    marked = seeds.select(F.explode(F.expr(f"array(seed & {_BITS - 1}, shiftrightunsigned(seed, 32) & {_BITS - 1})")).alias("bit"))
+def _filter_row(seeds: DataFrame, words: int) -> DataFrame:
+    """One row, one array of so many longs with two bits set per seed."""
+    mask = words * 64 - 1
+    marked = seeds.select(F.explode(F.expr(f"array(seed & {mask}, shiftrightunsigned(seed, 32) & {mask})")).alias("bit"))
     marked = marked.groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
     spark = seeds.sparkSession
-    full = spark.range(FILTER_WORDS).withColumnRenamed("id", "word").join(marked, "word", "left")
+    full = spark.range(words).withColumnRenamed("id", "word").join(marked, "word", "left")
     return full.agg(F.expr("transform(array_sort(collect_list(struct(word, coalesce(bits, 0L) as bits))), x -> x.bits)").alias("bits"))
 
 
-def _passing(seeds: str) -> str:
+def _passing(seeds: str, words: int) -> str:
     def bit(place: str) -> str:
         return f"(shiftright(get(bits, cast(shiftright({place}, 6) as int)), cast({place} & 63 as int)) & 1) = 1"
 
-    low, high = f"(v & {_BITS - 1})", f"(shiftrightunsigned(v, 32) & {_BITS - 1})"
+    mask = words * 64 - 1
+    low, high = f"(v & {mask})", f"(shiftrightunsigned(v, 32) & {mask})"
     return f"array_compact(transform({seeds}, (v, i) -> CASE WHEN {bit(low)} AND {bit(high)} THEN struct(i as pos, v as seed) END))"
 
 
-def _passing_once(seeds: str) -> str:
+def _passing_once(seeds: str, words: int) -> str:
     """Like ``_passing``, but with the first place of each seed only: one place of a whole item is as good as any."""
-    once = _passing(f"array_distinct({seeds})")
+    once = _passing(f"array_distinct({seeds})", words)
     return f"transform({once}, p -> struct(cast(array_position({seeds}, p.seed) - 1 as int) as pos, p.seed as seed))"
 
 
@@ -115,10 +122,11 @@ def _overlaps(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
     for column, (_, lengths) in short.items():
         every = every.union(seeded.where(F.size("h").isin(lengths)).select("item", F.posexplode(column).alias("at", "seed")))
     seeds = common.written(every, "item-seeds")
-    filter_bits = common.written(_filter_row(seeds), "seed-filter")
+    size = filter_words(seeds.count())
+    filter_bits = common.written(_filter_row(seeds, size), "seed-filter")
     tested = _seeded(_hashes(docs, *keys), short).withColumn("bits", filter_bits.scalar())
-    found = {"pa": _passing("a"), "pb": _passing("b")}
-    found |= {f"p{c}": _passing_once(c) if c.startswith("w") else _passing(c) for c in short}
+    found = {"pa": _passing("a", size), "pb": _passing("b", size)}
+    found |= {f"p{c}": _passing_once(c, size) if c.startswith("w") else _passing(c, size) for c in short}
     tested = tested.select(*keys, "h", *(F.expr(e).alias(c) for c, e in found.items()))
     left = tested.select(*keys, "h", F.concat(*found).alias("passing"))
     # A filter here would be pushed below the projections, and every hash computed again for it: words of

@@ -68,8 +68,7 @@ def test_substitutions_match_brute_force_and_sql(spark, tmp_path):
 
 def test_crowded_filter_gives_the_same(spark, monkeypatch):
     docs, items = make(spark)
-    monkeypatch.setattr(D, "FILTER_WORDS", 1)
-    monkeypatch.setattr(D, "_BITS", 64)
+    monkeypatch.setattr(D, "FILTER_WORDS", (1, 1))
     d = spark.createDataFrame(docs, "doc_id long, text string")
     assert {tuple(r) for r in D.overlaps(d, spark.createDataFrame(items, "item_id long, text string")).collect()} == brute(docs, items)
 
@@ -132,3 +131,8 @@ def test_rows_are_judged_by_text_not_by_doc_id(spark):
     assert got.columns == docs.columns
     kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
     assert kept == sorted([r for r in rows if not r[1] or bad not in r[1]], key=repr)
+
+
+def test_filter_grows_with_the_seeds():
+    least, most = D.FILTER_WORDS
+    assert [D.filter_words(n) for n in (0, 1, 8_192, 8_193, 100_000, 10**9)] == [least, least, least, 2 * least, 1 << 18, most]
