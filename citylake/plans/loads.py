@@ -124,7 +124,7 @@ def load_trips(
             gated(written, rows.failures(written))
 
     done = snapshots.upsert(
-        spark, silver_root, stg, "trip_id", SILVER_PARTITION, run_id=load, full_refresh=full_refresh, check=check, observe=rows.observe
+        spark, silver_root, stg, TRIP_KEY, SILVER_PARTITION, run_id=load, full_refresh=full_refresh, check=check, observe=rows.observe
     )
     if keep_bronze:
         ledger.record(spark, bronze_root, load, files, source)
