@@ -5,7 +5,8 @@ both give byte ranges of the same bytes. Tokens that overlap, directly or throug
 
 1. *Tokens.* Both libraries encode a text word by word: before a space or a line end that follows a character
    which is no white space, A's pre-tokenizer always cuts, and no piece of B reaches over (checked when the
-   vocabularies are loaded; otherwise texts are encoded whole). Words' ids are kept in a bounded cache.
+   vocabularies are loaded; otherwise texts are encoded whole). Words' ids are kept in a bounded cache; words it
+   does not have are encoded ``TOGETHER`` at a time, one behind another, and cut where they meet.
 2. *Pointers.* Every token of either side points to its farthest-right overlapping token, which is the token of the
    other side that holds its last byte (itself, if none ends further right).
 3. *Jumping.* The pointers of all tokens of some hundred documents are doubled together, ``p = p[p]``, until nothing
@@ -28,7 +29,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +46,14 @@ FREQUENT = 1 << 18
 #: Distinct pairs that a task adds up before it passes them on.
 HELD = 1 << 21
 CACHE = 200_000
+#: New words that are encoded in one call.
+TOGETHER = 256
 
 #: White space and format characters beyond ASCII white space: such texts are encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 #: Words with the white space before them; a new one begins with a space or a line end behind a visible character.
 _UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+(?:[\t\x0b-\r][ \t-\r]*[^ \t-\r]+)*(?:[\t\x0b-\r][ \t-\r]*\Z)?|[ \t-\r]+")
+_WHITE = frozenset(" \t\n\x0b\x0c\r")
 _LOW = np.uint64(32)
 
 
@@ -121,22 +127,61 @@ class Pair:
         equal = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
         return np.array(a, self.kind).tobytes(), np.array(b, self.kind).tobytes(), equal
 
-    def tokens(self, text: str) -> tuple[bytes, bytes] | None:
+    def _cut(self, ids: list[int], length: np.ndarray, vocabulary: list[bytes], units: list[bytes]) -> list[bytes] | None:
+        """The ids of each unit, or None if they do not give the units' bytes with a cut where units meet."""
+        if b"".join(map(vocabulary.__getitem__, ids)) != b"".join(units):
+            return None
+        at = np.array(ids, np.int64)
+        ends = np.cumsum(length[at])
+        want = np.cumsum([len(x) for x in units])
+        places = np.searchsorted(ends, want)
+        if not np.array_equal(ends[places], want):
+            return None
+        raw, size = at.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        bounds = [0, *((places + 1) * size).tolist()]
+        return [raw[x:y] for x, y in zip(bounds, bounds[1:])]
+
+    def learn(self, units: Iterable[str]) -> None:
+        """Put the ids of new units into the cache, those that begin with a space and end visibly in few calls."""
+        new = []
+        for u in set(units).difference(self.words):
+            if u in self.words.old or u[0] != " " or u[-1] in _WHITE:
+                self.words[u]
+            else:
+                new.append(u)
+        for k in range(0, len(new), TOGETHER):
+            part = new[k : k + TOGETHER]
+            joined, raw = "".join(part), [u.encode() for u in part]
+            a = self._cut(self.a.encode(joined, add_special_tokens=False).ids, self.a_length, self.a_bytes, raw)
+            b = a and self._cut(self._b_ids(joined), self.b_length, self.b_bytes, raw)
+            if b:
+                self.words.update(zip(part, zip(a, b, repeat(True))))
+            else:  # some unit is not given back: each by itself
+                for u in part:
+                    self.words[u]
+
+    def units(self, text: str) -> list[str] | None:
+        """The words of space + text, or None if it has to be encoded whole."""
+        return _UNIT.findall(" " + text) if text and self.by_word and not _ODD_SPACE.search(text) else None
+
+    def tokens(self, text: str, units: list[str] | None = None) -> tuple[bytes, bytes] | None:
         """The ids of both sides, or None if they do not give the bytes of space + text."""
         if not text:
             return None
-        spaced = " " + text
-        if self.by_word and not _ODD_SPACE.search(text):
-            found = [self.words[u] for u in _UNIT.findall(spaced)]
-            if all(x[2] for x in found):
-                return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-        a, b, equal = self._word(spaced)
+        units = units or self.units(text)
+        if units:
+            found = list(map(self.words.__getitem__, units))
+            if all(map(itemgetter(2), found)):
+                return b"".join(map(itemgetter(0), found)), b"".join(map(itemgetter(1), found))
+        a, b, equal = self._word(" " + text)
         return (a, b) if equal else None
 
     def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, bytes]]:
         """n_a, n_b, n_groups, digest of the groups and links (A id << 32 | B id) of each text."""
         self.words.turn()
-        found = [self.tokens(x) for x in texts]
+        units = [self.units(x) for x in texts]
+        self.learn(chain.from_iterable(u for u in units if u))
+        found = [self.tokens(x, u) for x, u in zip(texts, units)]
         a = np.frombuffer(b"".join([x[0] for x in found if x]), self.kind).astype(np.int64)
         b = np.frombuffer(b"".join([x[1] for x in found if x]), self.kind).astype(np.int64)
         if not len(a):

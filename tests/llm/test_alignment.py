@@ -127,3 +127,25 @@ def test_counts_are_added_in_pieces(spark, edge, monkeypatch):
     want = aligned(edge)
     monkeypatch.setattr(A, "HELD", 16)
     assert aligned(edge) == want
+
+
+def test_new_words_are_encoded_together(libraries):
+    rng = random.Random(5)
+    odd = ["Ａ", "ﬁn", "é", "​", "<|endoftext|>", "<unk>", "▁", "x▁y", "\x00", "don't", "🙂🙂", "  two", "\t", "a\n", "\r\n", "﻿", "日本語"]
+    texts = [" ".join("".join(rng.choices("abcdeéß1.,'", k=rng.randint(1, 9))) for _ in range(300)) for _ in range(4)]
+    texts += [rng.choice(["", " ", "\n", " \n "]).join(rng.choices(odd, k=30)) for _ in range(40)] + [" ", "\n", "a ", " a  b \n\n c"]
+    p = A.Pair(*A.tokenizer_paths())
+    single, whole = [], p._word
+    p.words.compute = lambda u: single.append(u) or whole(u)
+    for text, row in zip(texts, p.aligned(texts)):
+        want = libraries(text)
+        assert row[:2] == ((len(want[0]), len(want[1])) if want else (0, 0)), text
+        if want:
+            a, b = p.tokens(text)
+            assert np.frombuffer(a, p.kind).tolist() == [k for k, _ in want[0]], text
+            assert np.frombuffer(b, p.kind).tolist() == [k for k, _ in want[1]], text
+    plain = A.Pair(*A.tokenizer_paths())
+    single.clear()
+    plain.words.compute = lambda u: single.append(u) or whole(u)
+    list(plain.aligned(texts[:4]))
+    assert not single  # about 1,000 words, no call for each
