@@ -67,8 +67,9 @@ TOKEN_SCHEMA = "block long, doc_ids binary, known binary, held_out binary, lengt
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block's texts as numbers into its sorted keys, an end after each text."""
-    for row in common.block_rows(batches):
+    """Documents as blocks whose texts are numbers into the block's sorted keys, an end after each text. Packed and
+    numbered by one worker: texts do not go through the JVM a second time."""
+    for row in common.block_rows(common.pack_blocks(batches)):
         block = common.Block(row)
         t = common.Tokens(block.texts, lower=True)
         keys, key_of = np.unique(np.append(common.mix(t.vocabulary_hash), _END), return_inverse=True)
@@ -421,7 +422,7 @@ def transitions(follow: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame) -> DataFrame:
     """Counts, unigram base score and class-model score (log10 probability) of every document."""
-    table = common.written(common.packed(docs).mapInArrow(_number, TOKEN_SCHEMA), "numbered")
+    table = common.written(common.texts_of(docs).mapInArrow(_number, TOKEN_SCHEMA), "numbered")
     size = table.select(F.sum(F.expr("length(keys)"))).first()[0] or 0
     slices = common.slices_for(size / 8 / 4, SLICE_KEYS)  # keys of blocks, a few blocks to a key
     kinds_most = size // 8 + 1

@@ -184,3 +184,9 @@ def test_probabilities_add_up_to_one():
     for a in range(classes):
         known = sum(step(a, group(w)) * emit(w) for w in c)
         assert math.isclose(known + sum(step(a, g) * unknown[g] for g in range(classes)), 1)
+
+
+def test_one_worker_packs_and_numbers(edge):
+    numbered = common.texts_of(edge).mapInArrow(L._number, L.TOKEN_SCHEMA)
+    assert numbered._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sum(len(r.lengths) // 8 for r in numbered.collect()) == edge.count()
