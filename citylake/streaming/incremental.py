@@ -2,7 +2,7 @@
 
 The reference loads each new monthly file into bronze (append) and then re-runs the
 incremental silver model, which re-evaluates the latest copy of every trip and
-merges by ``trip_id``. Here Structured Streaming discovers landed files: the stream's rows are
+merges by the trip key (a trip id has milliseconds only). Here Structured Streaming discovers landed files: the stream's rows are
 files (path, length, modification time), not trips, so months whose counts are written with different
 types load through the same footer index as in the build. Each micro-batch, in ``foreachBatch``:
 
